@@ -17,7 +17,8 @@ _TYPES = {
     "string": ("string", "VARCHAR"),
     "date": ("string", "VARCHAR"),
 }
-DIGITS = 6
+# (magnitude below which, digits kept): large values keep fewer, as sums differ in the last bits
+DIGITS = [(1e3, 6), (1e6, 4), (1e9, 2), (1e12, 0)]
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,10 @@ def _spark_column(name: str, kind: str):
         col = col.cast("date")
     col = col.cast(spark_type)
     if kind == "double":
-        col = F.round(col, DIGITS) + F.lit(0.0)
+        size, kept = F.abs(col), F.round(col, -4)
+        for below, digits in reversed(DIGITS):
+            kept = F.when(size < below, F.round(col, digits)).otherwise(kept)
+        col = F.when(col.isNotNull(), kept + F.lit(0.0))
     return col.alias(name)
 
 
@@ -56,7 +60,8 @@ def _sql_column(name: str, kind: str) -> str:
         expr = f"CAST({expr} AS DATE)"
     expr = f"CAST({expr} AS {sql_type})"
     if kind == "double":
-        expr = f"round({expr}, {DIGITS}) + 0.0"
+        cases = " ".join(f"WHEN abs({expr}) < {below} THEN round({expr}, {digits})" for below, digits in DIGITS)
+        expr = f"CASE WHEN {name} IS NOT NULL THEN (CASE {cases} ELSE round({expr}, -4) END) + 0.0 END"
     return f"{expr} AS {name}"
 
 
