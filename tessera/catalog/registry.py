@@ -21,6 +21,11 @@ _TYPES = {
 DIGITS = [(1e3, 6), (1e6, 4), (1e9, 2), (1e12, 0)]
 
 
+def _nudge(digits: int) -> float:
+    """A shift far below the last kept digit, so that exact halves round up in both engines."""
+    return 1.23e-3 * 10.0**-digits
+
+
 @dataclass(frozen=True)
 class Query:
     name: str
@@ -46,9 +51,9 @@ def _spark_column(name: str, kind: str):
         col = col.cast("date")
     col = col.cast(spark_type)
     if kind == "double":
-        size, kept = F.abs(col), F.round(col, -4)
+        size, kept = F.abs(col), F.round(col + F.lit(_nudge(-4)), -4)
         for below, digits in reversed(DIGITS):
-            kept = F.when(size < below, F.round(col, digits)).otherwise(kept)
+            kept = F.when(size < below, F.round(col + F.lit(_nudge(digits)), digits)).otherwise(kept)
         col = F.when(col.isNotNull(), kept + F.lit(0.0))
     return col.alias(name)
 
@@ -60,8 +65,8 @@ def _sql_column(name: str, kind: str) -> str:
         expr = f"CAST({expr} AS DATE)"
     expr = f"CAST({expr} AS {sql_type})"
     if kind == "double":
-        cases = " ".join(f"WHEN abs({expr}) < {below} THEN round({expr}, {digits})" for below, digits in DIGITS)
-        expr = f"CASE WHEN {name} IS NOT NULL THEN (CASE {cases} ELSE round({expr}, -4) END) + 0.0 END"
+        cases = " ".join(f"WHEN abs({expr}) < {below} THEN round({expr} + {_nudge(digits)}, {digits})" for below, digits in DIGITS)
+        expr = f"CASE WHEN {name} IS NOT NULL THEN (CASE {cases} ELSE round({expr} + {_nudge(-4)}, -4) END) + 0.0 END"
     return f"{expr} AS {name}"
 
 

@@ -58,10 +58,18 @@ def bins_equal_width(x: Column, lo: Column, hi: Column, k: int) -> Column:
     return F.least(F.lit(k), F.greatest(F.lit(1), at)).cast("int")
 
 
-def bins_by_edges(x: Column, edges: Column) -> Column:
-    """Right-closed bins over an ascending array of edges; duplicates are dropped first."""
-    inner = F.array_distinct(edges)
-    return F.greatest(F.lit(1), F.size(F.filter(inner, lambda e: e < x)))
+def bins_by_edges(x: Column, edges: Sequence[Column]) -> Column:
+    """Right-closed bins over ascending edges; an edge equal to the one before counts once."""
+    below = F.lit(0)
+    for i, e in enumerate(edges):
+        new = (e < x) if i == 0 else (e < x) & (e != edges[i - 1])
+        below = below + new.cast("int")
+    return F.greatest(F.lit(1), below)
+
+
+def quantile_edges(quantiles: DataFrame, names: Sequence[str]) -> list[Column]:
+    """The columns of a one-row quantile table as subquery columns."""
+    return [scalar(quantiles, n) for n in names]
 
 
 def digitize(x: Column, edges: Sequence[float]) -> Column:
