@@ -68,8 +68,9 @@ def bins_by_edges(x: Column, edges: Sequence[Column]) -> Column:
 
 
 def quantile_edges(quantiles: DataFrame, names: Sequence[str]) -> list[Column]:
-    """The columns of a one-row quantile table as subquery columns."""
-    return [scalar(quantiles, n) for n in names]
+    """The values of a one-row quantile table as literals (one number per edge)."""
+    row = quantiles.select(*names).first()
+    return [F.lit(row[n]) for n in names]
 
 
 def digitize(x: Column, edges: Sequence[float]) -> Column:

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Coefficients of the published double-precision rational approximation
 # of the normal tail (Hart 1968, in the form given by West 2005), highest power first.
@@ -115,13 +116,13 @@ def student_two_sided(t, dof):
     return incomplete_beta(dof / 2, 0.5, dof / (dof + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
     """Two-sided Student-t p-value; applied to one row per test."""
     return pd.Series(student_two_sided(t.to_numpy(), dof.to_numpy())).where(t.notna() & dof.notna(), None)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_quantile(p: pd.Series, dof: pd.Series) -> pd.Series:
     """Student-t quantile by bisection; applied to one row per test."""
     p_, dof_ = p.to_numpy(dtype=float), dof.to_numpy(dtype=float)
