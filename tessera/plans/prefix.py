@@ -48,26 +48,27 @@ def prefix(
     order: Sequence[Column | str],
     sums: Mapping[str, Column] | None = None,
     lasts: Mapping[str, Column] | None = None,
+    maxs: Mapping[str, Column] | None = None,
     pos: str | None = "pos",
     totals: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add the 1-based position and running values per key, in ``order``.
 
-    ``sums`` become inclusive running sums, ``lasts`` the latest non-null value up to
-    and including the row. With ``totals`` each sum also gets ``<name>_total`` (and the
+    ``sums`` become inclusive running sums, ``maxs`` running maxima, ``lasts`` the latest
+    non-null value up to and including the row. With ``totals`` each sum also gets ``<name>_total`` (and the
     position ``<pos>_total``), the value over the whole key. ``order`` should end in a
     unique column: ties on it are what lets one partition grow.
     """
     keys = list(keys)
-    sums = dict(sums or {})
-    lasts = dict(lasts or {})
+    sums, lasts, maxs = dict(sums or {}), dict(lasts or {}), dict(maxs or {})
     cols = _order_cols(order)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    work = df.withColumns(
-        {f"_s_{k}": v for k, v in sums.items()} | {f"_l_{k}": v for k, v in lasts.items()}
-    ) if sums or lasts else df
+    inputs = {f"_s_{k}": v for k, v in sums.items()}
+    inputs |= {f"_l_{k}": v for k, v in lasts.items()}
+    inputs |= {f"_m_{k}": v for k, v in maxs.items()}
+    work = df.withColumns(inputs) if inputs else df
     # The partition number must not change when a task is run again, so it is written down.
     placed = cut_lineage(
         work.repartitionByRange(n, *[F.col(k) for k in keys], *cols).withColumn(
@@ -81,18 +82,15 @@ def prefix(
     local = {"_in_pos": F.count(F.lit(1)).over(here)}
     local |= {f"_in_{k}": F.sum(f"_s_{k}").over(here) for k in sums}
     local |= {f"_last_{k}": F.last(f"_l_{k}", ignorenulls=True).over(here) for k in lasts}
+    local |= {f"_max_{k}": F.max(f"_m_{k}").over(here) for k in maxs}
+    running = placed.withColumns(local)
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     aggs += [F.sum(f"_s_{k}").alias(f"_t_{k}") for k in sums]
-    parts = placed.groupBy(_PART, *keys).agg(*aggs)
+    aggs += [F.max(f"_m_{k}").alias(f"_top_{k}") for k in maxs]
     if lasts:
-        tails = (
-            placed.withColumns({f"_last_{k}": F.last(f"_l_{k}", ignorenulls=True).over(here) for k in lasts})
-            .withColumn("_in_pos", F.count(F.lit(1)).over(here))
-            .groupBy(_PART, *keys)
-            .agg(*[F.max_by(f"_last_{k}", "_in_pos").alias(f"_tail_{k}") for k in lasts])
-        )
-        parts = join_on_keys(parts, tails, [_PART, *keys])
+        aggs += [F.max_by(f"_last_{k}", "_in_pos").alias(f"_tail_{k}") for k in lasts]
+    parts = (running if lasts else placed).groupBy(_PART, *keys).agg(*aggs)
 
     # At most one row per key and range partition: this window is small for every key.
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -100,25 +98,27 @@ def prefix(
     carry = {"_off_pos": F.coalesce(F.sum("_n").over(before), F.lit(0))}
     carry |= {f"_off_{k}": F.sum(f"_t_{k}").over(before) for k in sums}
     carry |= {f"_carry_{k}": F.last(f"_tail_{k}", ignorenulls=True).over(before) for k in lasts}
+    carry |= {f"_peak_{k}": F.max(f"_top_{k}").over(before) for k in maxs}
     if totals:
         carry["_all_pos"] = F.sum("_n").over(whole)
         carry |= {f"_all_{k}": F.sum(f"_t_{k}").over(whole) for k in sums}
     offsets = parts.withColumns(carry).select(_PART, *keys, *carry)
 
-    joined = join_on_keys(placed.withColumns(local), offsets, [_PART, *keys])
+    joined = join_on_keys(running, offsets, [_PART, *keys])
     out = {}
     if pos:
         out[pos] = F.col("_in_pos") + F.col("_off_pos")
         if totals:
             out[f"{pos}_total"] = F.col("_all_pos")
     for k in sums:
-        out[k] = F.when(
-            F.col(f"_off_{k}").isNull(), F.col(f"_in_{k}")
-        ).otherwise(F.coalesce(F.col(f"_in_{k}") + F.col(f"_off_{k}"), F.col(f"_off_{k}")))
+        inside, off = F.col(f"_in_{k}"), F.col(f"_off_{k}")
+        out[k] = F.when(off.isNull(), inside).otherwise(F.coalesce(inside + off, off))
         if totals:
             out[f"{k}_total"] = F.col(f"_all_{k}")
     for k in lasts:
         out[k] = F.coalesce(F.col(f"_last_{k}"), F.col(f"_carry_{k}"))
+    for k in maxs:
+        out[k] = F.greatest(F.col(f"_max_{k}"), F.col(f"_peak_{k}"))
     keep = [c for c in df.columns if c not in out]
     return joined.select(*[F.col(c) for c in keep], *[v.alias(k) for k, v in out.items()])
 
