@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.plans.prefix import prefix
+from tessera.functions.hashing import poisson1, uniform
+from tessera.plans.prefix import exact_quantiles, prefix
 
 
 def effect(y: Column, w: Column) -> Column:
@@ -48,7 +49,7 @@ def uplift_at_k(
         ranked = prefix(keep, [], order, pos="_rank")
     else:
         raise ValueError(f"unknown rule {rule!r}")
-    total = df.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    total = ranked.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     aggs = []
     for i, k in enumerate(ks):
         n = F.floor(total * F.lit(float(k)))
@@ -85,3 +86,64 @@ def gain_curve(df: DataFrame, id_col: str, score: str, w: str, y: str) -> DataFr
 
 def targets_above(df: DataFrame, id_col: str, score: str, threshold: float) -> DataFrame:
     return df.where(F.col(score) > threshold).select(id_col)
+
+
+def uplift_curve(
+    df: DataFrame, id_col: str, score: str, w: str, y: str, ks: Sequence[float], iterations: int, seed=0
+) -> DataFrame:
+    """Mean and std of uplift@k over bootstrap draws, for every cutoff.
+
+    The order by score is the same in all draws, so one distributed ranking carries the
+    running resampled count of every draw; a row on the border counts with the copies that
+    still fit. Scores, arms and outcomes of one draw stay together.
+    """
+    draws = range(iterations)
+    weights = {f"w{b}": poisson1(uniform(F.col(id_col), seed, b)) for b in draws}
+    rows = df.select(id_col, score, w, y).withColumns(weights)
+    ranked = prefix(
+        rows, [w], [F.col(score).desc(), id_col], sums={f"c{b}": F.col(f"w{b}") for b in draws}, pos=None
+    )
+    sizes = rows.agg(*[F.sum(f"w{b}").alias(f"w{b}") for b in draws]).first()
+    per_draw = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(b).alias("draw"),
+                    F.lit(sizes[f"w{b}"]).alias("size"),
+                    F.col(f"w{b}").alias("weight"),
+                    F.col(f"c{b}").alias("upto"),
+                )
+                for b in draws
+            ]
+        )
+    )
+    long = ranked.select(w, y, per_draw.alias("d")).select(w, y, "d.*").where("weight > 0")
+    aggs = []
+    for i, k in enumerate(ks):
+        n = F.floor(F.col("size") * F.lit(float(k)))
+        used = F.greatest(F.lit(0), F.least(F.col("weight"), n - (F.col("upto") - F.col("weight"))))
+        for arm in (0, 1):
+            mine = F.col(w) == arm
+            aggs.append(
+                (F.sum(F.when(mine, used * F.col(y))) / F.nullif(F.sum(F.when(mine, used)), F.lit(0))).alias(f"m{arm}_{i}")
+            )
+    means = long.groupBy("draw").agg(*aggs)
+    each = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(float(k)).alias("k"), (F.col(f"m1_{i}") - F.col(f"m0_{i}")).alias("u"))
+                for i, k in enumerate(ks)
+            ]
+        )
+    )
+    return means.select(each.alias("e")).groupBy("e.k").agg(F.avg("e.u").alias("mean"), F.stddev_pop("e.u").alias("std"))
+
+
+def score_report(df: DataFrame, score: str, threshold: float) -> DataFrame:
+    """5th and 95th percentile, mean, std and the share above a threshold."""
+    q = exact_quantiles(df, [], score, {"p5": 0.05, "p95": 0.95})
+    return df.agg(
+        F.avg(score).alias("mean"),
+        F.stddev_samp(score).alias("std"),
+        F.avg((F.col(score) > threshold).cast("int")).alias("share_above"),
+    ).withColumns({c: q.select(c).scalar() for c in ("p5", "p95")})

@@ -1,36 +1,271 @@
-"""Uplift trees grown level by level with one grouped aggregate per level."""
+"""Uplift trees and forests grown level by level with grouped aggregates.
+
+Rows are never collected: one aggregate per level gives the counts and outcome sums on
+both sides of every candidate split, and only the best split per node (at most 2**depth
+rows) reaches the driver. The next level's node number is a CASE expression.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from functools import reduce
+from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import poisson1, uniform
-from tessera.plans.prefix import exact_quantiles
+from tessera.plans.prefix import cut_lineage, quantiles_of_counts
+from tessera.operators.uplift import effect
 
 # Percentiles tried as split thresholds for many and for few distinct values.
 MANY = [3, 5, 10, 20, 30, 50, 70, 80, 90, 95, 97]
 FEW = [10, 50, 90]
 
 
+@dataclass(frozen=True)
+class Limits:
+    """When a node may split: depth, and rows, treated and controls on both sides."""
+
+    max_depth: int = 3
+    min_leaf: int = 1000
+    min_treated: int = 300
+    min_control: int = 300
+
+
+@dataclass
+class Tree:
+    """Splits by node number (children 2i+1 and 2i+2) and the effect at every node."""
+
+    splits: dict[int, tuple[str, float]] = field(default_factory=dict)
+    nodes: dict[int, dict] = field(default_factory=dict)
+
+    def node_column(self, node: int = 0) -> Column:
+        if node not in self.splits:
+            return F.lit(node)
+        feature, threshold = self.splits[node]
+        left, right = self.node_column(2 * node + 1), self.node_column(2 * node + 2)
+        return F.when(F.col(feature) <= F.lit(threshold), left).otherwise(right)
+
+    def predict_column(self, node: int = 0) -> Column:
+        if node not in self.splits:
+            return F.lit(self.nodes[node]["ate"])
+        feature, threshold = self.splits[node]
+        left, right = self.predict_column(2 * node + 1), self.predict_column(2 * node + 2)
+        return F.when(F.col(feature) <= F.lit(threshold), left).otherwise(right)
+
+    def table(self, spark) -> DataFrame:
+        rows = [
+            (n, *self.splits.get(n, (None, None)), v["n"], v["n_t"], v["n_c"], v["ate"]) for n, v in sorted(self.nodes.items())
+        ]
+        return spark.createDataFrame(
+            rows, "node int, feature string, threshold double, n bigint, n_t bigint, n_c bigint, ate double"
+        )
+
+    @staticmethod
+    def from_table(table: DataFrame) -> "Tree":
+        """Rebuild a saved tree (a table has one row per node)."""
+        tree = Tree()
+        for r in table.collect():
+            tree.nodes[r["node"]] = {k: r[k] for k in ("n", "n_t", "n_c", "ate")}
+            if r["feature"] is not None:
+                tree.splits[r["node"]] = (r["feature"], r["threshold"])
+        return tree
+
+
+def _long(df: DataFrame, keep: Sequence[str], features: Sequence[str]) -> DataFrame:
+    return df.select(*keep, *[F.col(f).cast("double").alias(f) for f in features]).unpivot(
+        list(keep), list(features), "feature", "x"
+    )
+
+
+def threshold_lists(long: DataFrame, keys: Sequence[str], few_up_to: int = 10) -> DataFrame:
+    """(keys, edges): ascending candidate thresholds without repeats per key."""
+    counts = long.where(F.col("x").isNotNull()).groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
+    kinds = counts.groupBy(*keys).agg((F.count(F.lit(1)) <= few_up_to).alias("few"))
+    # percentiles of the distinct values are percentiles with every count set to 1
+    weighted = counts.join(kinds, list(keys)).withColumn("n", F.when(F.col("few"), 1).otherwise(F.col("n")))
+    qs = quantiles_of_counts(weighted, keys, "x", "n", {f"p{p}": p / 100 for p in MANY}).join(kinds, list(keys))
+    pick = lambda ps: F.array_sort(F.array_distinct(F.array(*[F.col(f"p{p}") for p in ps])))
+    return qs.select(*keys, F.when(F.col("few"), pick(FEW)).otherwise(pick(MANY)).alias("edges"))
+
+
 def thresholds(df: DataFrame, features: Sequence[str], few_up_to: int = 10) -> DataFrame:
-    """Candidate split points per feature, duplicates removed: (feature, threshold).
+    """Candidate split points per feature: (feature, threshold).
 
     Features with at most ``few_up_to`` distinct values use percentiles of the distinct
     values, others percentiles of all values.
     """
-    long = df.select(*[F.col(f).cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "x")
-    counts = long.where(F.col("x").isNotNull()).groupBy("feature", "x").agg(F.count(F.lit(1)).alias("n"))
-    kinds = counts.groupBy("feature").agg((F.count(F.lit(1)) <= few_up_to).alias("few"))
-    distinct = counts.select("feature", "x").join(kinds.where("few"), "feature")
-    few = exact_quantiles(distinct, ["feature"], "x", {f"p{p}": p / 100 for p in FEW})
-    many = exact_quantiles(long.join(kinds.where("NOT few"), "feature"), ["feature"], "x", {f"p{p}": p / 100 for p in MANY})
-    parts = [
-        q.unpivot(["feature"], [f"p{p}" for p in ps], "_p", "threshold").select("feature", "threshold")
-        for q, ps in ((few, FEW), (many, MANY))
-    ]
-    return parts[0].unionByName(parts[1]).distinct()
+    lists = threshold_lists(_long(df, [], features), ["feature"], few_up_to)
+    return lists.select("feature", F.explode("edges").alias("threshold"))
+
+
+def split_gains(
+    df: DataFrame, node: str, features: Sequence[str], w: str, y: str, limits: Limits, weight: str | None = None, edges: DataFrame | None = None
+) -> DataFrame:
+    """Every admissible split: (node, feature, threshold, n_left, n_right, tau_left, tau_right, gain).
+
+    Rows are counted per interval between thresholds, so a row is touched once per feature
+    whatever the number of thresholds.
+    """
+    keep = [node, w, y] + ([weight] if weight else [])
+    long = _long(df, keep, features)
+    keys = [node, "feature"]
+    lists = threshold_lists(long, keys) if edges is None else edges
+    on = [c for c in keys if c in lists.columns]
+    c = F.col(weight) if weight else F.lit(1)
+    treated = F.col(w) == 1
+    # at most (nodes x features) short lists: bounded by the tree, not by the data
+    cells = (
+        long.join(F.broadcast(lists), on)
+        .groupBy(*keys, F.size(F.filter("edges", lambda e: e < F.col("x"))).alias("cell"))
+        .agg(
+            F.sum(c).alias("n"),
+            F.sum(F.when(treated, c).otherwise(0)).alias("nt"),
+            F.sum(F.when(treated, c * F.col(y)).otherwise(0)).alias("yt"),
+            F.sum(F.when(~treated, c * F.col(y)).otherwise(0)).alias("yc"),
+        )
+    )
+    tried = cells.select(*keys).distinct().join(lists, on).select(*keys, F.posexplode("edges").alias("i", "threshold"))
+    left = F.col("cell") <= F.col("i")
+    sides = (
+        tried.join(cells, keys)
+        .groupBy(*keys, "i", "threshold")
+        .agg(
+            *[F.sum(F.when(left, F.col(s)).otherwise(0)).alias(f"l_{s}") for s in ("n", "nt", "yt", "yc")],
+            *[F.sum(F.when(left, 0).otherwise(F.col(s))).alias(f"r_{s}") for s in ("n", "nt", "yt", "yc")],
+        )
+    )
+    enough, tau = F.lit(True), {}
+    for side in "lr":
+        n, nt, nc = F.col(f"{side}_n"), F.col(f"{side}_nt"), F.col(f"{side}_n") - F.col(f"{side}_nt")
+        enough = enough & (n >= limits.min_leaf) & (nt >= max(limits.min_treated, 1)) & (nc >= max(limits.min_control, 1))
+        tau[side] = F.col(f"{side}_yt") / nt - F.col(f"{side}_yc") / nc
+    return sides.where(enough).select(
+        *keys,
+        "threshold",
+        F.col("l_n").alias("n_left"),
+        F.col("r_n").alias("n_right"),
+        tau["l"].alias("tau_left"),
+        tau["r"].alias("tau_right"),
+        F.abs(tau["l"] - tau["r"]).alias("gain"),
+    )
+
+
+def best_splits(gains: DataFrame, keys: Sequence[str], features: Sequence[str]) -> DataFrame:
+    """Largest gain per key; on ties the earlier feature, then the lower threshold."""
+    place = F.array_position(F.array(*[F.lit(f) for f in features]), F.col("feature"))
+    order = F.struct(F.col("gain"), -place, -F.col("threshold"))
+    best = F.max_by(F.struct("feature", "threshold", "gain"), order).alias("best")
+    return gains.groupBy(*keys).agg(best).select(*keys, "best.*")
+
+
+def node_effects(df: DataFrame, node: str, w: str, y: str) -> DataFrame:
+    """Size and effect per node."""
+    return df.groupBy(node).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(w) == 1).alias("n_t"),
+        F.count_if(F.col(w) == 0).alias("n_c"),
+        effect(F.col(y), F.col(w)).alias("ate"),
+    )
+
+
+def fit_tree(df: DataFrame, features: Sequence[str], w: str, y: str, limits: Limits = Limits()) -> Tree:
+    """Grow one tree; every level reads the rows once from the written copy."""
+    rows = cut_lineage(df.select(*[F.col(f).cast("double").alias(f) for f in features], w, y))
+    tree, active = Tree(), [0]
+    for depth in range(limits.max_depth + 1):
+        level = rows.withColumn("_node", tree.node_column()).where(F.col("_node").isin(active))
+        for r in node_effects(level, "_node", w, y).collect():
+            tree.nodes[r["_node"]] = {k: r[k] for k in ("n", "n_t", "n_c", "ate")}
+        if depth == limits.max_depth:
+            break
+        gains = split_gains(level, "_node", features, w, y, limits)
+        found = best_splits(gains, ["_node"], features).collect()
+        for r in found:
+            tree.splits[r["_node"]] = (r["feature"], r["threshold"])
+        active = [c for r in found for c in (2 * r["_node"] + 1, 2 * r["_node"] + 2)]
+        if not active:
+            break
+    return tree
+
+
+def predict(df: DataFrame, tree: Tree, name: str = "uplift") -> DataFrame:
+    return df.withColumn(name, tree.predict_column())
+
+
+@dataclass
+class Forest:
+    trees: list[Tree]
+
+    def predict(self, df: DataFrame, name: str = "uplift") -> DataFrame:
+        total = F.lit(0.0)
+        for t in self.trees:
+            total = total + t.predict_column()
+        return df.withColumn(name, total / len(self.trees))
+
+
+def fit_forest(
+    df: DataFrame,
+    id_col: str,
+    features: Sequence[str],
+    w: str,
+    y: str,
+    n_trees: int = 10,
+    max_features: int | None = None,
+    limits: Limits = Limits(),
+    seed: int = 0,
+) -> Forest:
+    """Bagged trees: Poisson row weights and a feature subset per tree.
+
+    All trees share one pass per level, with the tree in the grouping key. Thresholds come
+    from the whole table, so they are computed once.
+    """
+    rows = cut_lineage(df.select(id_col, *[F.col(f).cast("double").alias(f) for f in features], w, y))
+    edges = cut_lineage(threshold_lists(_long(rows, [], features), ["feature"]))
+    k = max_features or len(features)
+    trees = [Tree() for _ in range(n_trees)]
+    subsets = [_subset(features, k, seed, i) for i in range(n_trees)]
+    active = [[0] for _ in range(n_trees)]
+    drawn = rows.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn(
+        "_weight", poisson1(uniform(F.col(id_col), seed, F.col("_tree")))
+    ).where("_weight > 0")
+    allowed = F.lit(False)
+    for i, s in enumerate(subsets):
+        allowed = allowed | ((F.floor(F.col("_key") / _STEP) == i) & F.col("feature").isin(s))
+    for depth in range(limits.max_depth + 1):
+        node, live = F.lit(None).cast("bigint"), []
+        for i, t in enumerate(trees):
+            node = F.when(F.col("_tree") == i, t.node_column() + F.lit(i * _STEP)).otherwise(node)
+            live += [i * _STEP + n for n in active[i]]
+        if not live:
+            break
+        level = drawn.withColumn("_key", node).where(F.col("_key").isin(live))
+        treated = F.col(w) == 1
+        weighted = lambda cond: F.sum(F.when(cond, F.col("_weight") * F.col(y))) / F.sum(F.when(cond, F.col("_weight")))
+        stats = level.groupBy("_key").agg(
+            F.sum("_weight").alias("n"),
+            F.sum(F.when(treated, F.col("_weight")).otherwise(0)).alias("n_t"),
+            (weighted(treated) - weighted(~treated)).alias("ate"),
+        )
+        for r in stats.collect():
+            i, n = divmod(r["_key"], _STEP)
+            trees[i].nodes[n] = {"n": r["n"], "n_t": r["n_t"], "n_c": r["n"] - r["n_t"], "ate": r["ate"]}
+        if depth == limits.max_depth:
+            break
+        gains = split_gains(level, "_key", features, w, y, limits, weight="_weight", edges=edges).where(allowed)
+        active = [[] for _ in range(n_trees)]
+        for r in best_splits(gains, ["_key"], features).collect():
+            i, n = divmod(r["_key"], _STEP)
+            trees[i].splits[n] = (r["feature"], r["threshold"])
+            active[i] += [2 * n + 1, 2 * n + 2]
+    return Forest(trees)
+
+
+_STEP = 1 << 20  # node numbers of one tree stay below this
+
+
+def _subset(features: Sequence[str], k: int, seed: int, tree: int) -> list[str]:
+    """k features of one tree, chosen by hash order of their names."""
+    import hashlib
+
+    return sorted(features, key=lambda f: hashlib.md5(f"{seed}_{tree}_{f}".encode()).hexdigest())[:k]

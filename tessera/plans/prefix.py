@@ -134,12 +134,20 @@ def exact_quantiles(
     Rows are first counted per distinct value (map-side), then ranked with
     :func:`prefix`; no task holds the values of a whole group.
     """
-    keys = list(keys)
     counts = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
+    return quantiles_of_counts(counts, keys, value, "_cnt", probs)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, keys: Sequence[str], value: str, count: str, probs: Mapping[str, float]
+) -> DataFrame:
+    """Exact quantiles where each row of ``counts`` stands for ``count`` equal values."""
+    keys = list(keys)
+    counts = counts.select(*keys, value, F.col(count).alias("_cnt"))
     ranked = prefix(counts, keys, [value], sums={"_cum": F.col("_cnt")}, pos=None, totals=True)
     aggs, out = [], []
     x = F.col(value).cast("double")
