@@ -78,13 +78,13 @@ def error_rates(t):
 HASH = "concat('0x', md5({}))::UHUGEINT"
 # Suppliers act as experiments: three slots each, in conflict with the next and the seventh next supplier.
 SLOTS = 50
-HELD_SQL = f"""(SELECT DISTINCT 'exp ' || l_suppkey AS experiment_id, CAST(l_partkey % {SLOTS} AS INT) AS slot FROM lineitem WHERE l_quantity >= 40 AND l_tax = 0.08 AND l_discount = 0.1)"""
+HELD_SQL = f"""(SELECT DISTINCT 'exp ' || l_suppkey AS experiment_id, CAST(l_partkey % {SLOTS} AS INT) AS slot FROM lineitem WHERE l_quantity >= 40 AND l_tax = 0.08 AND l_discount >= 0.08)"""
 EXPERIMENT_SQL = """(SELECT 'exp ' || s_suppkey AS experiment_id, s_nationkey % 3 + 1 AS count_slots, ['exp ' || (s_suppkey + 1), 'exp ' || (s_suppkey + 7)] AS conflict_experiments FROM supplier)"""
 
 
 def held_slots(t):
     return (
-        t.lineitem.where("l_quantity >= 40 AND l_tax = 0.08 AND l_discount = 0.1")
+        t.lineitem.where("l_quantity >= 40 AND l_tax = 0.08 AND l_discount >= 0.08")
         .select(
             F.concat(F.lit("exp "), F.col("l_suppkey")).alias("experiment_id"),
             (F.col("l_partkey") % SLOTS).cast("int").alias("slot"),

@@ -7,6 +7,7 @@ from tessera.catalog.registry import query
 from tessera.functions.text import guess_language
 from tessera.functions.hashing import uniform
 from tessera.operators import matching, neighbours, ranking
+from tessera.plans.prefix import cut_lineage
 
 RANK_SQL = """(SELECT o_custkey AS q, o_orderkey AS id, 5 - CAST(substr(o_orderpriority, 1, 1) AS INT) AS y, CAST(o_orderpriority <= '2-HIGH' AS INT) AS b,
    o_totalprice / 100000 + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS s FROM orders)"""
@@ -238,7 +239,7 @@ def vector_sql(token: str) -> str:
 )
 def seeded_vectors(t):
     made = matching.token_vectors(vocab(t), None, DIMS)
-    return made.select("token", F.posexplode("v").alias("dim", "value"))
+    return made.select("token", F.posexplode_outer("v").alias("dim", "value"))
 
 
 TEXT_VECTOR_SQL = f"""(SELECT doc_id, d AS dim, avg(v[d + 1]) AS value FROM {WORDS} w JOIN (SELECT token, {vector_sql('token')} AS v FROM {VOCAB_SQL}) USING (token), range(0, {DIMS}) r(d) GROUP BY 1, 2)"""
@@ -277,9 +278,11 @@ def training_triplets(t):
     "tx_07_validation_pairs",
     "l bigint, r bigint, grade bigint",
     f"""WITH b AS {PAIR_ROWS_SQL}, s AS (SELECT l, count(*) AS size FROM b GROUP BY 1 HAVING count(*) >= 2), k AS (SELECT l, r, CASE WHEN label > 0 THEN 2 ELSE 1 END AS grade FROM b JOIN s USING (l)),
-        e AS (SELECT id, row_number() OVER (ORDER BY md5(id || '_0'), id) - 1 AS at, count(*) OVER () AS n FROM (SELECT l AS id FROM b UNION SELECT r FROM b)),
-        c AS (SELECT s.l, 15 - size AS need, i, e.id FROM s, range(0, 16) t(i), e WHERE size < 15 AND e.at = (CAST(concat('0x', md5(s.l || '_0'))::UHUGEINT % (SELECT max(n) FROM e)::UHUGEINT AS BIGINT) + i) % (SELECT max(n) FROM e)),
-        f AS (SELECT l, id, need, row_number() OVER (PARTITION BY l ORDER BY i) AS p FROM c WHERE id <> l AND NOT EXISTS (SELECT 1 FROM k WHERE k.l = c.l AND k.r = c.id))
+        e AS MATERIALIZED (SELECT id, row_number() OVER (ORDER BY md5(id || '_0'), id) - 1 AS at FROM (SELECT l AS id FROM b UNION SELECT r FROM b)),
+        h AS MATERIALIZED (SELECT s.l, 15 - size AS need, CAST(concat('0x', md5(s.l || '_0'))::UHUGEINT % n::UHUGEINT AS BIGINT) AS start, n FROM s, (SELECT count(*) AS n FROM e) WHERE size < 15),
+        m AS MATERIALIZED (SELECT l, need, i, (start + i) % n AS at FROM h, range(0, 16) t(i)),
+        c AS (SELECT m.l, need, i, e.id FROM m JOIN e ON e.at = m.at),
+        f AS (SELECT c.l, c.id, need, row_number() OVER (PARTITION BY c.l ORDER BY i) AS p FROM c ANTI JOIN k ON k.l = c.l AND k.r = c.id WHERE c.id <> c.l)
         SELECT l, r, grade FROM k UNION ALL SELECT l, id, 0 FROM f WHERE p <= need""",
 )
 def validation_pairs(t):
@@ -352,7 +355,7 @@ def kernel_scorer(t):
     pairs, left, right = turn_vectors(t)
     shifted = pairs.select((F.col("l") + 1000).alias("l"), "r").join(pairs.select("l"), "l", "left_semi")
     labelled = pairs.withColumn("label", F.lit(1.0)).unionByName(shifted.withColumn("label", F.lit(0.0)))
-    made = matching.kernel_features(labelled, "l", "r", left, right)
+    made = cut_lineage(matching.kernel_features(labelled, "l", "r", left, right))
     weights = matching.fit_scorer(made, "kernels", 21, "label")
     return made.where("label = 1").withColumn("score", matching.kernel_score("kernels", weights))
 
@@ -361,7 +364,7 @@ def kernel_scorer(t):
     "vs_01_exact_neighbours",
     "query_id bigint, id bigint, dist double, rank bigint",
     """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings)
-       SELECT query_id, id, dist, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, list_distance(a.v, b.v) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
+       SELECT query_id, id, dist, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, round(list_distance(a.v, b.v), 9) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 9), b.vec_id) AS rank
        FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE rank <= 10""",
 )
 def exact_neighbours(t):
@@ -372,7 +375,7 @@ def exact_neighbours(t):
     "jn_13_distance_join",
     "query_id bigint, id bigint, dist double, rank bigint",
     """WITH q AS (SELECT label AS query_id, list(a ORDER BY i) AS v FROM (SELECT label, i, avg(embedding[i]::DOUBLE) AS a FROM embeddings, range(1, 65) r(i) GROUP BY 1, 2) GROUP BY 1)
-       SELECT query_id, id, dist, rank FROM (SELECT query_id, vec_id AS id, list_distance(v, embedding::DOUBLE[]) AS dist, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(v, embedding::DOUBLE[]), vec_id) AS rank FROM q, embeddings) WHERE rank <= 20""",
+       SELECT query_id, id, dist, rank FROM (SELECT query_id, vec_id AS id, round(list_distance(v, embedding::DOUBLE[]), 9) AS dist, row_number() OVER (PARTITION BY query_id ORDER BY round(list_distance(v, embedding::DOUBLE[]), 9), vec_id) AS rank FROM q, embeddings) WHERE rank <= 20""",
 )
 def distance_join(t):
     from tessera.functions.vectors import mean_vector
@@ -388,7 +391,7 @@ def hashed_neighbours(t):
 
 def choice_sql(kind: str, direction: str) -> str:
     return f"""SELECT src, dst, '{kind}' AS kind, dist FROM (SELECT src, dst, dist, row_number() OVER (PARTITION BY src ORDER BY md5(src || '_' || dst || '_{kind}_0'), dst) AS i FROM (
-        SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.v, b.v) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v) {direction}, b.vec_id) AS r FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE r <= 10) WHERE i <= 5"""
+        SELECT a.vec_id AS src, b.vec_id AS dst, round(list_distance(a.v, b.v), 9) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 9) {direction}, b.vec_id) AS r FROM e a JOIN e b ON a.vec_id <> b.vec_id) WHERE r <= 10) WHERE i <= 5"""
 
 
 @query(
@@ -403,7 +406,7 @@ def small_world_graph(t):
 @query(
     "vs_04_recall",
     "query_id bigint, recall double",
-    """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), r AS (SELECT a.vec_id AS query_id, a.label AS la, b.label AS lb, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS r FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+    """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), r AS (SELECT a.vec_id AS query_id, a.label AS la, b.label AS lb, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v), 9), b.vec_id) AS r FROM e a JOIN e b ON a.vec_id <> b.vec_id)
        SELECT query_id, count(*) FILTER (la = lb) / 10 AS recall FROM r WHERE r <= 10 GROUP BY 1""",
 )
 def recall(t):
@@ -432,7 +435,7 @@ CANDIDATES_SQL = f"""WITH dv AS (SELECT doc_id AS id, list(value ORDER BY dim) A
 
 def text_index(t):
     words = matching.token_vectors(vocab(t), None, DIMS)
-    return matching.pack_vectors(matching.text_vectors(t.documents, "doc_id", words), "doc_id")
+    return cut_lineage(matching.pack_vectors(matching.text_vectors(t.documents, "doc_id", words), "doc_id"))
 
 
 def search_queries(t):
@@ -440,7 +443,7 @@ def search_queries(t):
     words = matching.token_vectors(vocab(t), None, DIMS)
     english = guess_language(t.benchmark, "item_id", "text").where("guess = 'en'").select("item_id", "text")
     vectors = matching.pack_vectors(matching.text_vectors(english, "item_id", words), "item_id")
-    return english, vectors
+    return english, cut_lineage(vectors)
 
 
 def stop_sql() -> str:
@@ -454,7 +457,7 @@ def stop_sql() -> str:
     "vs_06_search_candidates",
     "query_id bigint, id bigint, dist double, rank bigint",
     CANDIDATES_SQL
-    + f""" SELECT query_id, id, dist, rank FROM (SELECT query_id, id, list_distance(qv.v, dv.v) AS dist, row_number() OVER (PARTITION BY query_id ORDER BY list_distance(qv.v, dv.v), id) AS rank
+    + f""" SELECT query_id, id, dist, rank FROM (SELECT query_id, id, round(list_distance(qv.v, dv.v), 9) AS dist, row_number() OVER (PARTITION BY query_id ORDER BY round(list_distance(qv.v, dv.v), 9), id) AS rank
        FROM qv, dv WHERE query_id IN {stop_sql()}) WHERE rank <= 100""",
 )
 def search_candidates(t):

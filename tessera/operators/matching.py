@@ -81,7 +81,8 @@ def text_vectors(df: DataFrame, id_col: str, vectors: DataFrame, text: str = "te
     counts = text_tokens(df, id_col, text).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("_n"))
     return (
         counts.join(vectors, "token")
-        .select(id_col, "_n", F.posexplode("v").alias("dim", "x"))
+        # the outer form keeps Spark from testing (and so computing) the vectors below the join
+        .select(id_col, "_n", F.posexplode_outer("v").alias("dim", "x"))
         .groupBy(id_col, "dim")
         .agg((F.sum(F.col("_n") * F.col("x")) / F.sum("_n")).alias("value"))
     )

@@ -17,6 +17,10 @@ from tessera.functions.hashing import hash_order
 from tessera.plans.prefix import cut_lineage
 
 
+DIGITS = 9  # distances equal to this many digits are ties, ranked by id
+SLACK = 1e-7  # squared distances this close to the k-th are measured exactly
+
+
 def _block_search(k: int, far: bool, skip_self: bool):
     def search(queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "id": [], "dist": []})
@@ -30,11 +34,11 @@ def _block_search(k: int, far: bool, skip_self: bool):
         keep = min(k + (1 if skip_self else 0), b.shape[0])
         edge = np.partition(sign * near, keep - 1, axis=1)[:, keep - 1]
         # every row that may tie with the k-th is measured again without cancellation
-        row, col = np.nonzero(sign * near <= edge[:, None] + 1e-9)
+        row, col = np.nonzero(sign * near <= edge[:, None] + SLACK)
         if skip_self:
             other = qid[row] != cid[col]
             row, col = row[other], col[other]
-        dist = np.sqrt(((a[row] - b[col]) ** 2).sum(axis=1))
+        dist = np.round(np.sqrt(((a[row] - b[col]) ** 2).sum(axis=1)), DIGITS)
         out = pd.DataFrame({"query_id": qid[row], "id": cid[col], "dist": dist})
         out = out.sort_values(["query_id", "dist", "id"], ascending=[True, not far, True])
         return out.groupby("query_id").head(k)
@@ -55,6 +59,8 @@ def nearest(
 ) -> DataFrame:
     """Exact k nearest (or farthest) by L2: (query_id, id, dist, rank), ties by id.
 
+    Distances count as equal when they agree to nine digits.
+
     Both sides are cut into blocks of bounded size; each pair of blocks is one matrix
     product in a task that returns only its k best per query, and a last ranking merges the
     blocks. Row pairs are never formed as rows, and neither side has to fit anywhere whole.

@@ -40,8 +40,10 @@ def _close(a, b) -> bool:
 
 def compare(spark, con, query, folder: str) -> str:
     """Return 'ok', 'rows N' for queries without SQL, or a description of the difference."""
+    start = time.time()
     df = query(spark, folder)
     got = [tuple(_plain(v) for v in r) for r in df.collect()]
+    print(f"{time.time() - start:6.2f}s ", end="")
     if query.sql is None:
         return f"rows {len(got)}"
     cur = con.execute(query.oracle())
@@ -78,7 +80,7 @@ def main() -> int:
         except Exception as e:  # a broken query must not hide the others
             result = "ERROR " + str(e).strip()[:600]
         failures += result.startswith(("DIFF", "ERROR"))
-        print(f"{time.time() - start:6.2f}s {name}: {result}", flush=True)
+        print(f"({time.time() - start:6.2f}s) {name}: {result}", flush=True)
     print("failures:", failures)
     return failures
 
