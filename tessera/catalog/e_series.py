@@ -17,6 +17,7 @@ from tessera.functions.columns import (
 from tessera.functions.hashing import md5_mod
 from tessera.operators import pricing, series
 from tessera.plans.prefix import exact_quantiles, prefix
+from tessera.session import spread
 from tessera.sources.pages import cut_suffix, strip_tags
 
 PUNCTUATION = "!\"#$%&''()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -373,7 +374,7 @@ def text_pieces(t):
     f"""SELECT doc_id, len(w) AS n_tokens, len(list_distinct(w)) AS n_distinct, w[1] AS first_token FROM (SELECT doc_id, {tokens_sql("text")} AS w FROM documents)""",
 )
 def token_counts(t):
-    df = t.documents.select("doc_id", text.tokens("text").alias("w"))
+    df = spread(t.documents).select("doc_id", text.tokens("text").alias("w"))
     return df.select(
         "doc_id",
         F.size("w").alias("n_tokens"),
@@ -389,7 +390,7 @@ def token_counts(t):
        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\\s+', ' ', 'g')), 'See full bio', 1)) AS text FROM pages""",
 )
 def html_text(t):
-    return t.pages.select("page_id", cut_suffix(strip_tags(F.col("html")), "See full bio").alias("text"))
+    return spread(t.pages).select("page_id", cut_suffix(strip_tags(F.col("html")), "See full bio").alias("text"))
 
 
 @query(
@@ -478,7 +479,7 @@ def json_round_trip(t):
         greatest(len(w), 40) AS padded, len(w) + 3 AS flat FROM (SELECT doc_id, {tokens_sql("text")} AS w FROM documents)""",
 )
 def array_functions(t):
-    df = t.documents.select("doc_id", text.tokens("text").alias("w"))
+    df = spread(t.documents).select("doc_id", text.tokens("text").alias("w"))
     missing = F.greatest(F.lit(40) - F.size("w"), F.lit(0))
     return df.select(
         "doc_id",
@@ -501,4 +502,4 @@ STOP_SQL = ", ".join(f"('{w}', '{lang}')" for lang, ws in text.STOP_WORDS.items(
         SELECT d.doc_id, d.lang, b.guess, coalesce(b.hits, 0) AS hits FROM documents d LEFT JOIN b ON d.doc_id = b.doc_id""",
 )
 def language_guess(t):
-    return text.guess_language(t.documents.select("doc_id", "lang", "text"), "doc_id", "text")
+    return text.guess_language(spread(t.documents).select("doc_id", "lang", "text"), "doc_id", "text")

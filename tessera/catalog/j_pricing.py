@@ -398,5 +398,6 @@ def assignment_stream(t):
             availableNow=True
         ).start().awaitTermination()
 
-    drops(t, t.events.select("user_id", "ts"), "assigned", "ts", ["2024-01-15"], each_drop)
-    return t.spark.read.parquet(out).withColumnRenamed("group", "grp").distinct()
+    first_seen = t.events.groupBy("user_id").agg(F.min("ts").alias("ts"))
+    drops(t, first_seen, "assigned", "ts", ["2024-01-02"], each_drop)
+    return t.spark.read.parquet(out).withColumnRenamed("group", "grp")

@@ -98,8 +98,9 @@ def uplift_curve(
     still fit. Scores, arms and outcomes of one draw stay together.
     """
     draws = range(iterations)
-    weights = {f"w{b}": poisson1(uniform(F.col(id_col), seed, b)) for b in draws}
-    rows = df.select(id_col, score, w, y).withColumns(weights)
+    uniforms = {f"_u{b}": uniform(F.col(id_col), seed, b) for b in draws}
+    weights = {f"w{b}": poisson1(F.col(f"_u{b}")) for b in draws}
+    rows = df.select(id_col, score, w, y).withColumns(uniforms).withColumns(weights).drop(*uniforms)
     ranked = prefix(
         rows, [w], [F.col(score).desc(), id_col], sums={f"c{b}": F.col(f"w{b}") for b in draws}, pos=None
     )

@@ -226,9 +226,13 @@ def fit_forest(
     trees = [Tree() for _ in range(n_trees)]
     subsets = [_subset(features, k, seed, i) for i in range(n_trees)]
     active = [[0] for _ in range(n_trees)]
-    drawn = rows.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))).withColumn(
-        "_weight", poisson1(uniform(F.col(id_col), seed, F.col("_tree")))
-    ).where("_weight > 0")
+    drawn = cut_lineage(
+        rows.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+        .withColumn("_u", uniform(F.col(id_col), seed, F.col("_tree")))
+        .withColumn("_weight", poisson1(F.col("_u")))
+        .where("_weight > 0")
+        .drop("_u")
+    )
     allowed = F.lit(False)
     for i, s in enumerate(subsets):
         allowed = allowed | ((F.floor(F.col("_key") / _STEP) == i) & F.col("feature").isin(s))

@@ -26,21 +26,26 @@ def replicate(df: DataFrame, unit: Sequence[str], iterations: int, seed: int | s
     """
     hashes = ceil(iterations / DRAWS_PER_HASH)
     digest = F.md5(text_key(*[F.col(u) for u in unit], seed, F.col("_block")))
-    words = [
-        F.conv(F.substring("_digest", 1 + 8 * i, 8), 16, 10).cast("double") / F.lit(float(2**32))
+    words = {
+        f"_u{i}": F.conv(F.substring("_digest", 1 + 8 * i, 8), 16, 10).cast("double") / F.lit(float(2**32))
         for i in range(DRAWS_PER_HASH)
-    ]
+    }
     draws = [
-        F.struct((F.col("_block") * DRAWS_PER_HASH + i).alias("iter"), poisson1(w).alias("weight"))
-        for i, w in enumerate(words)
+        F.struct((F.col("_block") * DRAWS_PER_HASH + i).alias("iter"), F.col(f"_w{i}").alias("weight"))
+        for i in range(DRAWS_PER_HASH)
     ]
+    # the work is rows x iterations, so even a small table of units is spread over all tasks
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
+        df.repartition(n, *unit)
+        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
         .withColumn("_digest", digest)
+        .withColumns(words)
+        .withColumns({f"_w{i}": poisson1(F.col(f"_u{i}")) for i in range(DRAWS_PER_HASH)})
         .withColumn("_draw", F.explode(F.array(*draws)))
         .where((F.col("_draw.weight") > 0) & (F.col("_draw.iter") < iterations))
         .withColumns({"iter": F.col("_draw.iter"), "weight": F.col("_draw.weight")})
-        .drop("_block", "_digest", "_draw")
+        .drop("_block", "_digest", "_draw", *words, *[f"_w{i}" for i in range(DRAWS_PER_HASH)])
     )
 
 
@@ -83,6 +88,7 @@ def permuted_moments(
     names = [f"{p}_{v}" for p in ("s", "q") for v in values]
     spread = (
         df.select(id_col, *[F.col(v).cast("double").alias(v) for v in values])
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), id_col)
         .withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))))
         .withColumn("_h", F.md5(text_key(F.col(id_col), seed, F.col("perm"))))
         .withColumn("_p", F.left("_h", F.lit(hex_digits)))
