@@ -69,23 +69,26 @@ def prefix(
     inputs |= {f"_l_{k}": v for k, v in lasts.items()}
     inputs |= {f"_m_{k}": v for k, v in maxs.items()}
     work = df.withColumns(inputs) if inputs else df
+    by = [*[F.col(k) for k in keys], *cols]
+    ranged = work.repartitionByRange(n, *by)
+    if not inputs:
+        # sorted partitions number their own rows, which saves the window's shuffle
+        ranged = ranged.sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
     # The partition number must not change when a task is run again, so it is written down.
-    placed = cut_lineage(
-        work.repartitionByRange(n, *[F.col(k) for k in keys], *cols).withColumn(
-            _PART, F.spark_partition_id()
-        )
-    )
+    placed = cut_lineage(ranged.withColumn(_PART, F.spark_partition_id()))
 
     here = Window.partitionBy(_PART, *keys).orderBy(*cols).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    local = {"_in_pos": F.count(F.lit(1)).over(here)}
+    local = {"_in_pos": F.count(F.lit(1)).over(here)} if inputs else {}
     local |= {f"_in_{k}": F.sum(f"_s_{k}").over(here) for k in sums}
     local |= {f"_last_{k}": F.last(f"_l_{k}", ignorenulls=True).over(here) for k in lasts}
     local |= {f"_max_{k}": F.max(f"_m_{k}").over(here) for k in maxs}
-    running = placed.withColumns(local)
+    running = placed.withColumns(local) if inputs else placed
 
     aggs = [F.count(F.lit(1)).alias("_n")]
+    if not inputs:
+        aggs.append(F.min("_row").alias("_first"))
     aggs += [F.sum(f"_s_{k}").alias(f"_t_{k}") for k in sums]
     aggs += [F.max(f"_m_{k}").alias(f"_top_{k}") for k in maxs]
     if lasts:
@@ -102,12 +105,13 @@ def prefix(
     if totals:
         carry["_all_pos"] = F.sum("_n").over(whole)
         carry |= {f"_all_{k}": F.sum(f"_t_{k}").over(whole) for k in sums}
-    offsets = parts.withColumns(carry).select(_PART, *keys, *carry)
+    offsets = parts.withColumns(carry).select(_PART, *keys, *carry, *([] if inputs else ["_first"]))
 
     joined = join_on_keys(running, offsets, [_PART, *keys])
     out = {}
     if pos:
-        out[pos] = F.col("_in_pos") + F.col("_off_pos")
+        inside = F.col("_in_pos") if inputs else F.col("_row") - F.col("_first") + 1
+        out[pos] = inside + F.col("_off_pos")
         if totals:
             out[f"{pos}_total"] = F.col("_all_pos")
     for k in sums:

@@ -17,6 +17,7 @@ def local_session(cores: str = "8", partitions: int = 8, app: str = "tessera") -
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
