@@ -75,10 +75,10 @@ def user_distance(t):
 @query(
     "ud_06_user_preprocessing",
     "token string, n bigint",
-    """SELECT token, count(*) AS n FROM (SELECT unnest(list_filter(string_split(upper(text), ' '), lambda w: length(w) > 8)) AS token FROM (SELECT DISTINCT text FROM benchmark)) GROUP BY 1""",
+    """SELECT token, count(*) AS n FROM (SELECT unnest(list_filter(string_split(text, ' '), lambda w: length(w) > 8)) AS token FROM (SELECT DISTINCT text FROM benchmark)) GROUP BY 1""",
 )
 def user_preprocessing(t):
-    long_words = lambda text: F.filter(F.split(F.upper(text), " "), lambda w: F.length(w) > 8)
+    long_words = lambda text: F.filter(F.split(text, " "), lambda w: F.length(w) > 8)
     return matching.vocabulary([t.benchmark], preprocess=long_words)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import all_in, half_open
+from tessera.operators.ranking import swapped_pairs
 
 
 def calendar(spark, begin: str, end: str, name: str = "day") -> DataFrame:
@@ -99,28 +100,21 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
 
 
 def kendall_tau_b(df: DataFrame, x: str, y: str) -> DataFrame:
-    """Kendall's tau-b of two columns with few distinct values (grades, flags, bins).
+    """Kendall's tau-b of two columns.
 
-    The contingency table holds one row per pair of distinct values; concordant pairs are
-    found by joining that table with itself, so the work does not grow with the rows.
+    Discordant pairs are the swapped pairs of x against y, concordant ones those against
+    -y; both are counted from running sums over distinct values, never by pairing rows.
     """
-    cells = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(
-        F.col(x).alias("x"), F.col(y).alias("y")
-    ).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    other = cells.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("n").alias("n2"))
-    pairs = cells.join(other, F.col("x") < F.col("x2")).agg(
-        F.sum(F.col("n") * F.col("n2") * F.signum(F.col("y2") - F.col("y"))).alias("s")
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
+        F.lit(0).alias("_all"), F.col(x).alias("x"), F.col(y).cast("double").alias("y"), (-F.col(y).cast("double")).alias("back")
     )
-    pairs_of = lambda c: F.col(c) * (F.col(c) - 1) / 2
-    tx = cells.groupBy("x").agg(F.sum("n").alias("t")).agg(F.sum(pairs_of("t")).alias("v"))
-    ty = cells.groupBy("y").agg(F.sum("n").alias("t")).agg(F.sum(pairs_of("t")).alias("v"))
-    n0 = cells.agg(F.sum("n").alias("t")).select(pairs_of("t").alias("v"))
-    all_pairs = n0.select("v").scalar()
-    return pairs.select(
-        (
-            F.col("s")
-            / F.sqrt((all_pairs - tx.select("v").scalar()) * (all_pairs - ty.select("v").scalar()))
-        ).alias("tau")
+    # five single numbers; each would otherwise be planned again wherever it is used
+    number = lambda one_row: one_row.first()[0] or 0
+    pairs_of = lambda n: n * (n - 1) / 2
+    tied = lambda c: number(
+        rows.groupBy(c).agg(F.count(F.lit(1)).cast("double").alias("n")).agg(F.sum(pairs_of(F.col("n"))))
     )
-
-
+    swapped = lambda against: number(swapped_pairs(rows, "_all", "x", against).select("swapped"))
+    score = float(swapped("back") - swapped("y"))
+    every = pairs_of(F.count(F.lit(1)).cast("double"))
+    return rows.agg((F.lit(score) / F.sqrt((every - F.lit(tied("x"))) * (every - F.lit(tied("y"))))).alias("tau"))
