@@ -73,7 +73,7 @@ def prefix(
     ranged = work.repartitionByRange(n, *by)
     if not inputs:
         # sorted partitions number their own rows, which saves the window's shuffle
-        ranged = ranged.sortWithinPartitions(*by).withColumn("_row", F.monotonically_increasing_id())
+        ranged = ranged.sortWithinPartitions(*by).withColumn("_px_row", F.monotonically_increasing_id())
     # The partition number must not change when a task is run again, so it is written down.
     placed = cut_lineage(ranged.withColumn(_PART, F.spark_partition_id()))
 
@@ -88,7 +88,7 @@ def prefix(
 
     aggs = [F.count(F.lit(1)).alias("_n")]
     if not inputs:
-        aggs.append(F.min("_row").alias("_first"))
+        aggs.append(F.min("_px_row").alias("_px_first"))
     aggs += [F.sum(f"_s_{k}").alias(f"_t_{k}") for k in sums]
     aggs += [F.max(f"_m_{k}").alias(f"_top_{k}") for k in maxs]
     if lasts:
@@ -105,12 +105,12 @@ def prefix(
     if totals:
         carry["_all_pos"] = F.sum("_n").over(whole)
         carry |= {f"_all_{k}": F.sum(f"_t_{k}").over(whole) for k in sums}
-    offsets = parts.withColumns(carry).select(_PART, *keys, *carry, *([] if inputs else ["_first"]))
+    offsets = parts.withColumns(carry).select(_PART, *keys, *carry, *([] if inputs else ["_px_first"]))
 
     joined = join_on_keys(running, offsets, [_PART, *keys])
     out = {}
     if pos:
-        inside = F.col("_in_pos") if inputs else F.col("_row") - F.col("_first") + 1
+        inside = F.col("_in_pos") if inputs else F.col("_px_row") - F.col("_px_first") + 1
         out[pos] = inside + F.col("_off_pos")
         if totals:
             out[f"{pos}_total"] = F.col("_all_pos")
