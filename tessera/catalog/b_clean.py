@@ -95,10 +95,10 @@ def domain_rule(t):
     "flt_07_campaign_day",
     "customer_id bigint, offer_days bigint, target_group_flag bigint",
     """SELECT o_custkey AS customer_id, CAST(substr(o_orderpriority, 1, 1) AS INT) AS offer_days,
-       CAST(o_orderstatus = 'F' AS INT) AS target_group_flag FROM orders WHERE o_orderdate = TIMESTAMP '1998-03-02'""",
+       CAST(o_orderstatus = 'F' AS INT) AS target_group_flag FROM orders WHERE o_orderdate = TIMESTAMP '1995-06-19'""",
 )
 def campaign_day(t):
-    return t.orders.where(F.col("o_orderdate") == F.lit("1998-03-02").cast("timestamp_ntz")).select(
+    return t.orders.where(F.col("o_orderdate") == F.lit("1995-06-19").cast("timestamp_ntz")).select(
         F.col("o_custkey").alias("customer_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("offer_days"),
         (F.col("o_orderstatus") == "F").cast("int").alias("target_group_flag"),
