@@ -114,13 +114,16 @@ def linked_fingerprints(fps: DataFrame, distance: int = 3, crowd: int = 64) -> D
     count = distance // 2 + 1
     width = BITS // count
     masks = [m for s in range(count) for m in _masks(s * width, width)]
-    distinct = fps.select("fp").distinct()
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = fps.select("fp").repartition(parts, "fp").distinct()  # few bytes now, 64 rows each later
     members = cut_lineage(_buckets(_variants(distinct, "slot", "value", masks), ["slot", "value"]))
 
     stars = members.where(F.col("fp") != F.col("least")).where(_distance(F.col("fp"), F.col("least")) <= distance)
     first = cut_lineage(components(stars.select(F.col("fp").alias("u"), F.col("least").alias("v"))))
-    rooted = members.join(first, F.col("fp") == F.col("node"), "left").select(
-        "slot", "value", "fp", "size", F.coalesce("root", "fp").alias("root")
+    rooted = cut_lineage(
+        members.join(first, F.col("fp") == F.col("node"), "left").select(
+            "slot", "value", "fp", "size", F.coalesce("root", "fp").alias("root")
+        )
     )
     open_keys = rooted.groupBy("slot", "value").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
     rooted = rooted.join(open_keys.select("slot", "value"), ["slot", "value"])
