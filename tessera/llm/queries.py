@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, decontaminate, line_dedup, sharding, simhash, token_files
+from tessera.llm import byte_bpe, decontaminate, epsilon_join, line_dedup, sharding, simhash, token_files, toxicity
 from tessera.llm.ship import ship
 from tessera.session import use_checkpoint_dir
 
@@ -42,6 +42,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -53,6 +58,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_epsilon_join")
+def op5_epsilon_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsilon_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.interleave(_table(spark, sf_dir, "documents"), shards=40)
