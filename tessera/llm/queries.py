@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, decontaminate, epsilon_join, line_dedup, sharding, simhash, token_files, toxicity
+from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, sharding, simhash, surrogates, token_files, toxicity
 from tessera.llm.ship import ship
 from tessera.session import use_checkpoint_dir
 
@@ -82,3 +82,22 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     files = token_files.round_trip(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return files.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op9_surrogates")
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace(_table(spark, sf_dir, "documents"), key="documents")
+    return replaced.select("doc_id", "n_entities", "text")
+
+
+@query("op10_bwt_dedup")
+def op10_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = bwt_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["end"] - span["start"])
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
