@@ -7,6 +7,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm.batches import LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spell, spelled_out
+from tessera.llm.batches import LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spelled_out
 from tessera.plans.prefix import prefix
 
 #: Longest code in bits; codes of up to 24 bits can be read from four bytes.
@@ -26,7 +27,15 @@ BLOCK_BYTES = 1 << 20
 # Fixed value: up to here each character lower-cases to one character and nothing composes.
 _SIMPLE = "\x00-\u012f"
 #: Words whose ids a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+
+
+class _Numbers(dict):
+    """Words and their numbers; a new word gets the next one."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class WordEncoder:
@@ -40,10 +49,17 @@ class WordEncoder:
 
     def __init__(self, definition: str):
         self.definition = definition
-        self.known: dict[str, bytes] = {}
+        self._forget()
 
     def __getstate__(self):
-        return {"definition": self.definition, "known": {}}
+        return {"definition": self.definition}
+
+    def __setstate__(self, state):
+        self.__init__(state["definition"])
+
+    def _forget(self) -> None:
+        self.numbers = _Numbers()
+        self.ids, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
 
     def _load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,89 +69,107 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.final[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        added = "|".join(re.escape(t["content"]) for t in parsed["added_tokens"])
-        self.other = re.compile(f"[^{_SIMPLE}]" + f"|{added}" * bool(added))
+        self.added = [t["content"] for t in parsed["added_tokens"]]
+        self.other = re.compile(f"[^{_SIMPLE}]")
         step = next(s for s in parsed["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split")
         self.words = re.compile(spelled_out(step["pattern"]["Regex"], LETTERS, NUMBERS, SPACES))
 
-    def _encode_new(self, words: list[str], whole: bool) -> None:
-        """Learn the ids of ``words``; ``whole``: none of them is split any further."""
+    def _is_simple(self, text: str) -> bool:
+        if any(content in text for content in self.added):
+            return False
+        return text.isascii() or not self.other.search(text)
+
+    def _learn(self, words: list[str], whole: bool) -> None:
+        """Add the ids of new words; ``whole``: none of them is split any further."""
+        ids, counts = [self.ids], [self.counts]
         for start in range(0, len(words), 2000):
             own = words[start : start + 2000]
             if whole:
                 # in one go, cut after the tokens that end a word
-                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype="<u4")
-                ends = 4 * offsets(np.diff(np.flatnonzero(np.concatenate([[True], self.final[ids]]))))
-                if len(ends) == len(own) + 1:
-                    raw = ids.tobytes()
-                    self.known.update((w, raw[a:b]) for w, a, b in zip(own, ends[:-1].tolist(), ends[1:].tolist(), strict=True))
+                joined = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+                lengths = np.diff(np.flatnonzero(np.concatenate([[True], self.final[joined]])))
+                if len(lengths) == len(own):
+                    ids.append(joined)
+                    counts.append(lengths)
                     continue
-            for word, found in zip(own, self.tokenizer.encode_batch_fast(own, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype="<u4").tobytes()
+            each = [found.ids for found in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+            ids.append(np.array([x for found in each for x in found], dtype=np.uint32))
+            counts.append(np.array([len(found) for found in each], dtype=np.int64))
+        self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each text."""
         if "tokenizer" not in self.__dict__:
             self._load()
+        if len(self.numbers) > REMEMBERED:
+            self._forget()
         words: list[str] = []
         per_text = np.zeros(len(texts), dtype=np.int64)
         whole = True
         for i, text in enumerate(texts):
             text = text or ""
-            if self.other.search(text):
-                own, whole = text.split(" "), False
-            else:
+            if self._is_simple(text):
                 own = self.words.findall(text.lower())
+            else:
+                own, whole = text.split(" "), False
             per_text[i] = len(own)
             words += own
-        if not words:
-            return np.zeros(0, dtype=np.uint32), per_text
+        known = len(self.numbers)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        if len(self.numbers) > known:
+            self._learn(list(islice(self.numbers, known, None)), whole)
+        lengths = self.counts[numbers]
+        ids = self.ids[ragged((np.cumsum(self.counts) - self.counts)[numbers], lengths)]
+        return ids, np.diff(offsets(lengths)[offsets(per_text)])
 
-        def encode_distinct(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self._encode_new([w for w in distinct if w not in self.known], whole)
-            ids = [self.known[w] for w in distinct]
-            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            return np.frombuffer(b"".join(ids), dtype="<u4"), counts
 
-        return spell(words, per_text, encode_distinct)
+def id_width(tokenizer_path: str) -> str:
+    """The type that holds all ids of a tokenizer: two bytes if they fit, else four, little-endian."""
+    ids = Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values()
+    return "<u2" if max(ids) < 1 << 16 else "<u4"
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids binary): ids of every whole text and ``end_id``, four bytes each, little-endian."""
+    """(doc_id, ids binary, counts binary): ids of every whole text and ``end_id``, as :func:`id_width` says.
+
+    counts: pairs of an id and how often it occurs (four bytes each) for the rows of a piece,
+    on the first of them; null on the others.
+    """
     with open(tokenizer_path, encoding="utf-8") as definition:
         shared = docs.sparkSession.sparkContext.broadcast(WordEncoder(definition.read()))  # a fixed file of 2 MB
+    width = id_width(tokenizer_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for batch in batches:
             for piece in pieces(batch, "text"):
                 ids, counts = encoder.encode(piece.column("text").to_pylist())
-                ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, end_id)
-                rows = cut(ids.astype("<u4"), 4 * offsets(counts + 1))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), rows], ["doc_id", "ids"])
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                often = np.bincount(ids)
+                used = np.flatnonzero(often)
+                total = np.stack([used, often[used]], axis=1).astype("<u4").tobytes()
+                rows = cut(ids.astype(width), int(width[2:]) * offsets(counts + 1))
+                columns = [piece.column("doc_id"), rows, pa.array([total] + [None] * (len(counts) - 1), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "counts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, counts binary")
 
 
 def count_ids(encoded: DataFrame) -> DataFrame:
-    """(id, n): how often each id occurs; summed in each task before the shuffle."""
+    """(id, n): how often each id occurs in all rows; summed in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for piece in pieces(batch, "ids"):
-                own = np.bincount(np.frombuffer(b"".join(piece.column("ids").to_pylist()), dtype="<u4"))
-                if len(own) > len(total):
-                    own, total = total, own
-                total[: len(own)] += own
+            pairs = np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype="<u4").reshape(-1, 2).astype(np.int64)
+            own = np.bincount(pairs[:, 0], weights=pairs[:, 1], minlength=len(total)).astype(np.int64)
+            own[: len(total)] += total
+            total = own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    return encoded.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    return encoded.select("counts").where("counts is not null").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(weights: list[int], longest: int = LONGEST) -> np.ndarray:
@@ -222,8 +256,8 @@ class Code:
         return out
 
 
-def write(encoded: DataFrame, path: str) -> None:
-    """Write (doc_id, ids) as token files in ascending doc_id order.
+def write(encoded: DataFrame, path: str, width: str) -> None:
+    """Write (doc_id, ids, counts) as token files in ascending doc_id order.
 
     ``path``/codebook holds (id, bits); ``path``/blocks a row for each block: the documents'
     doc_id, numbers of ids and byte offsets, the codes, and the bit offset of every
@@ -241,8 +275,8 @@ def write(encoded: DataFrame, path: str) -> None:
         for batch in batches:
             for piece in pieces(batch, "ids"):
                 rows = piece.column("ids").to_pylist()
-                n = np.array([len(r) // 4 for r in rows], dtype=np.int64)
-                data, ends, at = shared.value.encode(np.frombuffer(b"".join(rows), dtype="<u4").astype(np.int64), n)
+                n = np.array([len(r) // int(width[2:]) for r in rows], dtype=np.int64)
+                data, ends, at = shared.value.encode(np.frombuffer(b"".join(rows), dtype=width).astype(np.int64), n)
                 marks = -(-n // EVERY)
                 first = ragged(np.zeros(len(n), dtype=np.int64), marks) * EVERY + np.repeat(offsets(n)[:-1], marks)
                 relative = at[first] - np.repeat(8 * ends[:-1], marks)
@@ -250,7 +284,7 @@ def write(encoded: DataFrame, path: str) -> None:
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), cut(data, ends), checks], ["doc_id", "n", "codes", "checks"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    rows = encoded.mapInArrow(compress, f"doc_id {kind}, n bigint, codes binary, checks array<bigint>")
+    rows = encoded.select("doc_id", "ids").mapInArrow(compress, f"doc_id {kind}, n bigint, codes binary, checks array<bigint>")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "n", "codes")
 
@@ -317,5 +351,5 @@ def round_trip(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) ->
     """
     spark = docs.sparkSession
     token_ids(docs, tokenizer_path, end_id).write.option("compression", "zstd").parquet(f"{path}/ids")
-    write(spark.read.parquet(f"{path}/ids"), f"{path}/files")
+    write(spark.read.parquet(f"{path}/ids"), f"{path}/files", id_width(tokenizer_path))
     return starts(read(spark, f"{path}/files"))
