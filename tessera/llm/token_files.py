@@ -22,12 +22,12 @@ from tessera.plans.prefix import prefix
 LONGEST = 16
 #: Ids between two checkpoints.
 EVERY = 256
-#: Bytes of codes in a block, after which the next document begins another.
-BLOCK_BYTES = 1 << 20
+#: Bytes of ids in a block, after which the next document begins another.
+BLOCK_BYTES = 2 << 20
 # Fixed value: up to here each character lower-cases to one character and nothing composes.
 _SIMPLE = "\x00-\u012f"
 #: Words whose ids a task remembers.
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 
 
 class _Numbers(dict):
@@ -38,18 +38,36 @@ class _Numbers(dict):
         return number
 
 
+class _Words:
+    """Words met so far, with all their ids in a row and the number of ids of each."""
+
+    def __init__(self):
+        self.numbers = _Numbers()
+        self.ids, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+
+    def spell(self, words: list[str], learn) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words`` in a row and the number of ids of each; ``learn`` gives those of new words."""
+        known = len(self.numbers)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
+        if len(self.numbers) > known:
+            ids, counts = learn(list(islice(self.numbers, known, None)))
+            self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        lengths = self.counts[numbers]
+        return self.ids[ragged((np.cumsum(self.counts) - self.counts)[numbers], lengths)], lengths
+
+
 class WordEncoder:
     """A tokenizer that drops white space, applied to each distinct word of many texts once.
 
     Its normaliser and splitting pattern never look across white space, so the ids of a text
     are those of its words in a row. Where lower-casing changes single characters only and
-    nothing composes (see ``_SIMPLE``), a text is cut by the tokenizer's own pattern, which
-    leaves fewer distinct words; elsewhere it is cut at spaces.
+    nothing composes (see ``_SIMPLE``), a word is cut by the tokenizer's own pattern before,
+    which leaves fewer distinct parts to encode.
     """
 
     def __init__(self, definition: str):
         self.definition = definition
-        self._forget()
+        self.words, self.parts = _Words(), _Words()
 
     def __getstate__(self):
         return {"definition": self.definition}
@@ -57,10 +75,6 @@ class WordEncoder:
     def __setstate__(self, state):
         self.__init__(state["definition"])
 
-    def _forget(self) -> None:
-        self.numbers = _Numbers()
-        self.ids, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-
     def _load(self) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(self.definition)
@@ -69,57 +83,61 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.final[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
-        self.added = [t["content"] for t in parsed["added_tokens"]]
-        self.other = re.compile(f"[^{_SIMPLE}]")
+        added = "|".join(re.escape(t["content"]) for t in parsed["added_tokens"])
+        self.special = re.compile(f"[^{_SIMPLE}]" + f"|{added}" * bool(added))
         step = next(s for s in parsed["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split")
-        self.words = re.compile(spelled_out(step["pattern"]["Regex"], LETTERS, NUMBERS, SPACES))
-
-    def _is_simple(self, text: str) -> bool:
-        if any(content in text for content in self.added):
-            return False
-        return text.isascii() or not self.other.search(text)
-
-    def _learn(self, words: list[str], whole: bool) -> None:
-        """Add the ids of new words; ``whole``: none of them is split any further."""
-        ids, counts = [self.ids], [self.counts]
-        for start in range(0, len(words), 2000):
-            own = words[start : start + 2000]
-            if whole:
-                # in one go, cut after the tokens that end a word
-                joined = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-                lengths = np.diff(np.flatnonzero(np.concatenate([[True], self.final[joined]])))
-                if len(lengths) == len(own):
-                    ids.append(joined)
-                    counts.append(lengths)
-                    continue
-            each = [found.ids for found in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
-            ids.append(np.array([x for found in each for x in found], dtype=np.uint32))
-            counts.append(np.array([len(found) for found in each], dtype=np.int64))
-        self.ids, self.counts = np.concatenate(ids), np.concatenate(counts)
+        self.pattern = re.compile(spelled_out(step["pattern"]["Regex"], LETTERS, NUMBERS, SPACES))
+
+    def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], dtype=np.uint32), np.array([len(ids) for ids in found], dtype=np.int64)
+
+    def _learn_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts that the pattern doesn't split any further, many in one go."""
+        out = []
+        for start in range(0, len(parts), 2000):
+            own = parts[start : start + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(own)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            # each part ends with a token that ends a word
+            counts = np.diff(np.flatnonzero(np.concatenate([[True], self.final[ids]])))
+            out.append((ids, counts) if len(counts) == len(own) else self._each(own))
+        return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        special = np.array([self.special.search(w) is not None for w in words], dtype=bool)
+        parts, per_word = [], []
+        for i in np.flatnonzero(~special).tolist():
+            own = self.pattern.findall(words[i].lower())
+            per_word.append(len(own))
+            parts += own
+        ids, lengths = self.parts.spell(parts, self._learn_parts)
+        plain = np.diff(offsets(lengths)[offsets(np.array(per_word, dtype=np.int64))])
+        if not special.any():
+            return ids, plain
+        rest, rest_counts = self._each([words[i] for i in np.flatnonzero(special).tolist()])
+        counts = np.zeros(len(words), dtype=np.int64)
+        counts[~special], counts[special] = plain, rest_counts
+        starts, out = np.cumsum(counts) - counts, np.zeros(int(counts.sum()), dtype=np.uint32)
+        out[ragged(starts[~special], plain)], out[ragged(starts[special], rest_counts)] = ids, rest
+        return out, counts
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each text."""
         if "tokenizer" not in self.__dict__:
             self._load()
-        if len(self.numbers) > REMEMBERED:
-            self._forget()
+        if len(self.words.numbers) > REMEMBERED:
+            self.words = _Words()
+        if len(self.parts.numbers) > REMEMBERED:
+            self.parts = _Words()
         words: list[str] = []
         per_text = np.zeros(len(texts), dtype=np.int64)
-        whole = True
         for i, text in enumerate(texts):
             text = text or ""
-            if self._is_simple(text):
-                own = self.words.findall(text.lower())
-            else:
-                own, whole = text.split(" "), False
+            # four control characters are white space to str.split alone
+            own = text.split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
             per_text[i] = len(own)
             words += own
-        known = len(self.numbers)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(self.numbers) > known:
-            self._learn(list(islice(self.numbers, known, None)), whole)
-        lengths = self.counts[numbers]
-        ids = self.ids[ragged((np.cumsum(self.counts) - self.counts)[numbers], lengths)]
+        ids, lengths = self.words.spell(words, self._learn_words)
         return ids, np.diff(offsets(lengths)[offsets(per_text)])
 
 
@@ -271,32 +289,20 @@ def write(encoded: DataFrame, path: str, width: str) -> None:
     spark.createDataFrame(book, "id bigint, bits bigint").coalesce(1).write.parquet(f"{path}/codebook")
     shared = spark.sparkContext.broadcast(Code(ids, lengths))
 
-    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch, "ids"):
-                rows = piece.column("ids").to_pylist()
-                n = np.array([len(r) // int(width[2:]) for r in rows], dtype=np.int64)
-                data, ends, at = shared.value.encode(np.frombuffer(b"".join(rows), dtype=width).astype(np.int64), n)
-                marks = -(-n // EVERY)
-                first = ragged(np.zeros(len(n), dtype=np.int64), marks) * EVERY + np.repeat(offsets(n)[:-1], marks)
-                relative = at[first] - np.repeat(8 * ends[:-1], marks)
-                checks = pa.ListArray.from_arrays(offsets(marks).astype(np.int32), relative)
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n), cut(data, ends), checks], ["doc_id", "n", "codes", "checks"])
-
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    rows = encoded.select("doc_id", "ids").mapInArrow(compress, f"doc_id {kind}, n bigint, codes binary, checks array<bigint>")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "n", "codes")
+    ordered = encoded.select("doc_id", "ids").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.length("ids"), "ids")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = 0
         for batch in batches:
-            for piece in pieces(batch, "codes", BLOCK_BYTES):
-                codes = piece.column("codes").to_pylist()
-                ends = offsets(np.array([len(c) for c in codes], dtype=np.int64))
-                checks = piece.column("checks").to_pylist()
-                flat = [int(8 * e) + c for e, own in zip(ends, checks, strict=False) for c in own]
-                columns = [[number], [piece.column("doc_id").to_pylist()], [piece.column("n").to_pylist()], [flat], [b"".join(codes)]]
+            for piece in pieces(batch, "ids", BLOCK_BYTES):
+                rows = piece.column("ids").to_pylist()
+                n = np.array([len(r) // int(width[2:]) for r in rows], dtype=np.int64)
+                codes, _, at = shared.value.encode(np.frombuffer(b"".join(rows), dtype=width).astype(np.int64), n)
+                marks = -(-n // EVERY)
+                checks = at[ragged(np.zeros(len(n), dtype=np.int64), marks) * EVERY + np.repeat(offsets(n)[:-1], marks)]
+                columns = [[number], [piece.column("doc_id").to_pylist()], [n], [checks], [codes.tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
                 number += 1
 
