@@ -49,7 +49,8 @@ def repeated_runs(docs: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
     overlapping intervals add up to maximal runs.
     """
     suffixes = _ranked(_lines(docs), ["id1", "id2"])
-    gone = suffixes.where(F.col("later") & (F.col("chars") >= min_chars)).select(*_DOC, "pos")
+    alone = F.lit(True) if min_lines == 1 else F.col("chars") >= min_chars
+    gone = suffixes.where(F.col("later") & alone).select(*_DOC, "pos")
     suffixes, depth = suffixes.select(*_DOC, "n", "pos", "rank"), 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)

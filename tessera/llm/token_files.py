@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm.batches import LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spelled_out
-from tessera.plans.prefix import prefix
+from tessera.plans.prefix import cut_lineage, prefix
 
 #: Longest code in bits; codes of up to 24 bits can be read from four bytes.
 LONGEST = 16
@@ -343,7 +343,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def starts(files: DataFrame) -> DataFrame:
     """Add ``start``, the number of ids of all documents before, to what :func:`read` gives (ids left out)."""
-    rows = files.drop("ids")
+    rows = cut_lineage(files.drop("ids"))  # decoded once
     summed = prefix(rows, [], ["doc_id", "part", "block", "place"], sums={"_upto": F.col("n_tokens")}, pos=None)
     return summed.withColumn("start", (F.col("_upto") - F.col("n_tokens")).cast("bigint")).drop("_upto")
 

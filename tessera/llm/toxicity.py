@@ -288,8 +288,10 @@ def _usable(labels: DataFrame) -> DataFrame:
 def _scored(features: DataFrame, model) -> DataFrame:
     if model is None:
         return features.withColumn("_score", F.lit(0.0))
-    plain = model.transform(features.withColumn("_vector", array_to_vector("_features")).withColumnRenamed("_vector", "features"))
-    return plain.withColumn("_score", F.get(vector_to_array("probability"), F.lit(1))).drop("features", "rawPrediction", "probability", "prediction")
+    # names that no table is likely to have
+    model = model.setFeaturesCol("_vector").setProbabilityCol("_probability").setRawPredictionCol("_raw").setPredictionCol("_class")
+    scored = model.transform(features.withColumn("_vector", array_to_vector("_features")))
+    return scored.withColumn("_score", F.get(vector_to_array("_probability"), F.lit(1))).drop("_vector", "_probability", "_raw", "_class")
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
