@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at a time, whatever the size of a batch.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 # Fixed values, for brackets of a pattern: letters, numbers and white space up to U+024F, all white space.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from tessera.llm.batches import ALL_SPACES, LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spell, spelled_out
 
 #: Pre-tokens outside the vocabulary whose merges a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _BEYOND = re.compile("[^\u0000-\u024f]")
 

@@ -28,7 +28,7 @@ STRONG, WEAK = (20.0, 0.7), (8.0, 0.3)
 VOTERS = 16
 FEATURES = VOTERS + 6
 _WORD = re.compile(r"[^\W\d_]+")
-_REMEMBERED = 500_000
+_REMEMBERED = 200_000
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -170,6 +170,7 @@ def featurize(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
                 found = [shared.value.features(t) for t in piece.column("_text").to_pylist()]
                 added = [pa.array([v for v, _ in found], pa.int32()), pa.array([x for _, x in found], pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in keep), *added], [*keep, "_votes", "_features"])
+        shared.value.known.clear()  # the worker lives on
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema] + ["_votes int", "_features array<double>"])
     return kept.mapInArrow(run, schema)
