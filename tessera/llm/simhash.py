@@ -115,7 +115,8 @@ def linked_fingerprints(fps: DataFrame, distance: int = 3, crowd: int = 64) -> D
     width = BITS // count
     masks = [m for s in range(count) for m in _masks(s * width, width)]
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = fps.select("fp").distinct().repartition(parts, "fp")  # few bytes now, 64 rows each later
+    # few bytes now, 64 rows each later; another key than that of distinct, so that it is kept
+    distinct = fps.select("fp").distinct().repartition(parts, F.xxhash64("fp"))
     members = cut_lineage(_buckets(_variants(distinct, "slot", "value", masks), ["slot", "value"]))
 
     stars = members.where(F.col("fp") != F.col("least")).where(_distance(F.col("fp"), F.col("least")) <= distance)
