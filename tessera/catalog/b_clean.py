@@ -227,7 +227,7 @@ def minmax_epoch(t):
     df = t.orders.select("o_orderkey", epoch_micros("o_orderdate").alias("us"))
     ends = df.agg(F.min("us").alias("a"), F.max("us").alias("b"))
     a, b = scalar(ends, "a"), scalar(ends, "b")
-    return df.withColumn("position", (F.col("us") - a) / (b - a))
+    return df.withColumn("position", F.try_divide(F.col("us") - a, b - a))
 
 
 @query(

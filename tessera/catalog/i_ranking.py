@@ -8,7 +8,6 @@ from tessera.functions.text import guess_language
 from tessera.functions.hashing import uniform
 from tessera.operators import matching, neighbours, ranking
 from tessera.plans.prefix import cut_lineage
-from tessera.session import spread
 
 RANK_SQL = """(SELECT o_custkey AS q, o_orderkey AS id, 5 - CAST(substr(o_orderpriority, 1, 1) AS INT) AS y, CAST(o_orderpriority <= '2-HIGH' AS INT) AS b,
    o_totalprice / 100000 + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS s FROM orders)"""
@@ -182,7 +181,7 @@ VOCAB_SQL = f"""(SELECT token, count(*) AS n FROM (SELECT unnest({tokens_sql('te
 
 
 def vocab(t):
-    return matching.vocabulary([spread(t.documents), t.benchmark], min_count=3)
+    return matching.vocabulary([t.documents, t.benchmark], min_count=3)
 
 
 @query("tx_01_vocabulary", "token string, n bigint", f"SELECT token, n FROM {VOCAB_SQL}")
@@ -211,7 +210,7 @@ def token_ids(t):
         SELECT doc_id, greatest(count(*), 30) AS size, count(*) FILTER (code = 1) AS oov, greatest(30 - count(*), 0) AS pads, sum(pos * code) AS checksum FROM c GROUP BY 1""",
 )
 def id_sequences(t):
-    seq = matching.id_sequences(spread(t.documents), "doc_id", matching.token_ids(vocab(t)), pad_to=30)
+    seq = matching.id_sequences(t.documents, "doc_id", matching.token_ids(vocab(t)), pad_to=30)
     total = F.aggregate(
         F.transform("ids", lambda x, i: x * (i + 1)), F.lit(0).cast("bigint"), lambda a, x: a + x
     )
@@ -248,7 +247,7 @@ TEXT_VECTOR_SQL = f"""(SELECT doc_id, d AS dim, avg(v[d + 1]) AS value FROM {WOR
 
 @query("tx_05_text_vectors", "doc_id bigint, dim bigint, value double", f"SELECT doc_id, dim, value FROM {TEXT_VECTOR_SQL}")
 def text_vectors(t):
-    return matching.text_vectors(spread(t.documents), "doc_id", matching.token_vectors(vocab(t), None, DIMS))
+    return matching.text_vectors(t.documents, "doc_id", matching.token_vectors(vocab(t), None, DIMS))
 
 
 PAIR_ROWS_SQL = "(SELECT o_custkey AS l, o_orderkey + 1000000000 AS r, greatest(0, 3 - CAST(substr(o_orderpriority, 1, 1) AS INT)) AS label FROM orders)"
@@ -425,7 +424,7 @@ def recall(t):
 @query("vs_05_graph_search", "query_id bigint, id bigint, dist double, rank bigint")
 def graph_search(t):
     graph = neighbours.small_world_graph(t.embeddings, "vec_id", "embedding", near_pool=15, near_edges=12)
-    return neighbours.graph_search(t.embeddings, "vec_id", t.embeddings, "vec_id", "embedding", graph, k=10, beam=30, max_steps=8)
+    return neighbours.graph_search(t.embeddings, "vec_id", t.embeddings, "vec_id", "embedding", graph, k=10, beam=30)
 
 
 CANDIDATES_SQL = f"""WITH dv AS (SELECT doc_id AS id, list(value ORDER BY dim) AS v FROM {TEXT_VECTOR_SQL} GROUP BY 1),
@@ -436,7 +435,7 @@ CANDIDATES_SQL = f"""WITH dv AS (SELECT doc_id AS id, list(value ORDER BY dim) A
 
 def text_index(t):
     words = matching.token_vectors(vocab(t), None, DIMS)
-    return cut_lineage(matching.pack_vectors(matching.text_vectors(spread(t.documents), "doc_id", words), "doc_id"))
+    return cut_lineage(matching.pack_vectors(matching.text_vectors(t.documents, "doc_id", words), "doc_id"))
 
 
 def search_queries(t):
@@ -476,7 +475,7 @@ def two_stage_search(t):
     left = matching.vector_lists(english, "item_id", words)
     # only texts that are some query's candidate get token vectors
     wanted = pairs.select("doc_id").distinct()
-    right = matching.vector_lists(spread(t.documents).join(wanted, "doc_id", "left_semi"), "doc_id", words)
+    right = matching.vector_lists(t.documents.join(wanted, "doc_id", "left_semi"), "doc_id", words)
     made = matching.kernel_features(pairs, "item_id", "doc_id", left, right)
     # weights grow with the kernel's similarity level
     weights = [mu for mu, _ in matching.kernel_centres()]

@@ -68,7 +68,7 @@ def user_distance(t):
     graph = neighbours.small_world_graph(t.embeddings, "vec_id", "embedding", near_pool=15, near_edges=12)
     distance = lambda a, b: 1 - vectors.cosine(a, b)
     return neighbours.graph_search(
-        t.embeddings, "vec_id", t.embeddings, "vec_id", "embedding", graph, k=5, beam=15, max_steps=4, dist=distance
+        t.embeddings, "vec_id", t.embeddings, "vec_id", "embedding", graph, k=5, beam=15, dist=distance
     )
 
 

@@ -54,8 +54,8 @@ def scalar(df: DataFrame, column: str) -> Column:
 
 def bins_equal_width(x: Column, lo: Column, hi: Column, k: int) -> Column:
     """1..k, right-closed bins of equal width; the smallest value falls in the first."""
-    at = F.ceil((x - lo) / ((hi - lo) / k))
-    return F.least(F.lit(k), F.greatest(F.lit(1), at)).cast("int")
+    at = F.coalesce(F.ceil(F.try_divide(x - lo, (hi - lo) / k)), F.lit(1))
+    return F.when(x.isNotNull(), F.least(F.lit(k), F.greatest(F.lit(1), at))).cast("int")
 
 
 def bins_by_edges(x: Column, edges: Sequence[Column]) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,22 +39,21 @@ def hash_order(*parts: Column | str | int) -> Column:
     return F.md5(text_key(*parts))
 
 
-# P(Poisson(1) <= k) for k = 0..8.
-POISSON1_CDF = [
-    0.36787944117144233,
-    0.7357588823428847,
-    0.9196986029286058,
-    0.9810118431238462,
-    0.9963401531726563,
-    0.9994058151824183,
-    0.9999167588507119,
-    0.9999897508033253,
-    0.9999988747974020,
-]
+def _poisson1_cdf(least: float = 2.0**-52) -> list[float]:
+    """P(Poisson(1) <= k) for k = 0, 1, ... as long as a draw of 52 bits can lie above."""
+    term, total, out = math.exp(-1), 0.0, []
+    while 1 - (total + term) >= least:
+        total += term
+        out.append(total)
+        term /= len(out)
+    return out
+
+
+POISSON1_CDF = _poisson1_cdf()
 
 
 def poisson1(draw: Column) -> Column:
-    """A Poisson(1) count from a uniform draw (counts above 9 are folded into 9)."""
+    """A Poisson(1) count from a uniform draw of up to 52 bits."""
     count = F.lit(0)
     for edge in POISSON1_CDF:
         count = count + (draw >= F.lit(edge)).cast("int")

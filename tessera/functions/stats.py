@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
 import numpy as np
@@ -72,7 +73,18 @@ def _lit(v):
 
 
 def _log_beta(a, b):
-    return _log_gamma(a) + _log_gamma(b) - _log_gamma(a + b)
+    """log B(a, b); for a large argument from the ratio of its gamma functions, where logs would cancel."""
+    small, big = np.minimum(a, b), np.maximum(a, b)
+    large = np.maximum(big, 10.0)
+    growth = (large + small - 0.5) * np.log1p(small / large) + small * np.log(large) - small
+    ratio = growth + _stirling(large + small) - _stirling(large)
+    plain = _log_gamma(big) + _log_gamma(small) - _log_gamma(big + small)
+    return np.where(big >= 10, _log_gamma(small) - ratio, plain)
+
+
+def _stirling(x):
+    inv = 1 / x
+    return inv / 12 - inv**3 / 360 + inv**5 / 1260 - inv**7 / 1680
 
 
 def _log_gamma(x):
@@ -83,9 +95,7 @@ def _log_gamma(x):
         small = x < 10
         shift = np.where(small, shift + np.log(np.where(small, x, 1.0)), shift)
         x = np.where(small, x + 1, x)
-    inv = 1 / x
-    series = inv / 12 - inv**3 / 360 + inv**5 / 1260 - inv**7 / 1680
-    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - shift
+    return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + _stirling(x) - shift
 
 
 def _beta_fraction(a, b, x, steps=300):
@@ -98,22 +108,33 @@ def _beta_fraction(a, b, x, steps=300):
     return 1 / (1 - (a + b) * x / (a + 1) / value)
 
 
-def incomplete_beta(a, b, x):
-    """Regularised incomplete beta function for numpy arrays."""
-    a, b, x = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, x)))
-    x = np.clip(x, 0.0, 1.0)
+def incomplete_beta(a, b, x, rest=None):
+    """Regularised incomplete beta function for numpy arrays; ``rest`` is 1 - x, if known more exactly."""
+    a, b, x, rest = np.broadcast_arrays(*(np.asarray(v, dtype=float) for v in (a, b, x, 1 - np.asarray(x, dtype=float) if rest is None else rest)))
+    x, rest = np.clip(x, 0.0, 1.0), np.clip(rest, 0.0, 1.0)
     swap = x > (a + 1) / (a + b + 2)
-    p, q, y = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, 1 - x, x)
+    p, q, y = np.where(swap, b, a), np.where(swap, a, b), np.where(swap, rest, x)
+    z = np.where(swap, x, rest)
     with np.errstate(all="ignore"):
-        front = np.exp(p * np.log(y) + q * np.log1p(-y) - _log_beta(p, q)) / p
+        front = np.exp(p * np.log(y) + q * np.where(y < 0.5, np.log1p(-y), np.log(z)) - _log_beta(p, q)) / p
         part = np.where(y <= 0, 0.0, front * _beta_fraction(p, q, y))
     return np.where(swap, 1 - part, part)
 
 
 def student_two_sided(t, dof):
     """Two-sided p-values for numpy arrays of t statistics and degrees of freedom."""
-    t, dof = np.asarray(t, dtype=float), np.asarray(dof, dtype=float)
-    return incomplete_beta(dof / 2, 0.5, dof / (dof + t * t))
+    t, dof = np.broadcast_arrays(np.asarray(t, dtype=float), np.asarray(dof, dtype=float))
+    with np.errstate(all="ignore"):
+        # close to the normal law: its first term in 1 / dof leaves an error far below 1e-9
+        near = (dof > 1e7) & (t**4 < 1e-4 * dof)
+    normal = np.vectorize(math.erfc, otypes=[float])(np.abs(t) / math.sqrt(2))
+    density = np.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    corrected = normal + density * np.abs(t) * (t * t + 1) / (2 * np.where(near, dof, 1.0))
+    return np.where(near, corrected, _student_by_beta(t, dof))
+
+
+def _student_by_beta(t, dof):
+    return incomplete_beta(dof / 2, 0.5, dof / (dof + t * t), t * t / (dof + t * t))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -126,8 +147,13 @@ def t_two_sided(t: pd.Series, dof: pd.Series) -> pd.Series:
 def t_quantile(p: pd.Series, dof: pd.Series) -> pd.Series:
     """Student-t quantile by bisection; applied to one row per test."""
     p_, dof_ = p.to_numpy(dtype=float), dof.to_numpy(dtype=float)
-    lo, hi = np.zeros_like(p_), np.full_like(p_, 1e6)
+    lo, hi = np.zeros_like(p_), np.ones_like(p_)
     want = 2 * np.minimum(p_, 1 - p_)
+    for _ in range(500):  # until the quantile is below, as far as numbers go
+        short = student_two_sided(hi, dof_) > want
+        if not short.any():
+            break
+        hi = np.where(short, hi * 4, hi)
     for _ in range(200):
         mid = (lo + hi) / 2
         above = student_two_sided(mid, dof_) > want

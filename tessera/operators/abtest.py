@@ -43,11 +43,11 @@ def t_columns(equal_var: bool = False) -> dict[str, Column]:
     v1, v2 = F.col("var_p"), F.col("var_c")
     delta = F.col("mean_p") - F.col("mean_c")
     if equal_var:
-        pooled = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-        return {"delta": delta, "t": delta / F.sqrt(pooled * (1 / n1 + 1 / n2)), "dof": (n1 + n2 - 2).cast("double")}
+        pooled = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2)
+        return {"delta": delta, "t": F.try_divide(delta, F.sqrt(pooled * (1 / n1 + 1 / n2))), "dof": (n1 + n2 - 2).cast("double")}
     a, b = v1 / n1, v2 / n2
-    dof = F.pow(a + b, F.lit(2.0)) / (a * a / (n1 - 1) + b * b / (n2 - 1))
-    return {"delta": delta, "t": delta / F.sqrt(a + b), "dof": dof}
+    dof = F.try_divide(F.pow(a + b, F.lit(2.0)), F.try_divide(a * a, n1 - 1) + F.try_divide(b * b, n2 - 1))
+    return {"delta": delta, "t": F.try_divide(delta, F.sqrt(a + b)), "dof": dof}
 
 
 def t_test_of(m: DataFrame, keys: Sequence[str], group: str, pilot, control, equal_var: bool = False) -> DataFrame:
@@ -105,11 +105,11 @@ def mann_whitney(df: DataFrame, group: str, value: str, pilot, control) -> DataF
     )
     n1, n, n2 = F.col("n1"), F.col("n"), F.col("n") - F.col("n1")
     u = F.col("rank_sum") - n1 * (n1 + 1) / 2
-    sd = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
+    sd = F.sqrt(n1 * n2 / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     far = F.abs(F.col("u") - n1 * n2 / 2)
     return (
         s.withColumn("u", u)
-        .withColumn("z", F.greatest(far - 0.5, F.lit(0.0)) / sd)
+        .withColumn("z", F.try_divide(F.greatest(far - 0.5, F.lit(0.0)), sd))
         .withColumn("p_value", norm_two_sided(F.col("z")))
         .select("u", "z", "p_value")
     )
@@ -119,14 +119,14 @@ def histogram_overlap(df: DataFrame, group: str, value: str, pilot, control, bin
     """Shared area of two distributions on common equal-width bins, and by trapezoids."""
     ends = df.agg(F.min(value).alias("a"), F.max(value).alias("b"))
     a, b = scalar(ends, "a"), scalar(ends, "b")
-    at = F.least(F.floor((F.col(value) - a) / ((b - a) / bins)), F.lit(bins - 1))
+    at = F.when(F.col(value).isNotNull(), F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - a, (b - a) / bins)), F.lit(0)), F.lit(bins - 1)))
     g = F.col(group)
     counts = df.groupBy(at.alias("bin")).agg(
         F.count_if(g == F.lit(pilot)).alias("p"), F.count_if(g == F.lit(control)).alias("c")
     )
     grid = df.sparkSession.range(bins).select(F.col("id").alias("bin")).join(counts, "bin", "left").fillna(0)
     total = grid.agg(F.sum("p").alias("p"), F.sum("c").alias("c"))
-    low = F.least(F.col("p") / scalar(total, "p"), F.col("c") / scalar(total, "c"))
+    low = F.least(F.try_divide(F.col("p"), scalar(total, "p")), F.try_divide(F.col("c"), scalar(total, "c")))
     # one row per bin: this window is as small as the histogram
     w = Window.partitionBy(F.lit(0)).orderBy("bin")
     shared = grid.withColumn("low", low).withColumn("before", F.lag("low").over(w))

@@ -50,7 +50,7 @@ def skew_of_sums() -> tuple[Callable[[str], Mapping[str, Column]], Column]:
     m = F.col("s1") / F.col("n")
     var = F.col("s2") / F.col("n") - m * m
     third = F.col("s3") / F.col("n") - 3 * m * F.col("s2") / F.col("n") + 2 * m * m * m
-    return sums, third / F.pow(var, F.lit(1.5))
+    return sums, F.try_divide(third, F.pow(var, F.lit(1.5)))
 
 
 def bootstrap_skewness(df: DataFrame, unit: str, value: str, iterations: int, alpha=0.05, seed=0) -> DataFrame:

@@ -15,7 +15,7 @@ from tessera.operators.abtest import moments, t_test
 
 def theta(df: DataFrame, y: str, covariate: str):
     """Sample covariance over population variance, as a subquery column."""
-    t = df.agg((F.covar_samp(covariate, y) / F.var_pop(covariate)).alias("theta"))
+    t = df.agg((F.coalesce(F.try_divide(F.covar_samp(covariate, y), F.var_pop(covariate)), F.lit(0.0))).alias("theta"))
     return scalar(t, "theta")
 
 
@@ -59,16 +59,23 @@ def variance_reduction(df: DataFrame, group: str, y: str, covariate: str) -> Dat
     """Variance of the metric and of the adjusted metric per group, and their ratio."""
     adjusted = adjust(df, y, covariate, "_adj")
     return adjusted.groupBy(group).agg(F.var_samp(y).alias("var_plain"), F.var_samp("_adj").alias("var_cuped")).withColumn(
-        "ratio", F.col("var_plain") / F.col("var_cuped")
+        "ratio", F.try_divide(F.col("var_plain"), F.col("var_cuped"))
     )
 
 
 def model_covariate(
     train: DataFrame, score: DataFrame, features: Sequence[str], y: str, name: str = "prediction", reg: float = 1.0
 ) -> DataFrame:
-    """Ridge prediction of the metric, fitted on rows outside the test, as a covariate."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="skip")
+    """Ridge prediction of the metric, fitted on rows outside the test, as a covariate.
+
+    A null feature counts as the mean over the training rows (0 if those have none), so that
+    every row of ``score`` gets a prediction; training rows without the metric are left out.
+    """
+    means = train.agg(*[F.avg(f).alias(f) for f in features]).first().asDict()
+    filled = {f: F.coalesce(F.col(f).cast("double"), F.lit(float(means[f] or 0.0))) for f in features}
+    train, score = train.where(F.col(y).isNotNull()).withColumns({f"_f_{f}": c for f, c in filled.items()}), score.withColumns({f"_f_{f}": c for f, c in filled.items()})
+    assembler = VectorAssembler(inputCols=[f"_f_{f}" for f in features], outputCol="_x")
     model = LinearRegression(featuresCol="_x", labelCol=y, predictionCol=name, regParam=reg, solver="normal").fit(
         assembler.transform(train)
     )
-    return model.transform(assembler.transform(score)).drop("_x")
+    return model.transform(assembler.transform(score)).drop("_x", *[f"_f_{f}" for f in features])

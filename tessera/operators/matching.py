@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.hashing import hash_order, md5_mod, text_key, uniform
 from tessera.functions.text import tokens
-from tessera.plans.prefix import prefix
+from tessera.plans.prefix import join_on_keys, prefix
 
 PAD, OOV = 0, 1
 
@@ -55,8 +55,10 @@ def id_sequences(df: DataFrame, id_col: str, ids: DataFrame, text: str = "text",
     )
     # one list per text, as long as the text
     packed = coded.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "code"))).alias("_s"))
-    seq = F.transform("_s", lambda x: x["code"])
-    short = F.greatest(F.lit(pad_to) - F.size("_s"), F.lit(0))
+    # a text without a word is all padding
+    packed = join_on_keys(df.select(id_col).distinct(), packed, [id_col], "left")
+    seq = F.coalesce(F.transform("_s", lambda x: x["code"]), F.array().cast("array<bigint>"))
+    short = F.greatest(F.lit(pad_to) - F.size(seq), F.lit(0))
     return packed.select(id_col, F.concat(seq, F.array_repeat(F.lit(PAD).cast("bigint"), short)).alias("ids"))
 
 
@@ -180,11 +182,9 @@ def id_texts(df: DataFrame, left: str, right: str, text_left: str, text_right: s
 
 def kernel_centres(n: int = 21, sigma: float = 0.1, exact: float = 0.001) -> list[tuple[float, float]]:
     """(mu, sigma) of the pooling kernels on [-1, 1]; the last one matches equality."""
-    out = []
-    for i in range(n):
-        mu = 1 / (n - 1) + 2 * i / (n - 1) - 1
-        out.append((1.0, exact) if mu > 1 else (mu, sigma))
-    return out
+    width = 2 / (n - 1)
+    middles = [(j + 0.5) * width - 1 for j in range(n - 1)]
+    return [(mu, sigma) for mu in middles] + [(1.0, exact)]
 
 
 def _kernel_udf(centres: list[tuple[float, float]]):

@@ -118,7 +118,6 @@ def graph_search(
     k: int = 10,
     beam: int = 20,
     starts: int = 5,
-    max_steps: int = 30,
     dist: Callable[[Column, Column], Column] = vectors.l2,
     seed: int = 0,
 ) -> DataFrame:
@@ -142,7 +141,7 @@ def graph_search(
     state = cut_lineage(measured(first).withColumn("open", F.lit(True)))
     seen = cut_lineage(state.select("query_id", "id"))
     w = Window.partitionBy("query_id").orderBy("dist", "id")
-    for _ in range(max_steps):
+    while True:
         grow = state.where("open")
         steps = grow.join(links, F.col("id") == F.col("src")).select("query_id", F.col("dst").alias("id")).distinct()
         new = cut_lineage(measured(steps.join(seen, ["query_id", "id"], "left_anti")).withColumn("open", F.lit(True)))

@@ -31,10 +31,15 @@ def gain(y: Column, scheme: str = "const") -> Column:
 
 
 def _positions(df: DataFrame, query: str, id_col: str, by: str, k: int | None, name: str = "rank") -> DataFrame:
-    """Ranks by ``by`` descending; with k only the first k rows of each query are kept."""
+    """Ranks by ``by`` descending; with k only the first k rows of each query are kept.
+
+    Up to 1000 rows Spark drops the others before the shuffle; more of a query may be too
+    many for one task and are ranked in range partitions.
+    """
     order = [F.col(by).desc(), F.col(id_col)]
-    if k is None:
-        return prefix(df, [query], order, pos=name)
+    if k is None or k > 1000:
+        ranked = prefix(df, [query], order, pos=name)
+        return ranked if k is None else ranked.where(F.col(name) <= k)
     w = Window.partitionBy(query).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
 
@@ -49,7 +54,7 @@ def ndcg(df: DataFrame, query: str, id_col: str, y: str, score: str, k: int | No
     """nDCG per query, 0 where the ideal is 0."""
     got = dcg(df, query, id_col, y, score, k, scheme, "dcg")
     best = dcg(df, query, id_col, y, y, k, scheme, "ideal")
-    return got.join(best, query).withColumn(
+    return join_on_keys(got, best, [query]).withColumn(
         "ndcg", F.coalesce(F.col("dcg") / F.nullif(F.col("ideal"), F.lit(0.0)), F.lit(0.0))
     )
 
@@ -88,7 +93,7 @@ def precision_at_k(df: DataFrame, query: str, id_col: str, y: str, score: str, k
     hits = ranked.groupBy(query).agg(F.count_if(F.col(y) == 1).alias("hits"), F.count(F.lit(1)).alias("got"))
     total = df.groupBy(query).agg(F.sum(y).alias("relevant"))
     capped = F.col("hits") / F.least(F.col("got"), F.col("relevant"))
-    return hits.join(total, query).select(
+    return join_on_keys(hits, total, [query]).select(
         query,
         (F.col("hits") / F.col("got")).alias("precision"),
         F.when(F.col("relevant") == 0, F.lit(-1.0)).otherwise(capped).alias("capped"),
@@ -208,7 +213,7 @@ def lambdas(
     column = lambda rows, c: F.transform(F.col(rows), lambda x: x[c])
     other = packed.select(F.col(query).alias("_q2"), F.col("rows").alias("rows2"))
     sums = (
-        packed.join(other, F.col(query) == F.col("_q2"))
+        packed.join(other, F.col(query).eqNullSafe(F.col("_q2")))
         .withColumn("_sum", _lambda_block(*[column(rows, c) for rows in ("rows", "rows2") for c in ("y", "s", "r")]))
         .select(query, F.explode(F.arrays_zip(column("rows", id_col).alias("id"), F.col("_sum").alias("v"))).alias("z"))
         .groupBy(query, F.col("z.id").alias(id_col))

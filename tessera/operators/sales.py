@@ -89,7 +89,7 @@ def histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> D
     """Equal-width bins between the global min and max: (bin, lo, hi, n), empty bins kept."""
     ends = df.agg(F.min(value).cast("double").alias("a"), F.max(value).cast("double").alias("b"))
     a, b = ends.select("a").scalar(), ends.select("b").scalar()
-    at = F.least(F.floor((F.col(value) - a) / ((b - a) / bins)), F.lit(bins - 1))
+    at = F.least(F.coalesce(F.floor(F.try_divide(F.col(value) - a, (b - a) / bins)), F.lit(0)), F.lit(bins - 1))
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     spine = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
     if by:

@@ -42,15 +42,6 @@ def use_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work on a table of very few files to all tasks.
-
-    A table with at least as many files as the cluster has cores is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 class Tables:
     """Named tables of one folder of Parquet files, read lazily by attribute."""
 
