@@ -26,6 +26,8 @@ EVERY = 256
 BLOCK_BYTES = 2 << 20
 # Fixed value: up to here each character lower-cases to one character and nothing composes.
 _SIMPLE = "\x00-\u012f"
+#: Bytes of text encoded at a time.
+STEP_BYTES = 4 << 20
 #: Words whose ids a task remembers.
 REMEMBERED = 600_000
 
@@ -43,7 +45,8 @@ class _Words:
 
     def __init__(self):
         self.numbers = _Numbers()
-        self.ids, self.counts = np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+        self.starts, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def spell(self, words: list[str], learn) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``words`` in a row and the number of ids of each; ``learn`` gives those of new words."""
@@ -51,9 +54,10 @@ class _Words:
         numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
         if len(self.numbers) > known:
             ids, counts = learn(list(islice(self.numbers, known, None)))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
         lengths = self.counts[numbers]
-        return self.ids[ragged((np.cumsum(self.counts) - self.counts)[numbers], lengths)], lengths
+        return self.ids[ragged(self.starts[numbers], lengths)], lengths
 
 
 class WordEncoder:
@@ -160,7 +164,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", STEP_BYTES):
                 ids, counts = encoder.encode(piece.column("text").to_pylist())
                 ids = np.insert(ids, np.cumsum(counts), end_id)
                 often = np.bincount(ids)
