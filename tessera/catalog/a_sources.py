@@ -90,7 +90,7 @@ def json_records(t):
 @query(
     "src_05_word_vectors",
     "token string, dims bigint, first_value double, total double",
-    """SELECT 'v' || vec_id AS token, len(embedding) AS dims, embedding[1] AS first_value,
+    """SELECT 'v' || vec_id AS token, len(embedding) AS dims, CAST(embedding[1] AS VARCHAR) AS first_value,
               list_sum(list_transform(embedding, lambda x: CAST(CAST(x AS VARCHAR) AS DOUBLE))) AS total FROM embeddings""",
 )
 def word_vectors(t):

@@ -168,10 +168,10 @@ def offer_targets(t):
     "agg_11_vendors_per_file",
     "src string, vendors bigint, lo double, hi double",
     """SELECT l_returnflag AS src, count(DISTINCT l_suppkey) AS vendors, min(l_extendedprice / l_quantity) AS lo, max(l_extendedprice / l_quantity) AS hi
-       FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1""",
+       FROM lineitem GROUP BY 1""",
 )
 def vendors_per_file(t):
-    files = {flag: t.lineitem.where(F.col("l_returnflag") == flag) for flag in ("A", "N")}
+    files = {flag: t.lineitem.where(F.col("l_returnflag") == flag) for flag in ("A", "N", "R")}
     unit = F.col("l_extendedprice") / F.col("l_quantity")
     return (
         joins.tagged_union(files, "src")
@@ -298,10 +298,14 @@ def argmax_per_month(t):
        quantile_cont(l_extendedprice, 0.95) AS q95, quantile_cont(l_extendedprice, 0.99) AS q99 FROM lineitem GROUP BY 1""",
 )
 def quantiles(t):
-    df = t.lineitem.select("l_returnflag", "l_extendedprice", (epoch_micros("l_shipdate") / 86400000000).alias("day"))
-    days = exact_quantiles(df, ["l_returnflag"], "day", {"q70_day": 0.7})
-    prices = exact_quantiles(df, ["l_returnflag"], "l_extendedprice", {"q90": 0.9, "q95": 0.95, "q99": 0.99})
-    return days.join(prices, "l_returnflag")
+    day = epoch_micros("l_shipdate") / 86400000000
+    pair = lambda name, value: F.struct(F.lit(name).alias("metric"), value.alias("x"))
+    long = t.lineitem.select("l_returnflag", F.inline(F.array(pair("day", day), pair("price", F.col("l_extendedprice")))))
+    found = exact_quantiles(long, ["l_returnflag", "metric"], "x", {"q70": 0.7, "q90": 0.9, "q95": 0.95, "q99": 0.99})
+    of = lambda metric, q: F.max(F.when(F.col("metric") == metric, F.col(q)))
+    return found.groupBy("l_returnflag").agg(
+        of("day", "q70").alias("q70_day"), *[of("price", q).alias(q) for q in ("q90", "q95", "q99")]
+    )
 
 
 @query(

@@ -228,7 +228,7 @@ def detectable_effect(t):
 
 @query(
     "ab_11_power_by_segment",
-    "event_type string, shift double, beta double, power double",
+    "event_type string, shift double, beta fixed, power double",
     f"""WITH z AS (SELECT event_type, shift, shift / (s * sqrt(2.0::DOUBLE / n)) AS z FROM (SELECT event_type, stddev_samp(value) AS s, count(*) AS n FROM events GROUP BY 1),
          (VALUES (0.0::DOUBLE), (2), (5), (10)) v(shift)), b AS (SELECT event_type, shift, {phi_sql(f"{Z95!r} - z")} - {phi_sql(f"-{Z95!r} - z")} AS beta FROM z)
        SELECT event_type, shift, beta, 1 - beta AS power FROM b""",
@@ -555,7 +555,7 @@ def splits(t):
 
 @query(
     "ab_32_aa_p_value_ecdf",
-    "p_value double, ecdf double, off double",
+    "p_value double, ecdf double, off fixed",
     f"""WITH p AS (SELECT {t_p_sql("t", "dof")} AS p_value FROM ({welch_sql(moments_sql(SPLIT_ROWS, "split"), "split")})),
         e AS (SELECT p_value, row_number() OVER (ORDER BY p_value) / (count(*) OVER ())::DOUBLE AS ecdf FROM p) SELECT p_value, ecdf, abs(ecdf - p_value) AS off FROM e""",
 )

@@ -76,21 +76,18 @@ def error_rates(t):
 
 
 HASH = "concat('0x', md5({}))::UHUGEINT"
-# Suppliers act as experiments: three slots each, in conflict with the next and the seventh next supplier.
+# Suppliers act as experiments: each holds the slots of its first and last part, in conflict with the next and the seventh next supplier.
 SLOTS = 50
-HELD_SQL = f"""(SELECT DISTINCT 'exp ' || l_suppkey AS experiment_id, CAST(l_partkey % {SLOTS} AS INT) AS slot FROM lineitem WHERE l_quantity >= 40 AND l_tax = 0.08 AND l_discount >= 0.08)"""
+HELD_SQL = f"""(SELECT DISTINCT 'exp ' || k AS experiment_id, CAST(p % {SLOTS} AS INT) AS slot FROM (SELECT l_suppkey AS k, unnest([min(l_partkey), max(l_partkey)]) AS p FROM lineitem GROUP BY 1))"""
 EXPERIMENT_SQL = """(SELECT 'exp ' || s_suppkey AS experiment_id, s_nationkey % 3 + 1 AS count_slots, ['exp ' || (s_suppkey + 1), 'exp ' || (s_suppkey + 7)] AS conflict_experiments FROM supplier)"""
 
 
 def held_slots(t):
-    return (
-        t.lineitem.where("l_quantity >= 40 AND l_tax = 0.08 AND l_discount >= 0.08")
-        .select(
-            F.concat(F.lit("exp "), F.col("l_suppkey")).alias("experiment_id"),
-            (F.col("l_partkey") % SLOTS).cast("int").alias("slot"),
-        )
-        .distinct()
-    )
+    held = t.lineitem.groupBy("l_suppkey").agg(F.min("l_partkey").alias("first"), F.max("l_partkey").alias("last"))
+    part = held.select("l_suppkey", F.explode(F.array("first", "last")).alias("part"))
+    return part.select(
+        F.concat(F.lit("exp "), F.col("l_suppkey")).alias("experiment_id"), (F.col("part") % SLOTS).cast("int").alias("slot")
+    ).distinct()
 
 
 def experiments(t):

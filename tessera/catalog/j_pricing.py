@@ -7,7 +7,7 @@ from tessera.catalog.c_joins import PROMO_SQL, promo
 from tessera.catalog.d_aggregates import RIVALS_SQL, own_and_rivals, grouped_events
 from tessera.catalog.e_series import MONTHLY_SQL, monthly_prices
 from tessera.catalog.h_multiple import DECIDE_SQL, HELD_SQL, LLR, PAIRS_SQL, SLOTS, held_slots
-from tessera.catalog.registry import query
+from tessera.catalog.registry import QUERIES, query
 from tessera.functions.columns import half_open
 from tessera.functions.hashing import uniform
 from tessera.operators import bandit, forecast, joins, pricing, scoring, sequential
@@ -83,7 +83,7 @@ def seasonal_forecast(t):
     series = t.lineitem.groupBy(
         F.col("l_partkey").alias("sku"), F.unix_date(F.to_date("l_shipdate")).alias("day")
     ).agg(F.avg(F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
-    last = F.unix_date(F.lit("2001-11-04").cast("date"))
+    last = series.agg(F.max("day").alias("day")).scalar()
     ahead = F.explode(F.sequence(last + 1, last + 28, F.lit(7)))
     future = series.select("sku").distinct().select("sku", ahead.alias("day"))
     return forecast.seasonal_forecast(series, future, "sku", "day", "price")
@@ -185,18 +185,22 @@ def competitiveness_total(t):
     return pricing.competitiveness(own, rivals, ["sku", "y"], "price", "rival", [])
 
 
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
 @query(
     "pr_13_price_path",
-    "month date, economy double, standard double",
-    """SELECT date_trunc('month', l_shipdate) AS month, avg(l_extendedprice) FILTER (p_type = 'ECONOMY') AS economy, avg(l_extendedprice) FILTER (p_type = 'STANDARD') AS standard
-       FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
+    "month date, " + ", ".join(f"{p.lower()} double" for p in PART_TYPES),
+    "SELECT date_trunc('month', l_shipdate) AS month, "
+    + ", ".join(f"avg(l_extendedprice) FILTER (p_type = '{p}') AS {p.lower()}" for p in PART_TYPES)
+    + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1",
 )
 def price_path(t):
     rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.trunc(F.to_date("l_shipdate"), "month").alias("month"), "p_type", "l_extendedprice"
     )
-    wide = pricing.path_pivot(rows, "month", "p_type", ["ECONOMY", "STANDARD"], "l_extendedprice")
-    return wide.withColumnsRenamed({"ECONOMY": "economy", "STANDARD": "standard"})
+    wide = pricing.path_pivot(rows, "month", "p_type", PART_TYPES, "l_extendedprice")
+    return wide.withColumnsRenamed({p: p.lower() for p in PART_TYPES})
 
 
 LOG_SQL = "(SELECT event_id, ts, user_id, event_type AS arm, CAST(value > 50 AS INT) AS reward, value FROM events)"
@@ -284,7 +288,20 @@ def linear_stats(t):
     return bandit.sufficient_stats(bandit_rows(t), "arm", ["f1", "f2"], "reward")
 
 
-@query("bd_06_linear_choice", "event_id bigint, choice string, expected double")
+# the ridge weights per arm: the 3 x 3 system solved by cofactors
+WEIGHTS_SQL = f"""(SELECT arm, (c00 * y0 + c01 * y1 + c02 * y2) / det AS w0, (c01 * y0 + c11 * y1 + c12 * y2) / det AS w1, (c02 * y0 + c12 * y1 + c22 * y2) / det AS w2
+   FROM (SELECT *, a * c00 + b * c01 + c * c02 AS det
+         FROM (SELECT *, d * f - e * e AS c00, c * e - b * f AS c01, b * e - c * d AS c02, a * f - c * c AS c11, b * c - a * e AS c12, a * d - b * b AS c22
+               FROM (SELECT arm, count(*) + 0.25::DOUBLE AS a, sum(f1) AS b, sum(f2) AS c, sum(f1 * f1) + 0.25::DOUBLE AS d, sum(f1 * f2) AS e, sum(f2 * f2) + 0.25::DOUBLE AS f,
+                            sum(reward) AS y0, sum(f1 * reward) AS y1, sum(f2 * reward) AS y2 FROM {CONTEXT_SQL} GROUP BY 1))))"""
+
+
+@query(
+    "bd_06_linear_choice",
+    "event_id bigint, choice string, expected fixed",
+    f"""SELECT event_id, w.arm AS choice, w0 + w1 * f1 + w2 * f2 AS expected FROM {CONTEXT_SQL} r, {WEIGHTS_SQL} w
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY expected DESC NULLS LAST, w.arm) = 1""",
+)
 def linear_choice(t):
     weights = bandit.linear_weights(linear_stats(t), "arm", 2)
     return bandit.linear_choice(bandit_rows(t), ["f1", "f2"], weights)
@@ -303,11 +320,16 @@ def context(t):
     return bandit.context(log, predictions, sales, ["event_id"], "user_id", "ts", "sale")
 
 
+#: components of a vector in ``embeddings``
+DIMENSIONS = 64
+
+
 @query("ml_01_saved_model_scoring", "vec_id bigint, predicted_label string")
 def saved_model_scoring(t):
-    rows = t.embeddings.select("vec_id", F.concat(F.lit("class "), F.col("label")).alias("name"), *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
+    parts = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(DIMENSIONS)]
+    rows = t.embeddings.select("vec_id", F.concat(F.lit("class "), F.col("label")).alias("name"), *parts)
     path = scratch(t, "classifier")
-    scoring.fit_classifier(rows, [f"e{i}" for i in range(8)], "name", path, trees=5)
+    scoring.fit_classifier(rows, [f"e{i}" for i in range(DIMENSIONS)], "name", path, trees=5)
     return scoring.score_saved(rows, path)
 
 
@@ -348,9 +370,23 @@ def sequential_stream(t):
     return job.decisions().withColumnRenamed("key", "event_type")
 
 
-@query("st_02_price_loop", "id bigint, sku bigint, price double, bought double")
+# an answer takes the mean paid before its own arrival, so each arrival builds on the ones before
+PRICE_LOOP_SQL = f"""WITH r AS (SELECT id, sku, d, p_retailprice AS listed, CAST({U.format("id || '_bought'")} < 0.5 AS DOUBLE) AS bought
+      FROM (SELECT l_orderkey || '-' || l_partkey AS id, l_partkey AS sku, max(l_shipdate) AS d FROM lineitem GROUP BY 1, 2) LEFT JOIN part ON sku = p_partkey),
+   a1 AS (SELECT id, sku, listed AS price, bought FROM r WHERE d < DATE '1998-01-01'),
+   p1 AS (SELECT sku, avg(price) AS paid FROM a1 WHERE bought = 1 GROUP BY 1),
+   a2 AS (SELECT id, sku, coalesce(paid, listed) AS price, bought FROM r LEFT JOIN p1 USING (sku) WHERE d >= DATE '1998-01-01' AND d < DATE '2000-01-01'),
+   p2 AS (SELECT sku, avg(price) AS paid FROM (FROM a1 UNION ALL FROM a2) WHERE bought = 1 GROUP BY 1),
+   a3 AS (SELECT id, sku, coalesce(paid, listed) AS price, bought FROM r LEFT JOIN p2 USING (sku) WHERE d >= DATE '2000-01-01')
+   SELECT * FROM (FROM a1 UNION ALL FROM a2 UNION ALL FROM a3)"""
+
+
+@query("st_02_price_loop", "id string, sku bigint, price double, bought double", PRICE_LOOP_SQL)
 def price_loop(t):
-    """Price = mean of what the history paid for the part, or the list price for new parts."""
+    """Price = mean of what the history paid for the part, or the list price for new parts.
+
+    A request is a part of an order; it arrives with its last line.
+    """
     listed = t.part.select(F.col("p_partkey").alias("sku"), F.col("p_retailprice").alias("listed"))
 
     def price(batch, history):
@@ -359,10 +395,10 @@ def price_loop(t):
         return joined.select("id", "sku", F.coalesce("paid", "listed").alias("price"))
 
     feedback = lambda answered: answered.select("id", (uniform(F.col("id"), "bought") < 0.5).cast("double").alias("bought"))
-    job = jobs.PriceLoop(t.spark, scratch(t, "prices"), price, feedback)
-    rows = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(
-        F.min("l_partkey").alias("sku"), F.max("l_shipdate").alias("l_shipdate")
-    )
+    job = jobs.PriceLoop(t.spark, scratch(t, "prices"), price, feedback, id_type="string")
+    rows = t.lineitem.groupBy(
+        F.concat_ws("-", "l_orderkey", "l_partkey").alias("id"), F.col("l_partkey").alias("sku")
+    ).agg(F.max("l_shipdate").alias("l_shipdate"))
     drops(t, rows, "prices", "l_shipdate", ["1998-01-01", "2000-01-01"], lambda s, c: jobs.run_available(s, c, job.each))
     return job.history()
 
@@ -370,17 +406,28 @@ def price_loop(t):
 @query("st_03_arm_stats_stream", "arm string, pulls bigint, rewards bigint, mean double", ARMS_SQL)
 def arm_stats_stream(t):
     out = jobs.Versions(t.spark, scratch(t, "arms"))
-    seen = []
-
-    def each(batch, number):
-        out.write("stats", number, batch)
-        seen.append(number)
-
+    each = lambda batch, number: out.write("stats", number, batch)
     drops(
         t, pull_log(t), "arms", "ts", ["2024-01-10", "2024-01-20"],
         lambda s, c: jobs.run_available(jobs.arm_stats_stream(s, "arm", "reward"), c, each, "complete"),
     )
-    return out.read("stats", seen[-1], "arm string, pulls bigint, rewards bigint, mean double")
+    return out.latest("stats", "arm string, pulls bigint, rewards bigint, mean double")
+
+
+LINEAR_OUT, LINEAR_SQL = QUERIES["bd_06_linear_stats"].columns, QUERIES["bd_06_linear_stats"].sql
+
+
+@query("st_05_linear_stats_stream", ", ".join(f"{c} {kind}" for c, kind in LINEAR_OUT), LINEAR_SQL)
+def linear_stats_stream(t):
+    """What the linear bandit needs of the log, kept up to date as pulls arrive."""
+    out = jobs.Versions(t.spark, scratch(t, "linear"))
+    sufficient = lambda s: bandit.sufficient_stats(s, "arm", ["f1", "f2"], "reward")
+    rows = bandit_rows(t).join(t.events.select("event_id", "ts"), "event_id")
+    drops(
+        t, rows, "linear", "ts", ["2024-01-10", "2024-01-20"],
+        lambda s, c: jobs.run_available(sufficient(s), c, lambda batch, number: out.write("stats", number, batch), "complete"),
+    )
+    return out.latest("stats", sufficient(rows).schema.simpleString()[len("struct<"):-1].replace(":", " "))
 
 
 @query(

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 
 from tessera.session import Tables
 
-# result type -> (Spark type, SQL type); dates travel as text, doubles are rounded
+# result type -> (Spark type, SQL type); dates travel as text
 _TYPES = {
     "bigint": ("bigint", "BIGINT"),
     "double": ("double", "DOUBLE"),
+    "fixed": ("double", "DOUBLE"),
     "string": ("string", "VARCHAR"),
     "date": ("string", "VARCHAR"),
 }
-# (magnitude below which, digits kept): large values keep fewer, as sums differ in the last bits
-DIGITS = [(1e3, 6), (1e6, 4), (1e9, 2), (1e12, 0)]
-
-
-def _nudge(digits: int) -> float:
-    """A shift far below the last kept digit, so that exact halves round up in both engines."""
-    return 1.23e-3 * 10.0**-digits
+#: A ``double`` keeps ten significant digits whatever its size; the order of a sum does not reach them.
+DIGITS = 10
+#: A ``fixed`` column keeps six decimals: differences that may cancel to zero, where relative digits are noise.
+DECIMALS = 6
+# shifts far below the last kept digit, so that exact halves round up in both engines
+_NUDGE = 1.23e-13
+_FIXED_NUDGE = 1.23e-9
 
 
 @dataclass(frozen=True)
@@ -51,10 +52,10 @@ def _spark_column(name: str, kind: str):
         col = col.cast("date")
     col = col.cast(spark_type)
     if kind == "double":
-        size, kept = F.abs(col), F.round(col + F.lit(_nudge(-4)), -4)
-        for below, digits in reversed(DIGITS):
-            kept = F.when(size < below, F.round(col + F.lit(_nudge(digits)), digits)).otherwise(kept)
-        col = F.when(col.isNotNull(), kept + F.lit(0.0))
+        shown = F.format_string(f"%.{DIGITS - 1}e", col * F.lit(1 + _NUDGE)).cast("double")
+        col = F.when(col.isNotNull(), shown + F.lit(0.0))
+    if kind == "fixed":
+        col = F.round(col + F.lit(_FIXED_NUDGE), DECIMALS) + F.lit(0.0)
     return col.alias(name)
 
 
@@ -65,8 +66,10 @@ def _sql_column(name: str, kind: str) -> str:
         expr = f"CAST({expr} AS DATE)"
     expr = f"CAST({expr} AS {sql_type})"
     if kind == "double":
-        cases = " ".join(f"WHEN abs({expr}) < {below} THEN round({expr} + {_nudge(digits)}, {digits})" for below, digits in DIGITS)
-        expr = f"CASE WHEN {name} IS NOT NULL THEN (CASE {cases} ELSE round({expr} + {_nudge(-4)}, -4) END) + 0.0 END"
+        expr = f"CAST(printf('%.{DIGITS - 1}e', {expr} * {1 + _NUDGE!r}) AS DOUBLE) + 0.0"
+        expr = f"CASE WHEN {name} IS NOT NULL THEN {expr} END"
+    if kind == "fixed":
+        expr = f"round({expr} + {_FIXED_NUDGE!r}, {DECIMALS}) + 0.0"
     return f"{expr} AS {name}"
 
 

@@ -24,19 +24,20 @@ def arm_stats(log: DataFrame, arm: str, reward: str) -> DataFrame:
     )
 
 
-def _arm_list(stats: DataFrame, arm: str, score: str) -> tuple[list, object]:
-    """All arms in order and the best one; arms are options of an experiment, not data rows."""
-    rows = stats.select(arm, score).orderBy(arm).collect()
-    best = max(rows, key=lambda r: (r[score], -rows.index(r)))[arm]
-    return [r[arm] for r in rows], best
-
-
 def epsilon_greedy(decisions: DataFrame, id_col: str, stats: DataFrame, arm: str, epsilon: float, seed=0) -> DataFrame:
-    """Hash-random arm with probability epsilon, the best mean otherwise."""
-    arms, best = _arm_list(stats, arm, "mean")
+    """Hash-random arm with probability epsilon, the best mean otherwise.
+
+    The arms reach the decisions as one scalar inside Spark; equal means go to the first arm in order.
+    """
+    listed = F.array_sort(F.collect_list(F.struct(arm, "mean"))).alias("_arms")
+    arms = stats.agg(listed).scalar()
+    known = decisions.withColumn("_arms", arms)
+    top = F.array_max(F.transform("_arms", lambda a: a["mean"]))
+    best = F.filter("_arms", lambda a: a["mean"] == top)[0][arm]
     explore = uniform(F.col(id_col), seed, "explore") < epsilon
-    pick = F.array(*[F.lit(a) for a in arms])[md5_mod(text_key(F.col(id_col), seed, "arm"), len(arms)).cast("int")]
-    return decisions.withColumn("choice", F.when(explore, pick).otherwise(F.lit(best)))
+    place = md5_mod(text_key(F.col(id_col), seed, "arm"), F.size("_arms"))
+    pick = F.col("_arms")[place.cast("int")][arm]
+    return known.withColumn("choice", F.when(explore, pick).otherwise(best)).drop("_arms")
 
 
 def ucb(stats: DataFrame, arm: str) -> DataFrame:
@@ -102,7 +103,7 @@ def linear_weights(stats: DataFrame, action: str, d: int, ridge: float = 0.25) -
 def linear_choice(df: DataFrame, features: Sequence[str], weights: dict[str, list[float]]) -> DataFrame:
     """The action with the highest expected reward, the first in name order on ties."""
     scored = []
-    for name in sorted(weights, reverse=True):
+    for name in sorted(weights):
         w = weights[name]
         value = F.lit(w[0])
         for f, c in zip(features, w[1:]):

@@ -176,6 +176,10 @@ def pair_label_sums(df: DataFrame, query: str, id_col: str, y: str) -> DataFrame
     )
 
 
+#: blocks on a side of the square of block pairs that one task takes at a time
+TILE = 8
+
+
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _lambda_block(
     y: pd.Series, s: pd.Series, r: pd.Series, y2: pd.Series, s2: pd.Series, r2: pd.Series
@@ -198,7 +202,9 @@ def lambdas(
 
     The sum over the other rows of the query needs every score difference. Rows are packed
     into blocks of bounded size, blocks of the same query meet, and a task returns one sum
-    per row: pairs of rows exist only as numpy matrices of block size.
+    per row: pairs of rows exist only as numpy matrices of block size. Blocks meet under the
+    query and the tile of the pair, at most ``TILE`` by ``TILE`` blocks, so that a query of
+    any size is spread over all tasks.
     """
     ranked = prefix(df.select(query, id_col, y, score), [query], [F.col(y).desc(), id_col], pos="_r")
     discount = gain(F.col(y), "exp2") / F.log2(F.col("_r") + F.lit(1.0))
@@ -211,9 +217,15 @@ def lambdas(
         .agg(F.collect_list(F.struct(id_col, F.col(y).cast("double").alias("y"), F.col(score).cast("double").alias("s"), F.col("_r").cast("double").alias("r"))).alias("rows"))
     )
     column = lambda rows, c: F.transform(F.col(rows), lambda x: x[c])
-    other = packed.select(F.col(query).alias("_q2"), F.col("rows").alias("rows2"))
+    tiles = ranked.groupBy(query).agg(F.floor((F.max("_r") - 1) / (block * TILE)).alias("_tiles"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), "_tiles"))
+    own = F.floor(F.col("_b") / TILE)
+    tiled = join_on_keys(packed, tiles, [query])
+    left = tiled.select(query, "rows", own.alias("_t1"), every.alias("_t2"))
+    right = tiled.select(F.col(query).alias("_q"), F.col("rows").alias("rows2"), every.alias("_u1"), own.alias("_u2"))
+    same = F.col(query).eqNullSafe(F.col("_q")) & (F.col("_t1") == F.col("_u1")) & (F.col("_t2") == F.col("_u2"))
     sums = (
-        packed.join(other, F.col(query).eqNullSafe(F.col("_q2")))
+        left.join(right, same)
         .withColumn("_sum", _lambda_block(*[column(rows, c) for rows in ("rows", "rows2") for c in ("y", "s", "r")]))
         .select(query, F.explode(F.arrays_zip(column("rows", id_col).alias("id"), F.col("_sum").alias("v"))).alias("z"))
         .groupBy(query, F.col("z.id").alias(id_col))

@@ -114,9 +114,9 @@ def split_gains(
     on = [c for c in keys if c in lists.columns]
     c = F.col(weight) if weight else F.lit(1)
     treated = F.col(w) == 1
-    # at most (nodes x features) short lists: bounded by the tree, not by the data
+    # (nodes x features) short lists: Spark broadcasts them if they are small
     cells = (
-        long.join(F.broadcast(lists), on)
+        long.join(lists, on)
         .groupBy(*keys, F.size(F.filter("edges", lambda e: e < F.col("x"))).alias("cell"))
         .agg(
             F.sum(c).alias("n"),

@@ -81,7 +81,8 @@ def permuted_moments(
     """Moments of both halves of exact random splits: the first ``n_first`` rows in hash order.
 
     Pass one counts rows per hash prefix, which fixes the prefix where the split falls; pass
-    two ranks only the rows with that prefix. No pass shuffles the rows themselves. Returns
+    two ranks only the rows with that prefix. Rows are dealt out once by id, before the
+    permutations multiply them; the multiplied rows are never shuffled. Returns
     (perm, metric, n1, mean1, var1, n2, mean2, var2).
     """
     sums = [F.sum(v).alias(f"s_{v}") for v in values] + [F.sum(F.col(v) * F.col(v)).alias(f"q_{v}") for v in values]

@@ -1,18 +1,19 @@
 """Incremental forms of the sequential test, bandit statistics, assignment and pricing.
 
-State that must be exact across batches lives in versioned tables beside the stream's
-checkpoint: batch n reads the table of batch n-1 and writes its own, so a batch that is run
-again after a failure gives the same result.
+State that must be exact across batches lives in tables beside the stream's checkpoint:
+batch n reads what the batches before it wrote and writes its own, so a batch that is run
+again after a failure gives the same result. Nothing is kept in the driver: a new object on
+the same folder goes on where the old one stopped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import prefer_existing
 from tessera.operators.sequential import LogDensity, bounds
 from tessera.operators.slots import assign
 from tessera.plans.prefix import join_on_keys, prefix
@@ -31,18 +32,42 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
 
 
 class Versions:
-    """Tables ``<folder>/<name>/<batch>``: the state after each batch."""
+    """The state after the last two batches: batch n replaces batch n-2.
+
+    A batch that fails while it writes leaves the version it read from untouched.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    def _slot(self, name: str, batch: int) -> str:
+        return f"{self.folder}/{name}/{batch % 2}"
+
     def write(self, name: str, batch: int, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(f"{self.folder}/{name}/{batch}")
+        df.withColumn("_batch", F.lit(batch).cast("bigint")).write.mode("overwrite").parquet(self._slot(name, batch))
 
     def read(self, name: str, batch: int, schema: str) -> DataFrame:
+        """The version batch ``batch`` wrote; before the first batch an empty table."""
         if batch < 0:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}/{batch}")
+        stored = self.spark.read.schema(f"{schema}, _batch bigint").parquet(self._slot(name, batch))
+        return stored.where(F.col("_batch") == batch).drop("_batch")
+
+    def latest(self, name: str, schema: str) -> DataFrame:
+        """The newest version with rows, found in storage; an empty table if there is none."""
+        stored = _stored(self.spark, f"{self.folder}/{name}/*", f"{schema}, _batch bigint")
+        newest = stored.agg(F.max("_batch").alias("n")).scalar()
+        return stored.where(F.col("_batch") == newest).drop("_batch")
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What lies under ``path``; an empty table before anything was written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 class SequentialStream:
@@ -60,7 +85,6 @@ class SequentialStream:
         self.versions = Versions(spark, folder)
         self.pilot, self.control, self.null, self.alternative = pilot, control, null, alternative
         self.lower, self.upper = bounds(alpha, beta)
-        self.last = -1
 
     def each(self, batch: DataFrame, number: int) -> None:
         state = self.versions.read("state", number - 1, self.STATE)
@@ -85,7 +109,10 @@ class SequentialStream:
             F.min(F.when(F.col("z") < self.lower, F.col("i"))).alias("lo"),
             F.min(F.when(F.col("z") > self.upper, F.col("i"))).alias("hi"),
         )
-        both = state.join(new, "key", "full")
+        # one row of each side per key, a null key included
+        both = state.unionByName(new, allowMissingColumns=True).groupBy("key").agg(
+            *[F.max(c).alias(c) for c in ("used", "z", "result", "length", "_used", "_z", "lo", "hi")]
+        )
         lower_first = F.col("lo").isNotNull() & (F.col("hi").isNull() | (F.col("lo") < F.col("hi")))
         open_ = F.col("result").isNull() | (F.col("result") == 0.5)
         found = F.when(lower_first, 0.0).when(F.col("hi").isNotNull(), 1.0).otherwise(0.5)
@@ -102,10 +129,9 @@ class SequentialStream:
         matched = pairs.groupBy("key").agg(F.max("i").alias("_done"))
         left = join_on_keys(ranked, matched, ["key"], "left").where(F.col("i") > F.coalesce("_done", F.lit(0)))
         self.versions.write("waiting", number, left.select("key", "grp", "time", "tie", "value"))
-        self.last = number
 
     def decisions(self) -> DataFrame:
-        return self.versions.read("state", self.last, self.STATE)
+        return self.versions.latest("state", self.STATE)
 
 
 def arm_stats_stream(stream: DataFrame, arm: str, reward: str) -> DataFrame:
@@ -121,23 +147,33 @@ def assign_stream(users: DataFrame, user: str, slots: DataFrame, count_slots: in
 
 
 class PriceLoop:
-    """Price each request batch, then merge the feedback into the history."""
+    """Price each request batch and keep what came back.
 
-    HISTORY = "id bigint, sku bigint, price double, bought double"
+    A batch adds its own answers and its own feedback, ``<folder>/answers/batch=<n>`` and
+    ``<folder>/feedback/batch=<n>``, and rewrites nothing older. The history joins them: the
+    first feedback on an id counts. A batch sees the history of the batches before it.
+    """
 
-    def __init__(self, spark, folder: str, price: Callable[[DataFrame, DataFrame], DataFrame], feedback: Callable[[DataFrame], DataFrame]):
-        self.versions = Versions(spark, folder)
-        self.price, self.feedback, self.last = price, feedback, -1
+    def __init__(
+        self, spark, folder: str, price: Callable[[DataFrame, DataFrame], DataFrame], feedback: Callable[[DataFrame], DataFrame], id_type="bigint"
+    ):
+        self.spark, self.folder, self.price, self.feedback = spark, folder.rstrip("/"), price, feedback
+        self.answered = f"id {id_type}, sku bigint, price double"
+        self.returned = f"id {id_type}, bought double"
 
     def each(self, batch: DataFrame, number: int) -> None:
-        history = self.versions.read("history", number - 1, self.HISTORY)
-        answered = self.price(batch, history).withColumn("bought", F.lit(None).cast("double"))
-        self.versions.write("answers", number, answered)
-        written = self.versions.spark.read.parquet(f"{self.versions.folder}/answers/{number}")
-        known = history.unionByName(written.select("id", "sku", "price", "bought"))
-        merged = prefer_existing(known, self.feedback(written), ["id"], ["bought"])
-        self.versions.write("history", number, merged.select("id", "sku", "price", "bought"))
-        self.last = number
-
-    def history(self) -> DataFrame:
-        return self.versions.read("history", self.last, self.HISTORY)
+        answers = f"{self.folder}/answers/batch={number}"
+        self.price(batch, self.history(number)).select("id", "sku", "price").write.mode("overwrite").parquet(answers)
+        written = self.spark.read.schema(self.answered).parquet(answers)
+        known = self.feedback(written).where("bought IS NOT NULL").select("id", "bought")
+        known.write.mode("overwrite").parquet(f"{self.folder}/feedback/batch={number}")
+
+    def history(self, before: int | None = None) -> DataFrame:
+        """(id, sku, price, bought) of all batches, or of those before a batch number."""
+
+        def stored(name, schema):
+            rows = _stored(self.spark, f"{self.folder}/{name}", f"{schema}, batch bigint")
+            return rows if before is None else rows.where(F.col("batch") < before)
+
+        first = stored("feedback", self.returned).groupBy("id").agg(F.min_by("bought", "batch").alias("bought"))
+        return stored("answers", self.answered).join(first, "id", "left").select("id", "sku", "price", "bought")

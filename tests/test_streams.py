@@ -11,7 +11,7 @@ def test_stream_equals_batch_and_a_repeated_batch_changes_nothing(spark, tmp_pat
     n = 600
     pdf = pd.DataFrame(
         {
-            "key": rng.choice(["a", "b", "c"], n, p=[0.6, 0.3, 0.1]),
+            "key": rng.choice(np.array(["a", "b", "c", None], dtype=object), n, p=[0.5, 0.3, 0.1, 0.1]),
             "grp": rng.choice(["pilot", "control"], n),
             "time": pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(n), unit="min"),
             "tie": np.arange(n),
@@ -21,7 +21,10 @@ def test_stream_equals_batch_and_a_repeated_batch_changes_nothing(spark, tmp_pat
     df = spark.createDataFrame(pdf).withColumn("time", F.col("time").cast("timestamp_ntz"))
     null, alternative = sequential.normal(0, 1.4), sequential.normal(0.3, 1.4)
     job = jobs.SequentialStream(spark, str(tmp_path / "state"), "pilot", "control", null, alternative)
+    assert job.decisions().count() == 0
     for i, (lo, hi) in enumerate([(0, 50), (50, 400), (400, 600)]):
+        # a new object each time: nothing may live in the driver
+        job = jobs.SequentialStream(spark, str(tmp_path / "state"), "pilot", "control", null, alternative)
         part = df.where(f"tie >= {lo} AND tie < {hi}")
         job.each(part, i)
         job.each(part, i)
@@ -34,7 +37,11 @@ def test_price_loop_keeps_known_answers(spark, tmp_path):
     price = lambda batch, history: batch.withColumn("price", F.lit(5.0)).select("id", "sku", "price")
     feedback = lambda answered: answered.select("id", F.lit(1.0).alias("bought"))
     loop = jobs.PriceLoop(spark, str(tmp_path), price, feedback)
+    assert loop.history().count() == 0
     rows = spark.range(10).select("id", (F.col("id") % 3).alias("sku"))
     loop.each(rows.where("id < 6"), 0)
+    loop = jobs.PriceLoop(spark, str(tmp_path), price, feedback)
+    loop.each(rows.where("id >= 6"), 1)
     loop.each(rows.where("id >= 6"), 1)
+    assert loop.history(1).count() == 6 and loop.history().count() == 10
     assert loop.history().where("bought = 1").count() == 10

@@ -34,7 +34,7 @@ def _plain(v):
 
 def _close(a, b) -> bool:
     if isinstance(a, float) and isinstance(b, float):
-        return a == b or abs(a - b) <= 2e-6 * max(1.0, abs(a) * 1e-3)
+        return a == b or abs(a - b) <= 2e-9 * max(abs(a), abs(b))
     return a == b
 
 
@@ -53,7 +53,9 @@ def compare(spark, con, query, folder: str) -> str:
     want = [tuple(_plain(v) for v in r) for r in cur.fetchall()]
     if len(got) != len(want):
         return f"DIFF rows {len(got)} vs {len(want)}; {sorted(map(str, got))[:2]} vs {sorted(map(str, want))[:2]}"
-    key = lambda r: tuple((v is None, str(type(v)), round(v, 3) if isinstance(v, float) else v) for v in r)
+    # exact columns first, so that a last digit does not pair different rows
+    exact_first = lambda r: sorted(r, key=lambda v: isinstance(v, float))
+    key = lambda r: tuple((v is None, str(type(v)), float(f"{v:.5e}") if isinstance(v, float) else v) for v in exact_first(r))
     bad = [(g, w) for g, w in zip(sorted(got, key=key), sorted(want, key=key)) if not all(map(_close, g, w))]
     if bad:
         return f"DIFF {len(bad)} of {len(got)} rows, e.g. {bad[0][0]} vs {bad[0][1]}"
