@@ -16,10 +16,36 @@ LEAST_WORDS = 5
 SENT_SEEDS = 500_000
 
 
+_WORDS_SQL = r"""list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words"""
+_MASKS_SQL = " UNION ALL ".join(
+    f"SELECT {k} AS m, {len(mask)} AS span, {[i for i, c in enumerate(mask) if c == '1']} AS places" for k, mask in enumerate(MASKS)
+)
+#: The same rows in SQL: windows of both tables meet on their unmasked words and are verified on the diagonal.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, {_WORDS_SQL} FROM documents),
+i AS (SELECT * FROM (SELECT item_id, {_WORDS_SQL} FROM benchmark) WHERE len(words) >= {LEAST_WORDS}),
+masks AS ({_MASKS_SQL} UNION ALL
+    SELECT DISTINCT len(words) + {len(MASKS)}, len(words), range(len(words)) FROM i WHERE len(words) < {min(map(len, MASKS))}),
+dw AS (SELECT doc_id, m, x.pos AS pos, list_transform(places, lambda p: words[x.pos + p + 1]) AS seed
+    FROM d, masks, LATERAL (SELECT unnest(range(len(words) - span + 1)) AS pos) x),
+iw AS (SELECT item_id, m, span, x.pos AS item_pos, list_transform(places, lambda p: words[x.pos + p + 1]) AS seed
+    FROM i, masks, LATERAL (SELECT unnest(range(len(words) - span + 1)) AS pos) x),
+hits AS (SELECT doc_id, item_id, d.words AS words, i.words AS item, least({OVERLAP}, len(i.words)) AS overlap, dw.pos - item_pos AS shift,
+        greatest(0, item_pos + span - least({OVERLAP}, len(i.words)), item_pos - dw.pos) AS first,
+        least(item_pos, len(i.words) - least({OVERLAP}, len(i.words)), len(d.words) - (dw.pos - item_pos) - least({OVERLAP}, len(i.words))) AS last
+    FROM dw JOIN iw USING (m, seed) JOIN d USING (doc_id) JOIN i USING (item_id)),
+spans AS (SELECT DISTINCT doc_id, item_id, words, item, overlap, shift, unnest(range(first, last + 1)) AS a FROM hits),
+checked AS (SELECT doc_id, item_id, overlap, len(list_filter(range(a, a + overlap), lambda n: item[n + 1] = words[n + shift + 1])) AS same FROM spans)
+SELECT doc_id, item_id, CAST(max(same) AS INTEGER) AS equal_words, CAST(max(overlap) AS INTEGER) AS overlap_words
+FROM checked WHERE overlap - same <= overlap * {DIFFERING} // {OVERLAP} GROUP BY ALL
+"""
+
+
 def _words(text: Column) -> Column:
     """64-bit ids of the words of a text: runs of letters and digits in lower case."""
     split = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+")
-    return F.transform(split, lambda w: F.xxhash64(w))
+    # a text that starts or ends with other characters splits off an empty word there
+    return F.transform(F.array_remove(split, ""), lambda w: F.xxhash64(w))
 
 
 def _seeds(words: str, masks: list[str]) -> Column:

@@ -20,6 +20,20 @@ DIRECTIONS, BLOCK, FAN, LEAF = 8, 1024, 8, 128
 
 _PAIR = ["label", "dim"]
 
+#: The same rows in SQL: every pair of a label compared, components by closure.
+ORACLE = """
+WITH RECURSIVE usable AS (SELECT vec_id, label, e FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+    WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(e, e) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+least_of AS (SELECT x AS vec_id, min(y) AS least_id FROM reached GROUP BY 1),
+counted AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, CAST(coalesce(least(least_id, vec_id), vec_id) AS BIGINT) AS component_id,
+    coalesce(least(least_id, vec_id), vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least_of USING (vec_id) LEFT JOIN counted USING (vec_id)
+"""
+
 
 def _valid(vector: Column) -> Column:
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))

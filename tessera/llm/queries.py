@@ -53,12 +53,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-@query("op4_decontaminate")
+@query("op4_decontaminate", sql=decontaminate.ORACLE)
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-@query("op5_epsilon_join")
+@query("op5_epsilon_join", sql=epsilon_join.ORACLE)
 def op5_epsilon_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epsilon_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
 

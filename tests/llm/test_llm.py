@@ -260,7 +260,7 @@ def test_decontamination(spark, docs, texts):
         for _ in range(rng.randrange(4)):
             part[rng.randrange(len(part))] = "other"
         table.append((d, " ".join(["x y z", *part, "Q, r!"]).upper()))
-    word_list = lambda t: [w for w in re.split(r"[^\w]+", t.lower())]
+    word_list = lambda t: re.findall(r"[^\W_]+", t.lower())
     want = set()
     for d, t in table:
         have = word_list(t)
@@ -277,6 +277,21 @@ def test_decontamination(spark, docs, texts):
     assert found <= want and {x for x in want if x[2] == 13} <= found and {x for x in want if x[2] < 7} <= found
 
 
+def test_decontamination_ignores_what_surrounds_an_item(spark):
+    """Marks at the ends of an item or a text are no words, also where an item is shorter than the masks."""
+    short, seven = "Who wrote the last letter?", '"Name the two rivers of the plain."'
+    bench = spark.createDataFrame([(1, short), (2, seven), (3, "one two three four?")], "item_id bigint, text string")
+    table = [
+        (1, f"Before it. {short} And after it."),
+        (2, f"(Before) {seven}, and then more"),
+        (3, "who wrote the last letter"),
+        (4, "one two three four? is too short to count"),
+        (5, "... who wrote this letter ..."),
+    ]
+    found = decontaminate.find_leaks(spark.createDataFrame(table, "doc_id bigint, text string"), bench)
+    assert {tuple(r) for r in found.collect()} == {(1, 1, 5, 5), (2, 2, 7, 7), (3, 1, 5, 5)}
+
+
 def test_decontamination_without_broadcast(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     want = rows(decontaminate.find_leaks(docs, bench))
