@@ -27,6 +27,11 @@ STRONG, WEAK = (20.0, 0.7), (8.0, 0.3)
 #: Voters; a row's votes are the bits of one number, so there are at most 2^16 patterns of votes.
 VOTERS = 16
 FEATURES = VOTERS + 6
+#: Near copies share this part of their runs of so many words.
+SIMILAR, SHINGLE = 0.8, 5
+#: Bands of three least hashes each, by which near copies are found.
+BANDS = 8
+_FACTORS, _SHIFTS = np.random.default_rng(2).integers(1, 1 << 63, (2, 3 * BANDS), dtype=np.uint64) | np.uint64(1)
 _WORD = re.compile(r"[^\W\d_]+")
 _REMEMBERED = 200_000
 
@@ -109,22 +114,73 @@ def _bounded(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 20)) < int(most / n * (1 << 20)))
 
 
-def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """Terms that labelled rows show to go with toxic texts.
+def _signed(text: str | None) -> tuple[int | None, list[int]]:
+    """A hash of all words of a text (None for less than two words) and its bands of least shingle hashes."""
+    words = _WORD.findall((text or "").lower())
+    if len(words) < 2:
+        return None, []
+    shingles = np.fromiter(_shingles(words), np.uint64)
+    least = (shingles * _FACTORS[:, None] + _SHIFTS[:, None]).min(axis=1) if len(shingles) < 4096 else np.array([(shingles * f + c).min() for f, c in zip(_FACTORS, _SHIFTS, strict=True)])
+    bands = [xxhash.xxh64_intdigest(band.tobytes(), k) >> 1 for k, band in enumerate(least.reshape(BANDS, -1))]
+    return xxhash.xxh64_intdigest(" ".join(words)) >> 1, bands
+
+
+def _shingles(words: list[str]) -> set[int]:
+    """Hashes of the distinct runs of SHINGLE words; of all words, if they are fewer."""
+    runs = zip(*(words[i:] for i in range(min(SHINGLE, len(words)))), strict=False)
+    return {xxhash.xxh64_intdigest(" ".join(run)) for run in runs}
+
 
-    Copies would make any word of a toxic text look like evidence, so of texts with one
-    label and one least hash of word pairs, as near copies have, only one counts.
+def _similar(a: str, b: str) -> bool:
+    """Whether two texts are near copies: shingles in common, of all shingles of either."""
+    a, b = (_shingles(_WORD.findall(t.lower())) for t in (a, b))
+    return len(a & b) >= SIMILAR * len(a | b)
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(toxic, id, text) of labelled rows (doc_id, text, toxic) without copies of a text of the same label.
+
+    Texts with the same words count once. A text goes as well if a lesser one (by the hash of
+    its words) shares at least SIMILAR of the distinct shingles of both, all of them compared.
+    Which texts to compare is found by bands of least hashes: a pair at the threshold shares
+    one of eight with 99.7 %. In each band texts are compared with one of the bucket only, in
+    each with another. Texts of less than two words are no copies of each other.
     """
 
-    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):
-                least = []
-                for text in piece.column("text").to_pylist():
-                    words = _WORD.findall((text or "").lower())
-                    pairs = map(" ".join, zip(words, words[1:], strict=False))
-                    least.append(min((xxhash.xxh64_intdigest(p) >> 1 for p in pairs), default=0))
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(least, pa.int64())], [*piece.schema.names, "least"])
+                signed = [_signed(t) for t in piece.column("text").to_pylist()]
+                added = [pa.array([h for h, _ in signed], pa.int64()), pa.array([b for _, b in signed], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("own", "toxic", "text")), *added], ["own", "toxic", "text", "words", "bands"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                same = [_similar(a, b) for a, b in zip(piece.column("text").to_pylist(), piece.column("other").to_pylist(), strict=True)]
+                yield piece.select(["toxic", "id"]).filter(pa.array(same, pa.bool_()))
+
+    signed = rows.select(F.xxhash64(F.lit("row"), "doc_id").alias("own"), "toxic", "text").mapInArrow(sign, "own bigint, toxic int, text string, words bigint, bands array<bigint>")
+    signed = signed.groupBy("toxic", F.coalesce("words", "own").alias("id")).agg(F.min("text").alias("text"), F.min("bands").alias("bands"))
+    texts = cut_lineage(signed)
+    banded = texts.select("toxic", "id", F.posexplode("bands").alias("band", "value"))
+    # another order of the ids in each band, so that texts meet several of their group
+    least = F.min(F.struct(F.xxhash64("band", "id").alias("by"), "id")).getField("id")
+    heads = banded.groupBy("toxic", "band", "value").agg(least.alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = banded.join(heads, ["toxic", "band", "value"]).where("id != head")
+    pairs = pairs.select("toxic", F.greatest("id", "head").alias("id"), F.least("id", "head").alias("lesser")).distinct()
+    others = texts.select("toxic", F.col("id").alias("lesser"), F.col("text").alias("other"))
+    compared = pairs.join(others, ["toxic", "lesser"]).join(texts.select("toxic", "id", "text"), ["toxic", "id"]).select("toxic", "id", "text", "other")
+    gone = compared.mapInArrow(verify, "toxic int, id bigint").distinct()
+    return texts.select("toxic", "id", "text").join(gone, ["toxic", "id"], "left_anti")
+
+
+def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
+    """Terms that labelled rows show to go with toxic texts.
+
+    Copies would make any word of a toxic text look like evidence, so of a text and its near
+    copies with one label only one counts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -141,8 +197,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
 
     # the sample is bounded by LABELLED_ROWS, so it may go to all executors
     sample = F.broadcast(_bounded(labels.select("doc_id", "toxic"), "doc_id", LABELLED_ROWS))
-    rows = docs.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic")
-    rows = rows.mapInArrow(group, "text string, toxic int, least bigint").groupBy("toxic", "least").agg(F.min("text").alias("text"))
+    rows = distinct_texts(docs.select("doc_id", "text").join(sample, "doc_id")).select("text", "toxic")
     counted = rows.mapInArrow(run, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = cut_lineage(counted)
     all_rows = counted.where("term = ''").first()

@@ -184,6 +184,24 @@ def test_toxicity_awkward(spark, awkward, none):
     assert toxicity.score(none, labels).count() == 0 and toxicity.score(none, unlabelled).count() == 0
 
 
+def test_lexicon_counts_all_texts_but_near_copies(spark):
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choice("abcdefghij") * 2 + rng.choice("klmnopqrst") * 2 + rng.choice("uvwxyz") for _ in range(n))
+    # the pair of words with the least hash of all, in texts that have nothing else in common
+    pair = min((f"{a}q {b}q" for a in "abcdefghijklm" for b in "nopqrstuvwxyz"), key=xxhash.xxh64_intdigest)
+    plain = [f"{words(20)} {pair} {words(20)}" for _ in range(30)]
+    long = words(60)
+    copies = [long, long.upper() + "!", long + " another", "one " + long, long.replace(" ", ", ", 9)]
+    apart = [words(30) + " " + " ".join(long.split()[:30])]
+    table = [(i, t, i % 2) for i, t in enumerate(plain)]
+    table += [(100 + i, t, 0) for i, t in enumerate(copies)] + [(200, apart[0], 0), (201, long, 1)]
+    table += [(300 + i, t, 0) for i, t in enumerate(["", None, "", "idiot", "idiot"])]
+    got = [tuple(r) for r in toxicity.distinct_texts(spark.createDataFrame(table, "doc_id bigint, text string, toxic int")).select("text", "toxic").collect()]
+    assert {t for t, _ in got} >= {*plain, *apart}
+    assert sum(toxic == 0 and t is not None and t in copies for t, toxic in got) == 1 and (long, 1) in got
+    assert len(got) == 30 + 1 + 1 + 1 + 5
+
+
 def test_label_model_learns_accuracies_and_correlations():
     rng = np.random.default_rng(3)
     y = rng.random(20_000) < 0.2
