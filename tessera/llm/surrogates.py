@@ -17,13 +17,13 @@ PATTERNS = {
     "card": r"(?<!\d)(?:\d{4}[ -]?){3}\d{4}(?!\d)",
     "id": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "name": rf"(?<=(?<!\p{{L}})(?:{_TITLES})\.? )\p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
-    "secret": r"(?<=(?:password|passwd|token|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{8,}",
+    "secret": r"(?<=(?i:password|passwd|token|secret|api_key)\s{0,2}[=:]\s{0,2}[\"']?)[A-Za-z0-9+/_-]{8,}",
 }
 # Types are told apart by the match alone, in this order; what fits none is a secret.
 _KINDS = {k: PATTERNS[k] for k in ("email", "key", "ip", "phone", "card", "id")} | {"name": r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"}
 _ANY = "|".join(PATTERNS.values())
 #: What a text with an entity holds in any case; cheaper to look for than the entities.
-_HINT = rf"[@+]|\d{{3}}|\d\.\d|AKIA|password|passwd|token|secret|api_key|(?:{_TITLES})\.? "
+_HINT = rf"[@+]|\d{{3}}|\d\.\d|AKIA|(?i:password|passwd|token|secret|api_key)|(?:{_TITLES})\.? "
 # Letters that stand for each other; a character of none of the rows stays.
 _SWAPS = (
     "0123456789",

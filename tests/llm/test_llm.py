@@ -484,6 +484,16 @@ def test_surrogates(spark):
     assert other[1] != text[1] and surrogates.replace(df, "key").columns == ["doc_id", "text", "kind", "n_entities"]
 
 
+def test_surrogates_of_secrets_in_any_case(spark):
+    secrets = ["9233A8ECAA01BB77", "q7Rz81kPw0Lm", "ab12cd34ef56", "Zx81Lk20Qw77"]
+    lines = [f'TOKEN = "{secrets[0]}"', f"Password: {secrets[1]}", f"API_KEY={secrets[2]}", f"my Secret='{secrets[3]}'"]
+    df = spark.createDataFrame([(i, line) for i, line in enumerate(lines)] + [(4, "\n".join(lines))], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in surrogates.replace(df, "key").collect()}
+    assert [got[i].n_entities for i in range(5)] == [1, 1, 1, 1, 4]
+    assert not any(x in r.text for x in secrets for r in got.values())
+    assert got[4].text == "\n".join(got[i].text for i in range(4)) and got[0].text.startswith('TOKEN = "')
+
+
 def test_surrogates_awkward(awkward, none):
     assert rows(surrogates.replace(awkward, "k").drop("n_entities")) == rows(awkward)
     assert surrogates.replace(none, "k").count() == 0
