@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Positions of a window that count. Any 13 aligned words of which two differ hold a window
-#: of one of the masks that leaves out the two, so no overlap that is verified below is missed.
+#: of one of the masks that leaves out the two, so no overlap that is verified below is missed;
+#: so do 10 to 12 words of which one differs.
 MASKS = ("11101011", "11001111")
+#: For items of these numbers of words, too short for those: masks and their places in the
+#: item. Whichever word differs, one of them leaves it out.
+SHORT = {7: (("1111", 0), ("1111", 3), ("1110111", 0)), 8: (("1111", 0), ("1111", 4)), 9: (("1111", 0), ("1111", 5))}
 #: Words of an overlap, and how many of them may differ.
 OVERLAP, DIFFERING = 13, 2
 #: Benchmark items of fewer words say nothing.
 LEAST_WORDS = 5
 #: Seeds of the benchmark up to which they are sent to all executors (about 100 MB).
 SENT_SEEDS = 500_000
+# Scripts that put no spaces between words.
+_UNSPACED = "".join(rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+#: Where all of them lie; cheaper to look for than the scripts.
+_MAY_BE_UNSPACED = r"[\u0e00-\u1fff\u2e80-\x{10ffff}]"
 
 
 _WORDS_SQL = r"""list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS words"""
@@ -42,8 +53,10 @@ FROM checked WHERE overlap - same <= overlap * {DIFFERING} // {OVERLAP} GROUP BY
 
 
 def _words(text: Column) -> Column:
-    """64-bit ids of the words of a text: runs of letters and digits in lower case."""
-    split = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+")
+    """64-bit ids of the words of a text: runs of letters and digits in lower case, single letters of scripts without spaces."""
+    text = F.lower(F.coalesce(text, F.lit("")))
+    apart = F.when(text.rlike(_MAY_BE_UNSPACED), F.regexp_replace(text, f"([{_UNSPACED}])", " $1 ")).otherwise(text)
+    split = F.split(apart, "[^\\p{L}\\p{N}]+")
     # a text that starts or ends with other characters splits off an empty word there
     return F.transform(F.array_remove(split, ""), lambda w: F.xxhash64(w))
 
@@ -99,7 +112,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Windows of both tables are hashed under fixed masks that ignore some positions; equal
     hashes are hits, and each is verified word by word on its diagonal: it counts if 13 words
     in a row around it, all of them from one item, differ in two words at most (items of 5 to
-    12 words: no more than one in six). Case, punctuation and white space don't matter.
+    12 words: no more than one in six; items of seven to nine have masks of their own). Case,
+    punctuation and white space don't matter. Letters of scripts without spaces count as words.
 
     Null and empty texts and items of fewer than five words find nothing. Rows without or
     with the same doc_id (item_id) are reported together. Extra columns are ignored. The
@@ -107,11 +121,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     it, hits come from a shuffled join and are verified after a join with the documents.
     """
     items = benchmark.select("item_id", _words(F.col("text")).alias("_item")).where(F.size("_item") >= LEAST_WORDS)
-    shortest = min(len(m) for m in MASKS)
-    # items too short for the masks are sought as a whole
-    short = [r.n for r in items.where(F.size("_item") < shortest).select(F.size("_item").alias("n")).distinct().collect()]
-    masks = [*MASKS, *["1" * n for n in sorted(short)]]
-    seeds = _seeded(items, "_item", masks, ["item_id"])
+    short = [r.n for r in items.where(F.size("_item") <= max(SHORT)).select(F.size("_item").alias("n")).distinct().collect()]
+    # items of up to six words, none of which may differ, are sought as a whole
+    sought = {n: SHORT.get(n, (("1" * n, 0),)) for n in sorted(short)}
+    masks = list(dict.fromkeys([*MASKS, *[mask for places in sought.values() for mask, _ in places]]))
+    long = F.col("_mask") < len(MASKS)
+    at_places = [(F.size("_item") == n) & (F.col("_mask") == masks.index(mask)) & (F.col("at") == at) for n, places in sought.items() for mask, at in places]
+    longer = long & ~F.size("_item").isin(list(sought)) if sought else long
+    seeds = _seeded(items, "_item", masks, ["item_id"]).where(reduce(or_, at_places, longer))
     seeds = seeds.select("item_id", "_item", F.col("at").alias("_item_at"), "seed", F.element_at(F.array(*[F.lit(len(m)) for m in masks]), F.col("_mask") + 1).alias("_span"))
     texts = docs.select("doc_id", _words(F.col("text")).alias("_words"))
     windows = _seeded(texts, "_words", masks, ["doc_id"]).withColumnRenamed("at", "_at")

@@ -310,6 +310,22 @@ def test_decontamination_ignores_what_surrounds_an_item(spark):
     assert {tuple(r) for r in found.collect()} == {(1, 1, 5, 5), (2, 2, 7, 7), (3, 1, 5, 5)}
 
 
+def test_decontamination_finds_short_items_with_one_word_changed(spark):
+    """Every item of 5 to 12 words, as it is and with each of its words changed; sentences without spaces."""
+    items = {n: [f"n{n}w{i}" for i in range(n)] for n in range(5, 13)}
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()] + [(20, "河流从山上流入大海")], "item_id bigint, text string")
+    table, want = [], set()
+    for n, words in items.items():
+        for at in range(-1, n):
+            table.append((100 * n + at + 1, " ".join(["before", "it", *("other" if i == at else w for i, w in enumerate(words)), "after"])))
+            if at < 0 or n >= 7:
+                want.add((100 * n + at + 1, n, n - (at >= 0), n))
+    table += [(1, "他说河流从山上流入大海。"), (2, "河流从山下流入大海"), (3, "河流从天下流入大海")]
+    want |= {(1, 20, 9, 9), (2, 20, 8, 9)}
+    found = decontaminate.find_leaks(spark.createDataFrame(table, "doc_id bigint, text string"), bench)
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_decontamination_without_broadcast(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     want = rows(decontaminate.find_leaks(docs, bench))
