@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from tessera.llm.batches import pieces
 from tessera.plans.prefix import cut_lineage
 
-#: Labelled rows that lexicons are taken from and rows that the classifier is fitted on, at most (expected numbers).
-LABELLED_ROWS, FITTED_ROWS = 20_000, 40_000
-#: Terms of the lexicons, at most.
-LEXICON = 5_000
+#: Rows that the classifier is fitted on, at most (expected number).
+FITTED_ROWS = 40_000
+#: Terms that a task counts before it passes the counts on.
+COUNTED = 200_000
 #: Strong terms: evidence (G squared) and share of toxic rows among those with the term; weak terms.
 STRONG, WEAK = (20.0, 0.7), (8.0, 0.3)
 #: Voters; a row's votes are the bits of one number, so there are at most 2^16 patterns of votes.
@@ -176,7 +176,7 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """Terms that labelled rows show to go with toxic texts.
+    """Terms that labelled rows, all of them, show to go with toxic texts.
 
     Copies would make any word of a toxic text look like evidence, so of a text and its near
     copies with one label only one counts.
@@ -185,19 +185,24 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
         rows = [0, 0]
+
+        def counts() -> pa.RecordBatch:
+            columns = [list(seen), [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["term", "clean", "toxic"])
+
         for batch in batches:
             for piece in pieces(batch, "text"):
                 for text, toxic in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist(), strict=True):
                     rows[toxic] += 1
                     for term in {t for w in set(_WORD.findall((text or "").lower())) for t in _terms(w)}:
                         seen.setdefault(term, [0, 0])[toxic] += 1
+                if len(seen) >= COUNTED:
+                    yield counts()
+                    seen.clear()
         seen[""] = rows
-        columns = [list(seen), [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["term", "clean", "toxic"])
+        yield counts()
 
-    # the sample is bounded by LABELLED_ROWS, so it may go to all executors
-    sample = F.broadcast(_bounded(labels.select("doc_id", "toxic"), "doc_id", LABELLED_ROWS))
-    rows = distinct_texts(docs.select("doc_id", "text").join(sample, "doc_id")).select("text", "toxic")
+    rows = distinct_texts(docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")).select("text", "toxic")
     counted = rows.mapInArrow(run, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = cut_lineage(counted)
     all_rows = counted.where("term = ''").first()
@@ -210,7 +215,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     odds = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5)) - float(np.log(share / (1 - share)))
     scored = counted.where("term != ''").select("term", evidence.alias("evidence"), odds.alias("odds"), (F.col("toxic") / has).alias("precision"))
     passes = lambda tier: (F.col("evidence") >= tier[0]) & (F.col("precision") >= tier[1])
-    best = scored.where((F.col("odds") > 0) & (passes(STRONG) | passes(WEAK))).orderBy(F.desc("evidence"), "term").limit(LEXICON)
+    best = scored.where((F.col("odds") > 0) & (passes(STRONG) | passes(WEAK)))
     return Lexicon({r.term: (r.odds, bool(r.strong)) for r in best.withColumn("strong", passes(STRONG)).collect()})
 
 

@@ -202,6 +202,20 @@ def test_lexicon_counts_all_texts_but_near_copies(spark):
     assert len(got) == 30 + 1 + 1 + 1 + 5
 
 
+def test_lexicon_is_taken_from_all_labelled_rows(spark, monkeypatch):
+    # bounds of an earlier form, which took a sample of rows and the first of the terms
+    monkeypatch.setattr(toxicity, "LABELLED_ROWS", 100, raising=False)
+    monkeypatch.setattr(toxicity, "LEXICON", 2, raising=False)
+    monkeypatch.setattr(toxicity, "COUNTED", 50, raising=False)
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    table = [(i, f"plain {letters(i)} xq{letters(i // 8)}" + (" vile" if i % 40 == 0 else " nasty" if i % 40 == 8 else " awful" if i % 40 == 16 else ""), int(i % 8 == 0)) for i in range(4000)]
+    df = spark.createDataFrame(table, "doc_id bigint, text string, toxic int")
+    found = toxicity.learn_lexicon(df.select("doc_id", "text"), df.select("doc_id", "toxic")).weights
+    assert {"vile", "nasty", "awful"} <= set(found)
+    # 100 of 100 rows with the term are toxic, 500 of 4000 of all
+    assert found["vile"][0] == pytest.approx(math.log(100.5 / 0.5) - math.log(1 / 7)) and found["vile"][1]
+
+
 def test_label_model_learns_accuracies_and_correlations():
     rng = np.random.default_rng(3)
     y = rng.random(20_000) < 0.2
