@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, sharding, simhash, surrogates, token_files, toxicity
+from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, packing, sharding, simhash, surrogates, token_files, toxicity
 from tessera.llm.ship import ship
 from tessera.session import use_checkpoint_dir
 
@@ -101,3 +101,11 @@ def op10_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op11_best_two_fit")
+def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{use_checkpoint_dir(spark)}/packing-{uuid.uuid4().hex}"
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(_table(spark, sf_dir, "documents"), folder, tokenizer, capacity=4096, end_id=1)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
