@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, packing, sharding, simhash, surrogates, token_files, toxicity
+from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, packing, sharding, simhash, surrogates, token_files, toxicity, turns
 from tessera.llm.ship import ship
 from tessera.session import use_checkpoint_dir
 
@@ -109,3 +109,8 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     packed = packing.pack(_table(spark, sf_dir, "documents"), folder, tokenizer, capacity=4096, end_id=1)
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+@query("op13_turn_repair")
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.report(_table(spark, sf_dir, "conversations"))
