@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, packing, sharding, simhash, surrogates, token_files, toxicity, turns
+from tessera.llm import byte_bpe, bwt_dedup, decontaminate, epsilon_join, line_dedup, packing, sharding, simhash, surrogates, token_files, token_links, toxicity, turns
 from tessera.llm.ship import ship
 from tessera.session import use_checkpoint_dir
 
@@ -111,6 +111,14 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query("op12_token_links")
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{use_checkpoint_dir(spark)}/token-links-{uuid.uuid4().hex}"
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    linked = token_links.align(_table(spark, sf_dir, "documents"), folder, a, b, keep_groups=False)
+    return linked.withColumnRenamed("groups", "groups_sha256")
+
+
 @query("op13_turn_repair")
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.report(_table(spark, sf_dir, "conversations"))
