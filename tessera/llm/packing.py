@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import cut, offsets, pieces, ragged
-from tessera.llm.token_files import STEP_BYTES, WordEncoder
+from tessera.llm.token_files import STEP_BYTES, WordEncoder, with_end
 
 Bin = tuple[int, list[tuple[int, int]]]
 
@@ -112,8 +112,8 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: i
         met = np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
             for some in pieces(batch, "text", STEP_BYTES):
-                ids, counts = shared.value.encode(some.column("text").to_pylist())
-                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
+                ids, counts = shared.value.encode(some.column("text"))
+                ids = with_end(ids, counts, end_id).astype("<u4")
                 counts = counts + 1
                 per_doc = -(-counts // capacity)
                 doc = np.repeat(np.arange(len(counts)), per_doc)

@@ -7,10 +7,10 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,32 +32,31 @@ STEP_BYTES = 4 << 20
 REMEMBERED = 600_000
 
 
-class _Numbers(dict):
-    """Words and their numbers; a new word gets the next one."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
-
-
-class _Words:
-    """Words met so far, with all their ids in a row and the number of ids of each."""
+class _Known:
+    """Strings met so far, with all their ids in a row and the number of ids of each."""
 
     def __init__(self):
-        self.numbers = _Numbers()
+        self.numbers: dict[str, int] = {}
         self.ids = np.zeros(0, dtype=np.uint32)
         self.starts, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def spell(self, words: list[str], learn) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of ``words`` in a row and the number of ids of each; ``learn`` gives those of new words."""
-        known = len(self.numbers)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-        if len(self.numbers) > known:
-            ids, counts = learn(list(islice(self.numbers, known, None)))
+    def spell(self, strings: pa.Array, learn) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``strings`` in a row and the number of ids of each; ``learn`` gives those of new ones."""
+        coded = strings.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = list(map(self.numbers.get, distinct))
+        new = [i for i, number in enumerate(at) if number is None]
+        if new:
+            ids, counts = learn([distinct[i] for i in new])
+            for number, i in enumerate(new, len(self.numbers)):
+                at[i] = number
+            self.numbers.update((distinct[i], at[i]) for i in new)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
-        lengths = self.counts[numbers]
-        return self.ids[ragged(self.starts[numbers], lengths)], lengths
+        own = np.array(at, dtype=np.int64)
+        codes = coded.indices.to_numpy()
+        lengths = self.counts[own][codes]
+        return self.ids[ragged(self.starts[own][codes], lengths)], lengths
 
 
 class WordEncoder:
@@ -71,7 +70,7 @@ class WordEncoder:
 
     def __init__(self, definition: str):
         self.definition = definition
-        self.words, self.parts = _Words(), _Words()
+        self.words, self.parts = _Known(), _Known()
 
     def __getstate__(self):
         return {"definition": self.definition}
@@ -88,9 +87,10 @@ class WordEncoder:
         self.final = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.final[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         added = "|".join(re.escape(t["content"]) for t in parsed["added_tokens"])
-        self.special = re.compile(f"[^{_SIMPLE}]" + f"|{added}" * bool(added))
+        self.special = re.compile(f"[^{_SIMPLE}]|\\n" + f"|{added}" * bool(added))
         step = next(s for s in parsed["pre_tokenizer"]["pretokenizers"] if s["type"] == "Split")
-        self.pattern = re.compile(spelled_out(step["pattern"]["Regex"], LETTERS, NUMBERS, SPACES))
+        pattern = spelled_out(step["pattern"]["Regex"], LETTERS, NUMBERS, SPACES)
+        self.part_or_end = re.compile(f"(?:{pattern})|\n")
 
     def _each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -109,13 +109,12 @@ class WordEncoder:
 
     def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         special = np.array([self.special.search(w) is not None for w in words], dtype=bool)
-        parts, per_word = [], []
-        for i in np.flatnonzero(~special).tolist():
-            own = self.pattern.findall(words[i].lower())
-            per_word.append(len(own))
-            parts += own
-        ids, lengths = self.parts.spell(parts, self._learn_parts)
-        plain = np.diff(offsets(lengths)[offsets(np.array(per_word, dtype=np.int64))])
+        simple = [w for w, other in zip(words, special, strict=True) if not other]
+        found = pa.array(self.part_or_end.findall("\n".join([*simple, ""]).lower()), pa.string())
+        ends = pc.equal(found, "\n").to_numpy(zero_copy_only=False)
+        ids, lengths = self.parts.spell(found.filter(pa.array(~ends)), self._learn_parts)
+        parts = np.flatnonzero(ends) - np.arange(len(simple))  # up to each word's end
+        plain = np.diff(offsets(lengths)[np.concatenate([[0], parts])])
         if not special.any():
             return ids, plain
         rest, rest_counts = self._each([words[i] for i in np.flatnonzero(special).tolist()])
@@ -125,26 +124,34 @@ class WordEncoder:
         out[ragged(starts[~special], plain)], out[ragged(starts[special], rest_counts)] = ids, rest
         return out, counts
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the number of ids of each text."""
         if "tokenizer" not in self.__dict__:
             self._load()
         if len(self.words.numbers) > REMEMBERED:
-            self.words = _Words()
+            self.words = _Known()
         if len(self.parts.numbers) > REMEMBERED:
-            self.parts = _Words()
-        words: list[str] = []
-        per_text = np.zeros(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            text = text or ""
-            # four control characters are white space to str.split alone
-            own = text.split(" ") if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-            per_text[i] = len(own)
-            words += own
-        ids, lengths = self.words.spell(words, self._learn_words)
+            self.parts = _Known()
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if pc.any(pc.match_substring_regex(texts, "[\\x1c-\\x1f]")).as_py():
+            # four control characters are white space to the split below alone
+            split = pa.array([re.split("[ \t-\r]+", t or "") for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            split = pc.utf8_split_whitespace(texts)
+        ids, lengths = self.words.spell(split.flatten(), self._learn_words)
+        per_text = pc.list_value_length(split).fill_null(0).to_numpy()
         return ids, np.diff(offsets(lengths)[offsets(per_text)])
 
 
+def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
+    """The ids of all texts in a row, each text's followed by ``end_id``."""
+    out = np.full(len(ids) + len(counts), end_id, dtype=ids.dtype)
+    inside = np.ones(len(out), dtype=bool)
+    inside[np.cumsum(counts + 1) - 1] = False
+    out[inside] = ids
+    return out
+
+
 def id_width(tokenizer_path: str) -> str:
     """The type that holds all ids of a tokenizer: two bytes if they fit, else four, little-endian."""
     ids = Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values()
@@ -165,8 +172,8 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         encoder = shared.value
         for batch in batches:
             for piece in pieces(batch, "text", STEP_BYTES):
-                ids, counts = encoder.encode(piece.column("text").to_pylist())
-                ids = np.insert(ids, np.cumsum(counts), end_id)
+                ids, counts = encoder.encode(piece.column("text"))
+                ids = with_end(ids, counts, end_id)
                 often = np.bincount(ids)
                 used = np.flatnonzero(often)
                 total = np.stack([used, often[used]], axis=1).astype("<u4").tobytes()

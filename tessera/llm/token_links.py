@@ -246,7 +246,7 @@ def _piece(linker: Linker, doc_ids: pa.Array, texts: list[str | None], number: i
             words += own
     coded = pa.array(words, pa.string()).dictionary_encode()
     del words
-    linked = linker.link(coded.dictionary.to_pylist())
+    linked = linker.link(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
     unit = coded.indices.to_numpy().astype(np.int64)
     doc = np.repeat(np.arange(len(texts)), per_text)
     # a document with a unit that is not spelled has no tokens
