@@ -20,7 +20,9 @@ from tessera.llm.batches import ALL_SPACES, offsets, pieces, ragged
 from tessera.plans.prefix import cut_lineage
 
 #: Bytes of text linked at a time.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
+#: Units encoded in one call.
+TOGETHER = 2000
 _SPACE = "▁"
 
 
@@ -137,6 +139,7 @@ class Linker:
         ink, space = f"[^{ALL_SPACES}]", f"[{ALL_SPACES}]"
         inner = f"(?![{ends}]){space}" if ends else space
         self.unit = re.compile(f"{space}*{ink}+(?:{inner}{space}*{ink}*)*|{space}+")
+        self.ink_end = re.compile(f"(?s:.*){ink}\\Z").match
         self.lead = self.b.encode("a")
         self.a = Tokenizer.from_str(self.a_definition)
         self.a.encode_special_tokens = True
@@ -145,22 +148,32 @@ class Linker:
         """The units of a space and ``text``; each begins with a character that ends units, or is the first."""
         return self.unit.findall(" " + text)
 
-    def _encode(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [found.ids for found in self.a.encode_batch_fast(units, add_special_tokens=False)]
-        # b puts a space in front of a text; other units follow ink, whose ids are cut off again
+    def _encode_a(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each unit): as one text, if every unit ends with ink, so that the next one begins anew."""
+        if all(self.ink_end(u) for u in units):
+            ids = np.array(self.a.encode_batch_fast(["".join(units)], add_special_tokens=False)[0].ids, dtype=np.int64)
+            ends = np.cumsum([len(u.encode()) for u in units])
+            reached = np.cumsum(self.a_spelling.size[ids])
+            last = np.searchsorted(reached, ends)
+            if reached[-1] == ends[-1] and (reached[last] == ends).all():
+                return ids, np.diff(last, prepend=-1)
+        return _flat([found.ids for found in self.a.encode_batch_fast(units, add_special_tokens=False)])
+
+    def _encode_b(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # a space is put in front of each text; units without one follow ink, whose ids are cut off again
         spaced = [len(u) > 1 and u[0] == " " for u in units]
-        b = self.b.encode([u[1:] if own else "a" + u for u, own in zip(units, spaced, strict=True)], num_threads=1)
-        return a, [ids if own else ids[len(self.lead) :] for ids, own in zip(b, spaced, strict=True)]
+        found = self.b.encode([u[1:] if own else "a" + u for u, own in zip(units, spaced, strict=True)], num_threads=1)
+        return _flat([ids if own else ids[len(self.lead) :] for ids, own in zip(found, spaced, strict=True)])
 
     def link(self, units: list[str]) -> Units:
         """Tokens, groups and links of distinct units."""
-        found = self._encode(units)
         raw = [u.encode() for u in units]
         size = np.array([len(r) for r in raw], dtype=np.int64)
         ids, counts = [], []
-        for own in found:
-            counts.append(np.array([len(x) for x in own], dtype=np.int64))
-            ids.append(np.array([i for x in own for i in x], dtype=np.int64))
+        for encode in (self._encode_a, self._encode_b):
+            found = [encode(units[i : i + TOGETHER]) for i in range(0, len(units), TOGETHER)]
+            ids.append(np.concatenate([np.zeros(0, dtype=np.int64), *[x for x, _ in found]]))
+            counts.append(np.concatenate([np.zeros(0, dtype=np.int64), *[n for _, n in found]]))
         whole = np.ones(len(units), dtype=bool)
         for x, n, spelling in zip(ids, counts, (self.a_spelling, self.b_spelling), strict=True):
             unit = np.repeat(np.arange(len(units)), n)
@@ -207,6 +220,11 @@ class Linker:
         )
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in a row, and how many each list has."""
+    return np.array([i for own in ids for i in own], dtype=np.int64), np.array([len(own) for own in ids], dtype=np.int64)
+
+
 _COUNTS = ("n_a", "n_b", "n_groups", "n_overlaps", "n_links")
 _DOC = ", ".join(f"{c}: bigint" for c in _COUNTS)
 
