@@ -62,14 +62,19 @@ def user_statistic(t):
     return interval(reps, [], "stat")
 
 
-@query("ud_05_user_distance", "query_id bigint, id bigint, dist double, rank bigint")
+@query(
+    "ud_05_user_distance",
+    "query_id bigint, id bigint, dist fixed, rank bigint",
+    """WITH n AS (SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size FROM embeddings),
+       e AS (SELECT vec_id, v, list_transform(v, lambda x: x / size) AS u FROM n WHERE size > 0)
+       SELECT query_id, id, dist, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, 1 - list_cosine_similarity(a.v, b.v) AS dist, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.u, b.u), 9), b.vec_id) AS rank
+       FROM e a CROSS JOIN e b) WHERE rank <= 5""",
+)
 def user_distance(t):
-    """Graph search by cosine distance instead of the default."""
-    graph = neighbours.small_world_graph(t.embeddings, "vec_id", "embedding", near_pool=15, near_edges=12)
+    """Neighbours by the cosine distance, which orders vectors as L2 orders them at unit length."""
+    unit = lambda v: F.when(vectors.norm(v) > 0, vectors.normalised(v))
     distance = lambda a, b: 1 - vectors.cosine(a, b)
-    return neighbours.graph_search(
-        t.embeddings, "vec_id", t.embeddings, "vec_id", "embedding", graph, k=5, beam=15, dist=distance
-    )
+    return neighbours.nearest_by(t.embeddings, t.embeddings, 5, "vec_id", "vec_id", "embedding", unit, distance)
 
 
 @query(

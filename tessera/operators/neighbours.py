@@ -1,8 +1,9 @@
-"""Nearest neighbours: exact blocked search, graphs, graph search and hashing."""
+"""Nearest neighbours: exact search by cells, graphs, graph search and hashing."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -18,7 +19,106 @@ from tessera.plans.prefix import cut_lineage
 
 
 DIGITS = 9  # distances equal to this many digits are ties, ranked by id
-SLACK = 1e-7  # squared distances this close to the k-th are measured exactly
+#: Rows of a corpus that the cells are fitted on; a smaller corpus is broadcast.
+FITTED = 16_384
+_TIE = 2 * 10.0**-DIGITS
+
+
+def _rounding(dims: int, *norms: np.ndarray) -> np.ndarray:
+    """How far a squared distance from a matrix product may be off, for rows of these squared norms."""
+    return 8 * dims * np.finfo(float).eps * sum(norms)
+
+
+@dataclass
+class Cells:
+    """K-means cells, gathered into groups that are searched whole.
+
+    Every row lies within ``radius`` of its cell's centre, so no row of a cell is nearer to a
+    query than the distance to the centre less the radius, or farther than both together.
+    """
+
+    centres: np.ndarray
+    group: np.ndarray
+    counts: np.ndarray
+    radius: np.ndarray
+
+    def bounds(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower and upper bounds of the distances to the rows of each cell; none for empty cells."""
+        own, other = (v * v).sum(1)[:, None], (self.centres * self.centres).sum(1)[None, :]
+        squared, off = own + other - 2 * (v @ self.centres.T), _rounding(v.shape[1], own, other)
+        low = np.sqrt(np.maximum(squared - off, 0)) - self.radius
+        high = np.sqrt(np.maximum(squared + off, 0)) + self.radius
+        return np.where(self.counts, low, np.inf), np.where(self.counts, high, -np.inf)
+
+    def order(self, v: np.ndarray, far: bool) -> np.ndarray:
+        """Bound of each group for each vector: the least distance, or the negated largest one."""
+        low, high = self.bounds(v)
+        bound = -high if far else low
+        out = np.full((len(v), int(self.group.max()) + 1), np.inf)
+        for cell, group in enumerate(self.group):
+            out[:, group] = np.minimum(out[:, group], bound[:, cell])
+        return out
+
+    def group_counts(self) -> np.ndarray:
+        return np.bincount(self.group, weights=self.counts).astype(np.int64)
+
+
+def _nearest_centre(v: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.argmin((centres * centres).sum(1)[None, :] - 2 * (v @ centres.T), axis=1)
+
+
+def _k_means(v: np.ndarray, cells: int, rounds: int = 8) -> np.ndarray:
+    """Lloyd's centres; the first rows are the first centres."""
+    centres = np.unique(v, axis=0, return_index=True)[1]
+    centres = v[np.sort(centres)[:cells]].copy()
+    for _ in range(rounds):
+        own = _nearest_centre(v, centres)
+        for cell in range(len(centres)):
+            if (own == cell).any():
+                centres[cell] = v[own == cell].mean(axis=0)
+    return centres
+
+
+def _assign(rows: DataFrame, centres: np.ndarray) -> DataFrame:
+    """(id, v, cell, away): each row's nearest centre and its distance."""
+    shared = rows.sparkSession.sparkContext.broadcast(centres)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                v = np.stack(batch["v"]).astype(float)
+                cell = _nearest_centre(v, shared.value)
+                away = np.sqrt(((v - shared.value[cell]) ** 2).sum(1))
+                yield batch.assign(cell=cell, away=away)
+
+    return rows.mapInPandas(run, "id bigint, v array<double>, cell bigint, away double")
+
+
+def _visits(queries: DataFrame, cells: Cells, k: int, far: bool, known: bool) -> DataFrame:
+    """(query_id, v, edge, groups): the groups that each query must look into.
+
+    At first, the most promising ones that hold ``k`` rows; once the ``edge`` is known, the
+    distance of the k-th row so far, those of the others whose bound does not exceed it.
+    """
+    shared = queries.sparkSession.sparkContext.broadcast(cells)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = shared.value.group_counts()
+        for batch in batches:
+            if not len(batch):
+                continue
+            bound = shared.value.order(np.stack(batch["v"]).astype(float), far)
+            ranked = np.argsort(bound, axis=1, kind="stable")
+            before = np.cumsum(held[ranked], axis=1) - held[ranked]
+            first = np.zeros(bound.shape, dtype=bool)
+            np.put_along_axis(first, ranked, before < k, axis=1)
+            if known:
+                edge = batch["edge"].fillna(np.inf).to_numpy()[:, None]
+                first = ~first & (bound <= edge + _TIE + 1e-12 * np.abs(np.where(np.isfinite(edge), edge, 0)))
+            first &= held > 0
+            yield batch.assign(groups=[np.flatnonzero(row) for row in first])
+
+    return queries.mapInPandas(run, "query_id bigint, v array<double>, edge double, groups array<bigint>")
 
 
 def _block_search(k: int, far: bool, skip_self: bool):
@@ -29,15 +129,21 @@ def _block_search(k: int, far: bool, skip_self: bool):
         a = np.stack(queries["v"]).astype(float)
         b = np.stack(corpus["v"]).astype(float)
         qid, cid = queries["query_id"].to_numpy(), corpus["id"].to_numpy()
-        near = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
+        own, other = (a * a).sum(1)[:, None], (b * b).sum(1)[None, :]
+        near = own + other - 2 * (a @ b.T)
+        off = _rounding(a.shape[1], own, other.max())
         sign = -1.0 if far else 1.0
         keep = min(k + (1 if skip_self else 0), b.shape[0])
-        edge = np.partition(sign * near, keep - 1, axis=1)[:, keep - 1]
+        edge = np.partition(sign * near, keep - 1, axis=1)[:, keep - 1][:, None]
         # every row that may tie with the k-th is measured again without cancellation
-        row, col = np.nonzero(sign * near <= edge[:, None] + SLACK)
+        kth = np.sqrt(np.maximum(sign * (edge + off), 0))
+        if far:
+            row, col = np.nonzero(near >= np.maximum(kth - _TIE, 0) ** 2 - off)
+        else:
+            row, col = np.nonzero(near <= (kth + _TIE) ** 2 + off)
         if skip_self:
-            other = qid[row] != cid[col]
-            row, col = row[other], col[other]
+            apart = qid[row] != cid[col]
+            row, col = row[apart], col[apart]
         dist = np.round(np.sqrt(((a[row] - b[col]) ** 2).sum(axis=1)), DIGITS)
         out = pd.DataFrame({"query_id": qid[row], "id": cid[col], "dist": dist})
         out = out.sort_values(["query_id", "dist", "id"], ascending=[True, not far, True])
@@ -46,6 +152,46 @@ def _block_search(k: int, far: bool, skip_self: bool):
     return search
 
 
+def _nearest_of_few(queries: DataFrame, ids: np.ndarray, v: np.ndarray, k: int, far: bool, skip_self: bool) -> DataFrame:
+    """(query_id, id, dist, rank) among the given rows, which every task gets."""
+    middle = v.mean(axis=0)
+    corpus = queries.sparkSession.sparkContext.broadcast(pd.DataFrame({"id": ids, "v": list(v - middle)}))
+    search = _block_search(k, far, skip_self)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 512):
+                some = batch[start : start + 512]
+                found = search(some.assign(v=list(np.stack(some["v"]).astype(float) - middle)), corpus.value)
+                yield found.assign(rank=(found.groupby("query_id").cumcount() + 1).astype("int32"))
+
+    return queries.select("query_id", "v").mapInPandas(run, "query_id bigint, id bigint, dist double, rank int")
+
+
+def _search(visits: DataFrame, rows: DataFrame, held: np.ndarray, k: int, far: bool, skip_self: bool, block: int) -> DataFrame:
+    """(query_id, id, dist): the best rows of each query in each block of the groups it visits.
+
+    Groups are cut into blocks of ``block`` rows, and the queries of a group likewise; each
+    pair of blocks is one matrix product. A row is copied once for each block of queries
+    that visit its group, so a group that no query visits is not moved at all.
+    """
+    visits = cut_lineage(visits)
+    wanted = np.zeros(len(held), dtype=np.int64)
+    for r in visits.select(F.explode("groups").alias("g")).groupBy("g").count().collect():  # the groups
+        wanted[r["g"]] = r["count"]
+    blocks = lambda counts: F.array(*[F.lit(max(1, ceil(int(n) / block))) for n in counts])
+    parts, shares = (lambda g: blocks(held)[g.cast("int")]), (lambda g: blocks(wanted)[g.cast("int")])
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    g = F.col("g")
+    left = visits.select("query_id", "v", F.explode("groups").alias("g"))
+    left = left.select("query_id", "v", "g", F.pmod(F.xxhash64("query_id"), shares(g)).cast("int").alias("qb"), upto(parts(g)).alias("cb"))
+    visited = F.col("g").isin([int(i) for i in np.flatnonzero(wanted)])
+    right = rows.where(visited).select("id", "v", "g", F.pmod(F.xxhash64("id"), parts(g)).cast("int").alias("cb"), upto(shares(g)).alias("qb"))
+    keys = ["g", "qb", "cb"]
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys))
+    return found.applyInPandas(_block_search(k, far, skip_self), "query_id bigint, id bigint, dist double")
+
+
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
@@ -56,39 +202,82 @@ def nearest(
     far: bool = False,
     skip_self: bool = False,
     block: int = 4096,
+    fitted: int = FITTED,
 ) -> DataFrame:
     """Exact k nearest (or farthest) by L2: (query_id, id, dist, rank), ties by id.
 
-    Distances count as equal when they agree to nine digits.
+    Distances count as equal when they agree to nine digits. Rows without a vector are left out.
 
-    Both sides are cut into blocks of bounded size; each pair of blocks is one matrix
-    product in a task that returns only its k best per query, and a last ranking merges the
-    blocks. Row pairs are never formed as rows, and neither side has to fit anywhere whole.
+    A corpus of fewer than ``fitted`` rows is sent to the queries as it is. A larger one is
+    dealt to k-means cells, fitted on that many rows of it by hash, and the cells to groups
+    of about ``block`` rows. A query first searches the most promising groups; a group is
+    searched after that only if, by the triangle inequality, one of its cells can hold a row
+    that beats the k-th found. Row pairs are never formed as rows, and neither side has to
+    fit anywhere whole.
     """
     spark = corpus.sparkSession
-    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nq = max(1, ceil(queries.count() / block))
-    nc = max(parallel, ceil(corpus.count() / block))
-    left = queries.select(
-        F.col(query_id).cast("bigint").alias("query_id"),
-        F.col(vector).alias("v"),
-        F.pmod(F.xxhash64(query_id), F.lit(nq)).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(nc - 1))).alias("cb"),
-    )
-    right = corpus.select(
-        F.col(corpus_id).cast("bigint").alias("id"),
-        F.col(vector).alias("v"),
-        F.pmod(F.xxhash64(corpus_id), F.lit(nc)).cast("int").alias("cb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(nq - 1).cast("bigint"))).alias("qb"),
-    )
-    found = (
-        left.groupBy("qb", "cb")
-        .cogroup(right.groupBy("qb", "cb"))
-        .applyInPandas(_block_search(k, far, skip_self), "query_id bigint, id bigint, dist double")
+    rows = corpus.where(F.col(vector).isNotNull()).select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    asked = queries.where(F.col(vector).isNotNull()).select(
+        F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).cast("array<double>").alias("v"), F.lit(None).cast("double").alias("edge")
     )
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(fitted).collect()  # a bounded number of rows
+    if not sample:
+        return spark.createDataFrame([], "query_id bigint, id bigint, dist double, rank int")
+    v = np.array([r.v for r in sample], dtype=float)
+    if len(sample) < fitted:
+        return _nearest_of_few(asked, np.array([r.id for r in sample]), v, k, far, skip_self)
+    middle = v.mean(axis=0)
+    # distances do not change with the origin, but their rounding does
+    shift = lambda df: df.withColumn("v", F.zip_with("v", F.array(*[F.lit(float(x)) for x in middle]), lambda a, b: a - b))
+    rows, asked = shift(rows), shift(asked)
+    v = v - middle
+    centres = _k_means(v, max(1, int(2 * len(v) ** 0.5)))
+    placed = cut_lineage(_assign(rows, centres))
+    counts, radius = np.zeros(len(centres), dtype=np.int64), np.zeros(len(centres))
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("r")).collect():  # the cells
+        counts[r["cell"]], radius[r["cell"]] = r["n"], r["r"]
+    radius *= 1 + 1e-9
+    # neighbouring cells make a group, as many groups as blocks, but no more than cells and no fewer than tasks
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    groups = _k_means(centres, min(len(centres), max(parallel, ceil(int(counts.sum()) / block))))
+    cells = Cells(centres, _nearest_centre(centres, groups), counts, radius)
+    held = np.bincount(cells.group, weights=counts, minlength=int(cells.group.max()) + 1).astype(np.int64)
+    grouped = placed.select("id", "v", F.array(*[F.lit(int(x)) for x in cells.group])[F.col("cell").cast("int")].cast("bigint").alias("g"))
+
+    need = k + (1 if skip_self else 0)
     order = [F.col("dist").desc() if far else F.col("dist"), F.col("id")]
     w = Window.partitionBy("query_id").orderBy(*order)
-    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    best = lambda df: df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    first = cut_lineage(best(_search(_visits(asked, cells, need, far, False), grouped, held, k, far, skip_self, block)))
+    sign = -1.0 if far else 1.0
+    edges = first.where(F.col("rank") == k).select("query_id", (F.lit(sign) * F.col("dist")).alias("edge"))
+    again = asked.drop("edge").join(edges, "query_id", "left").select("query_id", "v", "edge")
+    rest = _search(_visits(again, cells, need, far, True), grouped, held, k, far, skip_self, block)
+    return best(first.drop("rank").unionByName(rest))
+
+
+def nearest_by(
+    queries: DataFrame,
+    corpus: DataFrame,
+    k: int,
+    query_id: str,
+    corpus_id: str,
+    vector: str,
+    embed: Callable[[Column], Column],
+    dist: Callable[[Column, Column], Column],
+    **options,
+) -> DataFrame:
+    """Exact k nearest by a distance of the caller's: (query_id, id, dist, rank).
+
+    ``embed`` maps a vector to where L2 orders pairs as ``dist`` does (unit length for the
+    cosine distance), so that cells can be skipped. Vectors that it maps to null are left out.
+    """
+    mapped = [df.withColumn(vector, embed(F.col(vector))) for df in (queries, corpus)]
+    found = nearest(*mapped, k, query_id, corpus_id, vector, **options).drop("dist")
+    asked = queries.select(F.col(query_id).cast("bigint").alias("query_id"), F.col(vector).alias("_a"))
+    held = corpus.select(F.col(corpus_id).cast("bigint").alias("id"), F.col(vector).alias("_b"))
+    joined = found.join(asked, "query_id").join(held, "id")
+    return joined.select("query_id", "id", dist(F.col("_a"), F.col("_b")).alias("dist"), "rank")
 
 
 def small_world_graph(

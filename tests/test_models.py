@@ -105,12 +105,13 @@ def test_lambdas_by_hand(ranked, block):
 
 
 @pytest.mark.parametrize("far", [False, True])
-def test_exact_neighbours_with_copies(spark, far):
+@pytest.mark.parametrize("fitted", [50, 1000])
+def test_exact_neighbours_with_copies(spark, far, fitted):
     rng = np.random.default_rng(2)
     v = rng.normal(size=(300, 5))
     v[100:130] = v[0]
     df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id int, v array<double>")
-    got = neighbours.nearest(df, df, 7, "id", "id", "v", far=far, skip_self=True, block=64).toPandas()
+    got = neighbours.nearest(df, df, 7, "id", "id", "v", far=far, skip_self=True, block=64, fitted=fitted).toPandas()
     d = np.round(np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1)), 9)
     for q, part in got.groupby("query_id"):
         others = [i for i in range(300) if i != q]
@@ -118,6 +119,62 @@ def test_exact_neighbours_with_copies(spark, far):
         assert part.sort_values("rank").id.tolist() == want
 
 
+def plain_neighbours(q, v, k, far, skip):
+    d = np.round(np.sqrt(((q[:, None] - v[None]) ** 2).sum(-1)), 9)
+    others = lambda i: [j for j in range(len(v)) if not (skip and i == j)]
+    return {i: sorted(others(i), key=lambda j: (-d[i, j] if far else d[i, j], j))[:k] for i in range(len(q))}
+
+
+@pytest.mark.parametrize("far, scale, offset", [(False, 1, 0), (True, 1, 0), (False, 1e6, 1e9)])
+def test_cells_give_exact_neighbours(spark, far, scale, offset):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(30, 6)) * 10
+    v = centres[rng.integers(0, 30, 1500)] + rng.normal(size=(1500, 6)) * 0.1
+    v[200:300] = v[0]  # more copies than neighbours asked for
+    v = v * scale + offset
+    table = lambda rows: spark.createDataFrame([(i, r.tolist(), 0) for i, r in enumerate(rows)] + [(None, None, 0)], "id int, v array<double>, g int")
+    got = neighbours.nearest(table(v[:60]), table(v).repartition(4), 9, "id", "id", "v", far=far, skip_self=True, block=64, fitted=500).toPandas()
+    want = plain_neighbours(v[:60], v, 9, far, True)
+    assert {q: part.sort_values("rank").id.tolist() for q, part in got.groupby("query_id")} == want
+    # fewer rows than asked for, and none
+    few = neighbours.nearest(table(v[:4]), table(v[:4]), 9, "id", "id", "v", far=far).toPandas()
+    assert few.groupby("query_id").size().tolist() == [4] * 4
+    assert neighbours.nearest(table(v[:4]), table(v[:0]), 9, "id", "id", "v").count() == 0
+
+
+@pytest.mark.parametrize("n", [2000, 8000])
+def test_few_groups_are_visited(spark, n):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 8)) * 10
+    v = centres[rng.integers(0, 40, n)] + rng.normal(size=(n, 8)) * 0.1
+    start = neighbours._k_means(v, 80)
+    own = neighbours._nearest_centre(v, start)
+    away = np.sqrt(((v - start[own]) ** 2).sum(1))
+    radius = np.array([away[own == c].max(initial=0) for c in range(len(start))])
+    groups = neighbours._k_means(start, 20)
+    cells = neighbours.Cells(start, neighbours._nearest_centre(start, groups), np.bincount(own, minlength=len(start)), radius)
+    asked = spark.createDataFrame([(i, v[i].tolist(), 1.0) for i in range(200)], "query_id bigint, v array<double>, edge double")
+    visited = sum(neighbours._visits(asked, cells, 10, False, known).agg(F.sum(F.size("groups"))).first()[0] for known in (False, True))
+    assert visited <= 200 * 4  # of 20 groups
+
+
+def test_neighbours_by_cosine(spark):
+    from tessera.functions import vectors
+
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(400, 4))
+    v[7] = 0
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(v)], "id int, v array<double>")
+    unit = lambda c: F.when(vectors.norm(c) > 0, vectors.normalised(c))
+    got = neighbours.nearest_by(df, df, 5, "id", "id", "v", unit, lambda a, b: 1 - vectors.cosine(a, b), skip_self=True, block=50, fitted=100).toPandas()
+    sizes = np.sqrt((v * v).sum(1))
+    for q, part in got.groupby("query_id"):
+        others = [i for i in range(400) if i not in (q, 7)]
+        want = sorted(1 - v[q] @ v[i] / sizes[q] / sizes[i] for i in others)[:5]
+        np.testing.assert_allclose(part.sort_values("rank").dist, want, atol=1e-9)
+    assert got.query_id.nunique() == 399
+
+
 def test_graph_search_finds_most_neighbours(spark):
     rng = np.random.default_rng(4)
     df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.normal(size=(200, 3)))], "id int, v array<double>")
