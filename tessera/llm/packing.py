@@ -134,7 +134,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: i
 
 
 def pack(docs: DataFrame, folder: str, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
-    """(doc_id, piece, start, length, ids binary, sequence_id, offset): a place for each piece of each document.
+    """(doc_id, piece, start, length, ids binary, ids_crc32, sequence_id, offset): a place for each piece of each document.
 
     A document is its ids and ``end_id``; only longer ones than ``capacity`` are cut, every
     ``capacity`` ids. Pieces are written to ``folder`` once. The driver sees how often each
@@ -149,7 +149,8 @@ def pack(docs: DataFrame, folder: str, tokenizer_path: str, capacity: int, end_i
     spark = docs.sparkSession
     cut_up = cut_documents(docs, tokenizer_path, capacity, end_id).withColumn("part", F.spark_partition_id())
     cut_up.write.option("compression", "zstd").parquet(folder)
-    rows = spark.read.parquet(folder)
+    # the digest is taken before the join, which carries the ids only if they are asked for
+    rows = spark.read.parquet(folder).withColumn("ids_crc32", F.crc32("ids"))
     own = rows.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     # a row per file at most for each length
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -167,7 +168,7 @@ def pack(docs: DataFrame, folder: str, tokenizer_path: str, capacity: int, end_i
 
     ranked = rows.join(earlier, ["part", "length"])
     put = ranked.withColumn("_place", place("length", F.col("before") + F.col("nth")))
-    return put.select("doc_id", "piece", "start", "length", "ids", "_place.sequence_id", "_place.offset")
+    return put.select("doc_id", "piece", "start", "length", "ids", "ids_crc32", "_place.sequence_id", "_place.offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -108,7 +108,7 @@ def op11_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{use_checkpoint_dir(spark)}/packing-{uuid.uuid4().hex}"
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     packed = packing.pack(_table(spark, sf_dir, "documents"), folder, tokenizer, capacity=4096, end_id=1)
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query("op12_token_links")
