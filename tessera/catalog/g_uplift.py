@@ -211,8 +211,9 @@ def tree_predict(t):
 @query("up_05_forest", "c_custkey bigint, uplift double")
 def forest(t):
     rows = tree_rows(t)
-    limits = uplift_tree.Limits(max_depth=2, min_leaf=30, min_treated=10, min_control=10)
-    return uplift_tree.fit_forest(rows, "c_custkey", TREE_FEATURES, "w", "y", 8, 2, limits).predict(rows)
+    limits = uplift_tree.Limits(max_depth=5, min_leaf=100, min_treated=10, min_control=10)
+    forest = uplift_tree.fit_forest(rows, "c_custkey", TREE_FEATURES, "w", "y", 10, 10, limits, criterion="ed", n_reg=10)
+    return forest.predict(rows)
 
 
 @query("up_06_s_learner", "c_custkey bigint, uplift double")

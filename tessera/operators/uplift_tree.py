@@ -2,14 +2,18 @@
 
 Rows are never collected: one aggregate per level gives the counts and outcome sums on
 both sides of every candidate split, and only the best split per node (at most 2**depth
-rows) reaches the driver. The next level's node number is a CASE expression.
+rows) reaches the driver. The next level's node number is a CASE expression. A forest counts
+quantised features instead, for all its trees at once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -204,6 +208,108 @@ class Forest:
         return df.withColumn(name, total / len(self.trees))
 
 
+#: How good a split is: "delta" is the difference of the sides' effects, the others are divergences
+#: of treated and control outcomes ("kl" and "chi" for outcomes from 0 to 1), summed over the sides.
+CRITERIA = ("delta", "ed", "kl", "chi")
+
+
+def _divergence(criterion: str, treated: np.ndarray, control: np.ndarray) -> np.ndarray:
+    if criterion == "ed":
+        return (treated - control) ** 2
+    t, c = (np.clip(p, 1e-6, 1 - 1e-6) for p in (treated, control))
+    if criterion == "kl":
+        return t * np.log(t / c) + (1 - t) * np.log((1 - t) / (1 - c))
+    return (t - c) ** 2 / c + (t - c) ** 2 / (1 - c)
+
+
+def split_scores(bins: np.ndarray, limits: Limits, criterion: str, n_reg: float = 0.0) -> np.ndarray:
+    """Score of a split after each bin but the last; -inf where a side is too small.
+
+    ``bins`` holds rows, treated rows, and outcome sums of treated and controls for each bin of a
+    feature. Outcomes of the sides are drawn to the node's by ``n_reg`` rows.
+    """
+    left = np.cumsum(bins, axis=0)[:-1]
+    total = bins.sum(axis=0)
+    sides, enough = [], np.ones(len(left), dtype=bool)
+    node = (total[2] / max(total[1], 1), total[3] / max(total[0] - total[1], 1))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for n, nt, yt, yc in (left.T, (total - left).T):
+            enough &= (n >= limits.min_leaf) & (nt >= max(limits.min_treated, 1)) & (n - nt >= max(limits.min_control, 1))
+            sides.append((n / total[0], (yt + node[0] * n_reg) / (nt + n_reg), (yc + node[1] * n_reg) / (n - nt + n_reg)))
+        if criterion == "delta":
+            (_, lt, lc), (_, rt, rc) = sides
+            score = np.abs((lt - lc) - (rt - rc))
+        else:
+            score = sum(share * _divergence(criterion, t, c) for share, t, c in sides) - _divergence(criterion, *map(np.array, node))
+    return np.where(enough, score, -np.inf)
+
+
+@dataclass
+class _Level:
+    """What a task needs for one level: each tree's splits by bin, and the nodes whose bins it counts."""
+
+    feature: np.ndarray  # tree x node, -1 without a split
+    upto: np.ndarray
+    slot: np.ndarray  # tree x node, -1 where nothing is counted
+
+    def nodes(self, bins: np.ndarray, tree: int, depth: int) -> np.ndarray:
+        node = np.zeros(len(bins), dtype=np.int64)
+        for _ in range(depth):
+            feature = self.feature[tree][node]
+            right = bins[np.arange(len(bins)), np.maximum(feature, 0)] > self.upto[tree][node]
+            node = np.where(feature >= 0, 2 * node + 1 + right, node)
+        return node
+
+
+def quantised(df: DataFrame, id_col: str, features: Sequence[str], w: str, y: str, edges: dict[str, list[float]], n_trees: int, seed: int) -> DataFrame:
+    """(bins, draws, w, y): each feature as the number of its thresholds below it (all, if null), and each tree's draws of the row."""
+    bin_of = lambda f: F.when(F.col(f).isNull(), len(edges[f])).otherwise(sum((F.lit(e) < F.col(f)).cast("int") for e in edges[f]) if edges[f] else F.lit(0))
+    draws = [poisson1(uniform(F.col(id_col), seed, F.lit(i))).cast("smallint") for i in range(n_trees)]
+    known = df.where(F.col(w).isNotNull() & F.col(y).isNotNull())
+    return known.select(
+        F.array(*[bin_of(f).cast("smallint") for f in features]).alias("bins"),
+        F.array(*draws).alias("draws"),
+        F.col(w).cast("double").alias("w"),
+        F.col(y).cast("double").alias("y"),
+    )
+
+
+def _histograms(rows: DataFrame, level: _Level, depth: int, slots: int, n_features: int, n_bins: int) -> np.ndarray:
+    """(slot, feature, bin, 4): rows, treated rows and both arms' outcome sums of the counted nodes.
+
+    Each task adds up its rows in an array of that size; only the sums are shuffled and
+    collected, (trees x nodes x features x bins) rows whatever the table's size.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(level)
+    size = slots * n_features * n_bins
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((4, size))
+        for batch in batches:
+            if not len(batch):
+                continue
+            bins, draws = np.stack(batch["bins"]).astype(np.int64), np.stack(batch["draws"]).astype(float)
+            w, y = batch["w"].to_numpy() == 1, batch["y"].to_numpy()
+            for tree in range(draws.shape[1]):
+                slot = shared.value.slot[tree][shared.value.nodes(bins, tree, depth)]
+                own = np.flatnonzero((slot >= 0) & (draws[:, tree] > 0))
+                weight = draws[own, tree]
+                parts = (weight, weight * w[own], weight * y[own] * w[own], weight * y[own] * ~w[own])
+                for f in range(n_features):
+                    cell = (slot[own] * n_features + f) * n_bins + bins[own, f]
+                    for i, part in enumerate(parts):
+                        total[i] += np.bincount(cell, weights=part, minlength=size)
+        used = np.flatnonzero(total[0])
+        yield pd.DataFrame({"cell": used, **{name: total[i][used] for i, name in enumerate(names)}})
+
+    names = ["n", "nt", "yt", "yc"]
+    counted = rows.mapInPandas(run, "cell bigint, n double, nt double, yt double, yc double")
+    out = np.zeros((size, 4))
+    for r in counted.groupBy("cell").agg(*[F.sum(n).alias(n) for n in names]).collect():
+        out[r["cell"]] = [r[n] for n in names]
+    return out.reshape(slots, n_features, n_bins, 4)
+
+
 def fit_forest(
     df: DataFrame,
     id_col: str,
@@ -214,62 +320,66 @@ def fit_forest(
     max_features: int | None = None,
     limits: Limits = Limits(),
     seed: int = 0,
+    criterion: str = "delta",
+    n_reg: float = 0.0,
 ) -> Forest:
-    """Bagged trees: Poisson row weights and a feature subset per tree.
+    """Bagged trees: Poisson row weights, and a subset of ``max_features`` features for each node.
 
-    All trees share one pass per level, with the tree in the grouping key. Thresholds come
-    from the whole table, so they are computed once.
+    Features are cut at the whole table's thresholds once and written as bin numbers. Each
+    level is one pass over these for all trees, which adds up the bins of every node's smaller
+    child; the other child is its parent less the smaller one. The driver holds the
+    histograms of one level: trees x nodes x features x bins.
     """
-    rows = cut_lineage(df.select(id_col, *[F.col(f).cast("double").alias(f) for f in features], w, y))
-    edges = cut_lineage(threshold_lists(_long(rows, [], features), ["feature"]))
-    k = max_features or len(features)
+    if criterion not in CRITERIA:
+        raise ValueError(f"criterion must be one of {CRITERIA}")
+    features, k = list(features), max_features or len(features)
+    lists = threshold_lists(_long(df, [], features), ["feature"]).collect()  # a row for each feature
+    edges = {f: [] for f in features} | {r["feature"]: [float(e) for e in r["edges"]] for r in lists}
+    rows = cut_lineage(quantised(df.select(id_col, w, y, *[F.col(f).cast("double").alias(f) for f in features]), id_col, features, w, y, edges, n_trees, seed))
+    n_bins = max(map(len, edges.values())) + 1
     trees = [Tree() for _ in range(n_trees)]
-    subsets = [_subset(features, k, seed, i) for i in range(n_trees)]
-    active = [[0] for _ in range(n_trees)]
-    drawn = cut_lineage(
-        rows.withColumn("_tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-        .withColumn("_u", uniform(F.col(id_col), seed, F.col("_tree")))
-        .withColumn("_weight", poisson1(F.col("_u")))
-        .where("_weight > 0")
-        .drop("_u")
-    )
-    allowed = F.lit(False)
-    for i, s in enumerate(subsets):
-        allowed = allowed | ((F.floor(F.col("_key") / _STEP) == i) & F.col("feature").isin(s))
+    nodes = 2 ** (limits.max_depth + 1) - 1
+    level = _Level(np.full((n_trees, nodes), -1), np.zeros((n_trees, nodes), dtype=np.int64), np.full((n_trees, nodes), -1))
+    held: dict[tuple[int, int], np.ndarray] = {}
+    counted = [(i, 0) for i in range(n_trees)]
     for depth in range(limits.max_depth + 1):
-        node, live = F.lit(None).cast("bigint"), []
-        for i, t in enumerate(trees):
-            node = F.when(F.col("_tree") == i, t.node_column() + F.lit(i * _STEP)).otherwise(node)
-            live += [i * _STEP + n for n in active[i]]
-        if not live:
+        level.slot[:] = -1
+        for slot, (i, node) in enumerate(counted):
+            level.slot[i, node] = slot
+        bins = _histograms(rows, level, depth, len(counted), len(features), n_bins)
+        parents, held = held, {}
+        for slot, (i, node) in enumerate(counted):
+            held[i, node] = bins[slot]
+            if node:
+                other = node + 1 if node % 2 else node - 1
+                held[i, other] = parents[i, (node - 1) // 2] - bins[slot]
+        counted = []
+        for (i, node), own in sorted(held.items()):
+            n, nt, yt, yc = own[0].sum(axis=0)
+            trees[i].nodes[node] = {"n": round(n), "n_t": round(nt), "n_c": round(n - nt), "ate": yt / nt - yc / (n - nt) if nt and n > nt else None}
+            if depth == limits.max_depth:
+                continue
+            best: tuple[float, int, int] | None = None
+            for f in _subset(features, k, seed, i, node):
+                at = features.index(f)
+                scores = split_scores(own[at][: len(edges[f]) + 1], limits, criterion, n_reg)
+                for upto, score in enumerate(scores):
+                    if score > (best[0] + 1e-12 if best else -np.inf):
+                        best = (score, at, upto)
+            if best:
+                _, at, upto = best
+                level.feature[i, node], level.upto[i, node] = at, upto
+                trees[i].splits[node] = (features[at], edges[features[at]][upto])
+                left = own[at][: upto + 1, 0].sum()
+                counted.append((i, 2 * node + (1 if left <= n - left else 2)))
+        if not counted:
             break
-        level = drawn.withColumn("_key", node).where(F.col("_key").isin(live))
-        treated = F.col(w) == 1
-        weighted = lambda cond: F.sum(F.when(cond, F.col("_weight") * F.col(y))) / F.sum(F.when(cond, F.col("_weight")))
-        stats = level.groupBy("_key").agg(
-            F.sum("_weight").alias("n"),
-            F.sum(F.when(treated, F.col("_weight")).otherwise(0)).alias("n_t"),
-            (weighted(treated) - weighted(~treated)).alias("ate"),
-        )
-        for r in stats.collect():
-            i, n = divmod(r["_key"], _STEP)
-            trees[i].nodes[n] = {"n": r["n"], "n_t": r["n_t"], "n_c": r["n"] - r["n_t"], "ate": r["ate"]}
-        if depth == limits.max_depth:
-            break
-        gains = split_gains(level, "_key", features, w, y, limits, weight="_weight", edges=edges).where(allowed)
-        active = [[] for _ in range(n_trees)]
-        for r in best_splits(gains, ["_key"], features).collect():
-            i, n = divmod(r["_key"], _STEP)
-            trees[i].splits[n] = (r["feature"], r["threshold"])
-            active[i] += [2 * n + 1, 2 * n + 2]
     return Forest(trees)
 
 
-_STEP = 1 << 20  # node numbers of one tree stay below this
-
-
-def _subset(features: Sequence[str], k: int, seed: int, tree: int) -> list[str]:
-    """k features of one tree, chosen by hash order of their names."""
-    import hashlib
-
-    return sorted(features, key=lambda f: hashlib.md5(f"{seed}_{tree}_{f}".encode()).hexdigest())[:k]
+def _subset(features: Sequence[str], k: int, seed: int, tree: int, node: int) -> list[str]:
+    """k features of one node, chosen by hash order of their names; in the features' order."""
+    if k >= len(features):
+        return list(features)
+    chosen = sorted(features, key=lambda f: hashlib.md5(f"{seed}_{tree}_{node}_{f}".encode()).hexdigest())[:k]
+    return [f for f in features if f in chosen]

@@ -63,6 +63,73 @@ def test_tree_equals_plain_recursion(spark, sample):
     assert np.corrcoef(pred.uplift, (x[:, 0] > 0.3) * 2)[0, 1] > 0.5
 
 
+def plain_scores(v, w, y, c, threshold, limits, criterion, n_reg):
+    node = [np.average(y[w == arm], weights=c[w == arm]) for arm in (1, 0)]
+
+    def distance(t, u):
+        if criterion == "ed":
+            return (t - u) ** 2
+        if criterion == "kl":
+            return t * np.log(t / u) + (1 - t) * np.log((1 - t) / (1 - u))
+        return (t - u) ** 2 / u + (t - u) ** 2 / (1 - u)
+
+    taus, total = [], 0
+    for side in (v <= threshold, ~(v <= threshold)):
+        n, n_t, n_c = c[side].sum(), c[side & (w == 1)].sum(), c[side & (w == 0)].sum()
+        if n < limits.min_leaf or n_t < limits.min_treated or n_c < limits.min_control:
+            return None
+        t, u = ((c * y)[side & (w == arm)].sum() + m * n_reg for arm, m in zip((1, 0), node))
+        t, u = t / (n_t + n_reg), u / (n_c + n_reg)
+        taus.append(t - u)
+        total += n / c.sum() * distance(t, u) if criterion != "delta" else 0
+    return abs(taus[0] - taus[1]) if criterion == "delta" else total - distance(*node)
+
+
+def plain_forest(x, w, y, draws, edges, names, subset, limits, criterion, n_reg):
+    """Mean prediction of trees grown row by row."""
+
+    def predict(rows, tree, node, depth):
+        c, best = draws[rows, tree], None
+        if depth < limits.max_depth:
+            for f in subset(tree, node):
+                f = names.index(f)
+                for threshold in edges[f]:
+                    score = plain_scores(x[rows, f], w[rows], y[rows], c, threshold, limits, criterion, n_reg)
+                    if score is not None and score > (best[0] + 1e-12 if best else -np.inf):
+                        best = (score, f, threshold)
+        if best is None:
+            arms = [rows[(w[rows] == arm) & (c > 0)] for arm in (1, 0)]
+            out[rows, tree] = np.subtract(*[np.average(y[a], weights=draws[a, tree]) for a in arms])
+            return
+        left = x[rows, best[1]] <= best[2]
+        predict(rows[left], tree, 2 * node + 1, depth + 1)
+        predict(rows[~left], tree, 2 * node + 2, depth + 1)
+
+    out = np.zeros(draws.shape)
+    for tree in range(draws.shape[1]):
+        predict(np.arange(len(y)), tree, 0, 0)
+    return out.mean(axis=1)
+
+
+@pytest.mark.parametrize("criterion, n_reg", [("delta", 0), ("ed", 10), ("kl", 10), ("chi", 5)])
+def test_forest_equals_trees_grown_row_by_row(spark, sample, criterion, n_reg):
+    x, w, y = sample
+    x, w, y = x[:1200].copy(), w[:1200], (y[:1200] > 0.5).astype(float)
+    x[::50, 0] = np.nan
+    limits = Limits(3, 40, 10, 10)
+    frame = pd.DataFrame({"id": range(len(y)), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "w": w, "y": y})
+    df = spark.createDataFrame(frame).withColumn("a", F.when(~F.isnan("a"), F.col("a")))
+    lists = {r["feature"]: list(r["edges"]) for r in uplift_tree.threshold_lists(uplift_tree._long(df, [], ["a", "b", "c"]), ["feature"]).collect()}
+    edges = [lists[f] for f in "abc"]
+    drawn = uplift_tree.quantised(df, "id", ["a", "b", "c"], "w", "y", lists, 3, 0).select("draws").collect()
+    draws = np.array([r.draws for r in drawn], dtype=float)
+    subset = lambda tree, node: uplift_tree._subset(["a", "b", "c"], 2, 0, tree, node)
+    want = plain_forest(x, w, y, draws, edges, ["a", "b", "c"], subset, limits, criterion, n_reg)
+    forest = uplift_tree.fit_forest(df, "id", ["a", "b", "c"], "w", "y", 3, 2, limits, criterion=criterion, n_reg=n_reg)
+    got = forest.predict(df).orderBy("id").toPandas().uplift
+    np.testing.assert_allclose(got, want, atol=1e-9)
+
+
 def test_uplift_at_k_rules(spark):
     df = spark.createDataFrame(
         [(i, float(10 - i), i % 2, float(i)) for i in range(10)], "id int, s double, w int, y double"
