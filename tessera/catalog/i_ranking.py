@@ -242,12 +242,20 @@ def seeded_vectors(t):
     return made.select("token", F.posexplode_outer("v").alias("dim", "value"))
 
 
-TEXT_VECTOR_SQL = f"""(SELECT doc_id, d AS dim, avg(v[d + 1]) AS value FROM {WORDS} w JOIN (SELECT token, {vector_sql('token')} AS v FROM {VOCAB_SQL}) USING (token), range(0, {DIMS}) r(d) GROUP BY 1, 2)"""
+def text_vector_sql(table: str, key: str) -> str:
+    """Mean vectors of all texts of a table by dimension; one vector for unknown words, zeros without words."""
+    return f"""(SELECT {key}, d AS dim, coalesce(value, 0) AS value FROM (SELECT DISTINCT {key} FROM {table}) CROSS JOIN range(0, {DIMS}) r(d) LEFT JOIN
+       (SELECT {key}, d, avg(coalesce(v[d + 1], unknown[d + 1])) AS value FROM (SELECT {key}, unnest({tokens_sql('text')}) AS token FROM {table}) w
+        LEFT JOIN (SELECT token, {vector_sql('token')} AS v FROM {VOCAB_SQL}) USING (token), (SELECT {vector_sql("''")} AS unknown), range(0, {DIMS}) r(d) GROUP BY 1, 2) USING ({key}, d))"""
 
 
-@query("tx_05_text_vectors", "doc_id bigint, dim bigint, value double", f"SELECT doc_id, dim, value FROM {TEXT_VECTOR_SQL}")
+def text_means(t, table, key):
+    return matching.text_vectors(table, key, matching.token_vectors(vocab(t), None, DIMS), DIMS)
+
+
+@query("tx_05_text_vectors", "doc_id bigint, dim bigint, value double", f"SELECT doc_id, dim, value FROM {text_vector_sql('documents', 'doc_id')}")
 def text_vectors(t):
-    return matching.text_vectors(t.documents, "doc_id", matching.token_vectors(vocab(t), None, DIMS))
+    return text_means(t, t.documents, "doc_id").select("doc_id", F.posexplode("vector").alias("dim", "value"))
 
 
 PAIR_ROWS_SQL = "(SELECT o_custkey AS l, o_orderkey + 1000000000 AS r, greatest(0, 3 - CAST(substr(o_orderpriority, 1, 1) AS INT)) AS label FROM orders)"
@@ -315,8 +323,8 @@ def turn_vectors(t):
     rows = turns(t)
     words = matching.vocabulary([t.conversations])
     vectors = matching.token_vectors(words, None, DIMS)
-    left = matching.vector_lists(rows.select("l", F.col("text_l").alias("text")).distinct(), "l", vectors)
-    right = matching.vector_lists(rows.select("r", F.col("text_r").alias("text")).distinct(), "r", vectors)
+    left = matching.vector_blocks(rows.select("l", F.col("text_l").alias("text")).distinct(), "l", vectors, matching.unknown_vector(DIMS))
+    right = matching.vector_blocks(rows.select("r", F.col("text_r").alias("text")).distinct(), "r", vectors, matching.unknown_vector(DIMS))
     return rows.select("l", "r"), left, right
 
 
@@ -433,23 +441,18 @@ def graph_search(t):
     return neighbours.nearest(t.embeddings, t.embeddings, 10, "vec_id", "vec_id", "embedding")
 
 
-CANDIDATES_SQL = f"""WITH dv AS (SELECT doc_id AS id, list(value ORDER BY dim) AS v FROM {TEXT_VECTOR_SQL} GROUP BY 1),
-  tv AS (SELECT token, {vector_sql('token')} AS v FROM {VOCAB_SQL}),
-  qw AS (SELECT item_id, unnest({tokens_sql('text')}) AS token FROM benchmark),
-  qv AS (SELECT item_id AS query_id, list(value ORDER BY dim) AS v FROM (SELECT item_id, d AS dim, avg(v[d + 1]) AS value FROM qw JOIN tv USING (token), range(0, {DIMS}) r(d) GROUP BY 1, 2) GROUP BY 1)"""
+CANDIDATES_SQL = f"""WITH dv AS (SELECT doc_id AS id, list(value ORDER BY dim) AS v FROM {text_vector_sql('documents', 'doc_id')} GROUP BY 1),
+  qv AS (SELECT item_id AS query_id, list(value ORDER BY dim) AS v FROM {text_vector_sql('benchmark', 'item_id')} GROUP BY 1)"""
 
 
 def text_index(t):
-    words = matching.token_vectors(vocab(t), None, DIMS)
-    return cut_lineage(matching.pack_vectors(matching.text_vectors(t.documents, "doc_id", words), "doc_id"))
+    return cut_lineage(text_means(t, t.documents, "doc_id"))
 
 
 def search_queries(t):
     """Benchmark texts that pass the language gate, with their vectors."""
-    words = matching.token_vectors(vocab(t), None, DIMS)
     english = guess_language(t.benchmark, "item_id", "text").where("guess = 'en'").select("item_id", "text")
-    vectors = matching.pack_vectors(matching.text_vectors(english, "item_id", words), "item_id")
-    return english, cut_lineage(vectors)
+    return english, cut_lineage(text_means(t, english, "item_id"))
 
 
 def stop_sql() -> str:
@@ -478,10 +481,10 @@ def two_stage_search(t):
     found = neighbours.nearest(vectors.withColumnRenamed("item_id", "doc_id"), text_index(t), 100, "doc_id", "doc_id", "vector")
     pairs = cut_lineage(found.select(F.col("query_id").alias("item_id"), F.col("id").alias("doc_id")))
     words = matching.token_vectors(vocab(t), None, DIMS)
-    left = matching.vector_lists(english, "item_id", words)
+    left = matching.vector_blocks(english, "item_id", words, matching.unknown_vector(DIMS))
     # only texts that are some query's candidate get token vectors
     wanted = pairs.select("doc_id").distinct()
-    right = matching.vector_lists(t.documents.join(wanted, "doc_id", "left_semi"), "doc_id", words)
+    right = matching.vector_blocks(t.documents.join(wanted, "doc_id", "left_semi"), "doc_id", words, matching.unknown_vector(DIMS))
     made = matching.kernel_features(pairs, "item_id", "doc_id", left, right)
     # weights grow with the kernel's similarity level
     weights = [mu for mu, _ in matching.kernel_centres()]
@@ -490,7 +493,7 @@ def two_stage_search(t):
     return scored.withColumn("rank", F.row_number().over(w)).where("rank <= 10")
 
 
-@query("vs_07_index_refresh", "size bigint", f"SELECT count(DISTINCT doc_id) AS size FROM {WORDS} JOIN {VOCAB_SQL} USING (token)")
+@query("vs_07_index_refresh", "size bigint", "SELECT count(DISTINCT doc_id) AS size FROM documents")
 def index_refresh(t):
     from tessera.catalog.a_sources import scratch
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -11,13 +12,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.functions.hashing import hash_order, md5_mod, text_key, uniform
 from tessera.functions.text import tokens
 from tessera.plans.prefix import join_on_keys, prefix
 
 PAD, OOV = 0, 1
+#: Tokens of a text that are matched at a time.
+BLOCK_TOKENS = 512
 
 
 def vocabulary(texts: Sequence[DataFrame], column: str = "text", min_count: int = 1, preprocess: Callable[[Column], Column] = tokens) -> DataFrame:
@@ -78,22 +80,23 @@ def token_vectors(vocab: DataFrame, vectors: DataFrame | None, dims: int, seed:
     return vocab.select("token").join(vectors, "token", "left").select("token", F.coalesce("v", made).alias("v"))
 
 
-def text_vectors(df: DataFrame, id_col: str, vectors: DataFrame, text: str = "text") -> DataFrame:
-    """Mean token vector per text as rows (id, dim, value); words are counted per text first."""
-    counts = text_tokens(df, id_col, text).groupBy(id_col, "token").agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.join(vectors, "token")
-        # the outer form keeps Spark from testing (and so computing) the vectors below the join
-        .select(id_col, "_n", F.posexplode_outer("v").alias("dim", "x"))
-        .groupBy(id_col, "dim")
-        .agg((F.sum(F.col("_n") * F.col("x")) / F.sum("_n")).alias("value"))
-    )
+def unknown_vector(dims: int, seed: int = 0, bound: float = 0.2) -> list[float]:
+    """The vector of all words outside the vocabulary: :func:`seeded_vector` of the empty token."""
+    digests = [hashlib.md5(f"_{seed}_{d}".encode()).hexdigest() for d in range(dims)]
+    return [(int(digest[:13], 16) / 2**52 * 2 - 1) * bound for digest in digests]
+
 
+def text_vectors(df: DataFrame, id_col: str, vectors: DataFrame, dims: int, text: str = "text", seed: int = 0, name: str = "vector") -> DataFrame:
+    """(id, vector): the mean token vector of every text; words are counted per text first.
 
-def pack_vectors(long: DataFrame, id_col: str, name: str = "vector") -> DataFrame:
-    """(id, dim, value) rows to one array per id, as long as the vector."""
-    packed = F.array_sort(F.collect_list(F.struct("dim", "value")))
-    return long.groupBy(id_col).agg(F.transform(packed, lambda x: x["value"]).alias(name))
+    Words without a vector count with :func:`unknown_vector`, texts without words have zeros.
+    """
+    words = df.select(id_col, F.explode_outer(tokens(F.col(text))).alias("token"))
+    counts = words.groupBy(id_col, "token").agg(F.count("token").alias("_n"))
+    found = counts.join(vectors.select("token", "v"), "token", "left")
+    value = [F.coalesce(F.col("v")[d], F.lit(x)) for d, x in enumerate(unknown_vector(dims, seed))]
+    sums = found.groupBy(id_col).agg(*[F.sum(F.col("_n") * x).alias(f"_{d}") for d, x in enumerate(value)], F.sum("_n").alias("_n"))
+    return sums.select(id_col, F.array(*[F.col(f"_{d}") / F.greatest("_n", F.lit(1)) for d in range(dims)]).alias(name))
 
 
 def training_triplets(df: DataFrame, left: str, right: str, label: str, seed: int = 0) -> DataFrame:
@@ -187,75 +190,92 @@ def kernel_centres(n: int = 21, sigma: float = 0.1, exact: float = 0.001) -> lis
     return [(mu, sigma) for mu in middles] + [(1.0, exact)]
 
 
-def _kernel_udf(centres: list[tuple[float, float]]):
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def features(query: pd.Series, doc: pd.Series) -> pd.Series:
-        mu = np.array([c[0] for c in centres])
-        width = 2 * np.array([c[1] for c in centres]) ** 2
-        out = []
-        for q, d in zip(query, doc):
-            a, b = np.stack(q).astype(float), np.stack(d).astype(float)
-            a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
-            b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
-            sims = a @ b.T
-            out.append([np.log1p(np.exp(-((sims - m) ** 2) / s).sum(axis=1)).sum() for m, s in zip(mu, width)])
-        return pd.Series(out)
+def vector_blocks(
+    df: DataFrame, id_col: str, vectors: DataFrame, unknown: Sequence[float], text: str = "text", size: int = BLOCK_TOKENS, name: str = "vectors"
+) -> DataFrame:
+    """(id, block, vectors): the token vectors of a text in order, ``size`` tokens in a block.
 
-    return features
+    Words without a vector have ``unknown``; texts without words have no block.
+    """
+    block = F.floor(F.col("pos") / size)
+    places = text_tokens(df, id_col, text).groupBy(id_col, block.alias("block"), "token").agg(F.collect_list("pos").alias("_places"))
+    found = places.join(vectors, "token", "left").withColumn("v", F.coalesce("v", F.array(*[F.lit(x) for x in unknown])))
+    rows = found.select(id_col, "block", F.explode("_places").alias("pos"), "v")
+    packed = F.array_sort(F.collect_list(F.struct("pos", "v")))  # ``size`` entries at most
+    blocks = rows.groupBy(id_col, "block").agg(packed.alias("_packed"))
+    return blocks.select(id_col, "block", F.transform("_packed", lambda x: x["v"]).alias(name))
 
 
-def vector_lists(df: DataFrame, id_col: str, vectors: DataFrame, text: str = "text", name: str = "vectors") -> DataFrame:
-    """(id, vectors): the token vectors of a text in order."""
-    places = text_tokens(df, id_col, text).groupBy(id_col, "token").agg(F.collect_list("pos").alias("_places"))
-    rows = places.join(vectors, "token").select(id_col, F.explode("_places").alias("pos"), "v")
-    packed = F.array_sort(F.collect_list(F.struct("pos", "v")))
-    return rows.groupBy(id_col).agg(F.transform(packed, lambda x: x["v"]).alias(name))
+def _per_query_token(
+    pairs: DataFrame, left: str, right: str, left_blocks: DataFrame, right_blocks: DataFrame, measure: Callable[[np.ndarray], np.ndarray]
+) -> DataFrame:
+    """(left, right, block, i, m): ``measure`` of a query token's cosines with one block of document tokens.
+
+    Each distinct pair meets block by block; a task holds the cosines of one pair of blocks.
+    ``measure`` turns them into one row of numbers for each query token.
+    """
+    joined = (
+        pairs.select(left, right)
+        .distinct()
+        .join(left_blocks.select(left, F.col("block").alias("_qb"), F.col("vectors").alias("_q")), left)
+        .join(right_blocks.select(right, F.col("vectors").alias("_d")), right)
+    )
+
+    def unit(vectors: Sequence) -> np.ndarray:
+        v = np.stack(vectors).astype(float)
+        return v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for l, r, block, q, d in zip(batch[left], batch[right], batch["_qb"], batch["_q"], batch["_d"]):
+                m = measure(unit(q) @ unit(d).T)
+                yield pd.DataFrame({left: [l] * len(m), right: [r] * len(m), "block": block, "i": range(len(m)), "m": list(m)})
+
+    kinds = [f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in (left, right)]
+    return joined.select(left, right, "_qb", "_q", "_d").mapInPandas(run, f"{', '.join(kinds)}, block bigint, i int, m array<double>")
 
 
 def kernel_features(
-    pairs: DataFrame, left: str, right: str, left_vectors: DataFrame, right_vectors: DataFrame, kernels: int = 21
+    pairs: DataFrame, left: str, right: str, left_blocks: DataFrame, right_blocks: DataFrame, kernels: int = 21
 ) -> DataFrame:
     """Kernel pooling features per (left, right) text pair: (pair columns, kernels array).
 
-    The cosine matrix of a pair lives only inside the task that pools it.
+    ``left_blocks`` and ``right_blocks`` come from :func:`vector_blocks`; pairs of which a text has no
+    token are left out. A kernel's sum over the document is added up over its blocks for
+    each query token, before the logarithm and the sum over the query, so that no text has to
+    fit in a task.
     """
-    udf = _kernel_udf(kernel_centres(kernels))
-    joined = pairs.join(left_vectors.withColumnRenamed("vectors", "_q"), left).join(
-        right_vectors.withColumnRenamed("vectors", "_d"), right
-    )
-    return joined.withColumn("kernels", udf("_q", "_d")).drop("_q", "_d")
+    centres = kernel_centres(kernels)
 
+    def measure(cosines: np.ndarray) -> np.ndarray:
+        return np.stack([np.exp(-((cosines - mu) ** 2) / (2 * width**2)).sum(axis=1) for mu, width in centres], axis=1)
 
-def best_token_matches(pairs: DataFrame, left: str, right: str, left_vectors: DataFrame, right_vectors: DataFrame) -> DataFrame:
+    tokens = _per_query_token(pairs, left, right, left_blocks, right_blocks, measure)
+    sums = tokens.groupBy(left, right, "block", "i").agg(*[F.sum(F.col("m")[k]).alias(f"k{k}") for k in range(kernels)])
+    pooled = sums.groupBy(left, right).agg(F.array(*[F.sum(F.log1p(f"k{k}")) for k in range(kernels)]).alias("kernels"))
+    return pairs.join(pooled, [left, right]).select(*pairs.columns, "kernels")
+
+
+def best_token_matches(pairs: DataFrame, left: str, right: str, left_blocks: DataFrame, right_blocks: DataFrame) -> DataFrame:
     """Row and column maxima summary of the cosine matching matrix per pair.
 
-    (rows, cols, mean, best): its shape, mean cosine and mean over query tokens of the best match.
+    (rows, cols, mean, best): its shape, mean cosine and mean over query tokens of the best
+    match. Blocks and pairs without a token are as in :func:`kernel_features`.
     """
-    joined = pairs.join(left_vectors.withColumnRenamed("vectors", "_q"), left).join(
-        right_vectors.withColumnRenamed("vectors", "_d"), right
-    )
-    return joined.withColumn("_m", _matrix_summary("_q", "_d")).select(*pairs.columns, "_m.*")
-
 
-@F.pandas_udf(
-    T.StructType(
-        [
-            T.StructField("rows", T.LongType()),
-            T.StructField("cols", T.LongType()),
-            T.StructField("mean", T.DoubleType()),
-            T.StructField("best", T.DoubleType()),
-        ]
+    def measure(cosines: np.ndarray) -> np.ndarray:
+        return np.stack([np.full(len(cosines), cosines.shape[1]), cosines.sum(axis=1), cosines.max(axis=1)], axis=1)
+
+    tokens = _per_query_token(pairs, left, right, left_blocks, right_blocks, measure)
+    m = F.col("m")
+    rows = tokens.groupBy(left, right, "block", "i").agg(F.sum(m[0]).alias("n"), F.sum(m[1]).alias("total"), F.max(m[2]).alias("top"))
+    summary = rows.groupBy(left, right).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max("n").cast("bigint").alias("cols"),
+        (F.sum("total") / F.sum("n")).alias("mean"),
+        F.avg("top").alias("best"),
     )
-)
-def _matrix_summary(query: pd.Series, doc: pd.Series) -> pd.DataFrame:
-    out = []
-    for q, d in zip(query, doc):
-        a, b = np.stack(q).astype(float), np.stack(d).astype(float)
-        a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-12)
-        b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-12)
-        sims = a @ b.T
-        out.append((sims.shape[0], sims.shape[1], sims.mean(), sims.max(axis=1).mean()))
-    return pd.DataFrame(out, columns=["rows", "cols", "mean", "best"])
+    return pairs.join(summary, [left, right]).select(*pairs.columns, "rows", "cols", "mean", "best")
 
 
 def fit_scorer(features: DataFrame, column: str, n: int, label: str) -> list[float]:

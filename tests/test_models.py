@@ -253,6 +253,51 @@ def test_graph_search_finds_most_neighbours(spark):
     assert neighbours.recall(found, truth, 5).agg(F.avg("recall")).first()[0] > 0.8
 
 
+@pytest.fixture(scope="module")
+def worded(spark):
+    words = spark.createDataFrame([(f"w{i}",) for i in range(60)], "token string")
+    return matching.token_vectors(words, None, 4)
+
+
+def test_text_vectors_keep_all_words_and_texts(spark, worded):
+    texts = [(1, "w1 w2 w2 other"), (2, ""), (3, None), (4, "none of these"), (None, "w1")]
+    rows = matching.text_vectors(spark.createDataFrame(texts, "id int, text string"), "id", worded, 4).collect()
+    got, v = {r.id: np.array(r.vector) for r in rows}, {r.token: np.array(r.v) for r in worded.collect()}
+    unknown = np.array(matching.unknown_vector(4))
+    made = spark.range(1).select(matching.seeded_vector(F.lit(""), 4).alias("v")).first().v
+    np.testing.assert_allclose(unknown, made, atol=1e-15)
+    want = {1: (v["w1"] + 2 * v["w2"] + unknown) / 4, 2: unknown * 0, 3: unknown * 0, 4: unknown, None: v["w1"]}
+    assert set(got) == set(want)
+    for key in want:
+        np.testing.assert_allclose(got[key], want[key], atol=1e-12)
+
+
+def test_kernels_over_blocks_of_long_texts(spark, worded):
+    rng = np.random.default_rng(8)
+    texts = [(0, " ".join(f"w{i}" for i in rng.integers(0, 70, 20_000))), (1, "w1 w2 zzz"), (2, "w5 " * 1300), (3, "")]
+    df = spark.createDataFrame(texts, "l int, text string")
+    unknown = matching.unknown_vector(4)
+    left = matching.vector_blocks(df, "l", worded, unknown)
+    right = matching.vector_blocks(df.withColumnRenamed("l", "r"), "r", worded, unknown)
+    assert left.agg(F.max(F.size("vectors"))).first()[0] == matching.BLOCK_TOKENS
+    pairs = spark.createDataFrame([(1, 0, "a"), (0, 1, "b"), (2, 0, "c"), (2, 0, "d"), (3, 0, "e"), (None, 1, "f")], "l int, r int, tag string")
+    got = {r.tag: r.kernels for r in matching.kernel_features(pairs, "l", "r", left, right).collect()}
+    best = {r.tag: r for r in matching.best_token_matches(pairs, "l", "r", left, right).collect()}
+    assert set(got) == set(best) == set("abcd")
+    v = {r.token: np.array(r.v) for r in worded.collect()}
+    unit = lambda text: np.stack([x / np.linalg.norm(x) for x in (v.get(t, np.array(unknown)) for t in text.split())])
+    for tag, (l, r) in {"a": (1, 0), "b": (0, 1), "c": (2, 0), "d": (2, 0)}.items():
+        # equal tokens have equal rows, so distinct ones with their counts are enough here
+        a, n = np.unique(unit(texts[l][1]).round(12), axis=0, return_counts=True)
+        b, m = np.unique(unit(texts[r][1]).round(12), axis=0, return_counts=True)
+        sims = a @ b.T
+        want = [(n * np.log1p((m * np.exp(-((sims - mu) ** 2) / (2 * s**2))).sum(1))).sum() for mu, s in matching.kernel_centres()]
+        np.testing.assert_allclose(got[tag], want, rtol=1e-6)
+        assert (best[tag]["rows"], best[tag]["cols"]) == (n.sum(), m.sum())
+        assert best[tag]["best"] == pytest.approx((n * sims.max(1)).sum() / n.sum())
+        assert best[tag]["mean"] == pytest.approx((n[:, None] * m * sims).sum() / n.sum() / m.sum())
+
+
 def test_validation_pairs_fill_up(spark):
     rows = [(i, 1000 + i * 10 + j, j % 2) for i in range(20) for j in range(1 + i % 5)]
     df = spark.createDataFrame(rows, "l int, r int, label int")
