@@ -12,7 +12,7 @@ from tessera.functions.columns import half_open
 from tessera.functions.hashing import uniform
 from tessera.operators import bandit, forecast, joins, pricing, scoring, sequential
 from tessera.plans.prefix import cut_lineage
-from tessera.streaming import jobs
+from tessera.streaming import jobs, keyed
 
 FEATURES = ["qty", "disc", "tax", "size", "month"]
 
@@ -360,14 +360,34 @@ def drops(t, df, name: str, order: str, edges: list[str], each_drop):
     DECIDE_SQL.format(step=1, path=f"SELECT event_type, i, sum({LLR}) OVER (PARTITION BY event_type ORDER BY i) AS z FROM (SELECT *, a - b AS d FROM {PAIRS_SQL})"),
 )
 def sequential_stream(t):
-    job = jobs.SequentialStream(
-        t.spark, scratch(t, "sequential"), "pilot", "control", sequential.normal(0, 60), sequential.normal(6, 60)
-    )
     rows = grouped_events(t).select(
         F.col("event_type").alias("key"), "grp", F.col("ts").alias("time"), F.col("event_id").alias("tie"), "value"
     )
-    drops(t, rows, "sequential", "time", ["2024-01-08", "2024-01-19"], lambda s, c: jobs.run_available(s, c, job.each))
-    return job.decisions().withColumnRenamed("key", "event_type")
+    decisions = keyed.sequential_decisions(t.spark, scratch(t, "sequential"))
+
+    def arrived(stream, checkpoint):
+        updates = keyed.sequential_updates(
+            stream, "pilot", "control", sequential.normal_array(0, 60), sequential.normal_array(6, 60)
+        )
+        decisions.run_available(updates, checkpoint)
+
+    drops(t, rows, "sequential", "time", ["2024-01-08", "2024-01-19"], arrived)
+    return decisions.latest().withColumnRenamed("key", "event_type")
+
+
+@query(
+    "agg_01_stream",
+    "day date, revenue double, number_purchases double, average_check double, average_number_items double",
+    """WITH c AS (SELECT CAST(ts AS DATE) AS day, user_id, sum(value) AS chk, count(value) AS items FROM events GROUP BY 1, 2)
+       SELECT day, sum(chk) AS revenue, count(user_id) AS number_purchases, avg(chk) AS average_check, avg(items) AS average_number_items FROM c
+       WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY 1""",
+)
+def daily_sales_stream(t):
+    """Daily metrics of events as they arrive, a user's day being a purchase; days that the watermark has passed."""
+    path = scratch(t, "daily-out")
+    run = lambda stream, checkpoint: keyed.append_available(keyed.daily_sales(stream, "value", "ts", "user_id", "1 hour"), path, checkpoint)
+    drops(t, t.events.select("ts", "user_id", "value"), "daily", "ts", ["2024-01-08", "2024-01-19"], run)
+    return t.spark.read.parquet(path)
 
 
 # an answer takes the mean paid before its own arrival, so each arrival builds on the ones before

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from math import log
+from math import log, pi
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,11 @@ def normal(mean: float, std: float) -> LogDensity:
     return lambda x: norm_log_density(x, mean, std)
 
 
+def normal_array(mean: float, std: float) -> Callable[[np.ndarray], np.ndarray]:
+    """:func:`normal` for arrays, as keyed streams want it."""
+    return lambda x: -(((x - mean) / std) ** 2) / 2 - log(std) - log(2 * pi) / 2
+
+
 def bounds(alpha: float, beta: float) -> tuple[float, float]:
     return log(beta / (1 - alpha)), log((1 - beta) / alpha)
 
