@@ -121,6 +121,32 @@ def incomplete_beta(a, b, x, rest=None):
     return np.where(swap, 1 - part, part)
 
 
+def beta_quantile(a: float, b: float, p: np.ndarray, grid: int = 2048) -> np.ndarray:
+    """Where the distribution function of Beta(``a``, ``b``) reaches each of ``p``.
+
+    A table of the function brackets each root; Newton's steps that stay inside the bracket,
+    and halvings where they don't, end it.
+    """
+    p = np.asarray(p, dtype=float)
+    # more points where the mass lies, and down to the ends for shapes below 1
+    spread = np.sqrt(a * b / (a + b + 1)) / (a + b)
+    points = np.concatenate([np.linspace(0, 1, grid), a / (a + b) + spread * np.linspace(-9, 9, grid)])
+    x = np.unique(np.clip(points, 0, 1))
+    at = np.clip(np.searchsorted(incomplete_beta(a, b, x), p, side="right"), 1, len(x) - 1)
+    low, high = x[at - 1], x[at]
+    root, log_beta = (low + high) / 2, _log_beta(np.float64(a), np.float64(b))
+    for _ in range(60):
+        off = incomplete_beta(a, b, root) - p
+        low, high = np.where(off < 0, root, low), np.where(off < 0, high, root)
+        with np.errstate(all="ignore"):
+            step = root - off / np.exp((a - 1) * np.log(root) + (b - 1) * np.log1p(-root) - log_beta)
+        new = np.where((step > low) & (step < high), step, (low + high) / 2)
+        moved, root = np.abs(new - root).max(initial=0.0), new
+        if moved < 1e-15:
+            break
+    return np.where(p <= 0, 0.0, np.where(p >= 1, 1.0, root))
+
+
 def student_two_sided(t, dof):
     """Two-sided p-values for numpy arrays of t statistics and degrees of freedom."""
     t, dof = np.broadcast_arrays(np.asarray(t, dtype=float), np.asarray(dof, dtype=float))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.columns import epoch_micros
-from tessera.functions.hashing import md5_mod, text_key, uniform
+from tessera.functions.hashing import uniform
+from tessera.functions.stats import beta_quantile
 from tessera.operators.joins import enrich, week_keys
 from tessera.operators.series import previous
 from tessera.plans.prefix import prefix
@@ -57,16 +58,23 @@ def posterior(log: DataFrame, arm: str, reward: str) -> DataFrame:
 
 
 def thompson(decisions: DataFrame, id_col: str, post: DataFrame, arm: str, seed: int = 0) -> DataFrame:
-    """One posterior draw per decision and arm, seeded by the decision id; the largest wins."""
-    rows = post.select(arm, "a", "b").orderBy(arm).collect()
-    arms = [str(r[arm]) for r in rows]
-    a, b = [r["a"] for r in rows], [r["b"] for r in rows]
+    """One posterior draw per decision and arm, seeded by the decision id; the largest wins.
+
+    A draw is the posterior's quantile at a hashed uniform of (id, arm), so an arm's draws do
+    not depend on which other arms there are. The first arm in name order wins a tie. A
+    null id is drawn for like any other.
+    """
+    rows = post.select(arm, "a", "b").orderBy(arm).collect()  # the arms
+    arms, shapes = [str(r[arm]) for r in rows], [(r["a"], r["b"]) for r in rows]
 
     @F.pandas_udf(T.StringType())
-    def choose(keys: pd.Series) -> pd.Series:
-        return keys.map(lambda k: arms[int(np.argmax(np.random.default_rng(int(k)).beta(a, b)))])
+    def choose(uniforms: pd.Series) -> pd.Series:
+        u = np.stack(uniforms) if len(uniforms) else np.zeros((0, len(arms)))
+        draws = np.stack([beta_quantile(a, b, u[:, i]) for i, (a, b) in enumerate(shapes)], axis=1)
+        return pd.Series([arms[i] for i in np.argmax(draws, axis=1)], dtype=object)
 
-    return decisions.withColumn("choice", choose(md5_mod(text_key(F.col(id_col), seed), 2**31 - 1)))
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return decisions.withColumn("choice", choose(F.array(*[uniform(key, F.lit(name), seed) for name in arms])))
 
 
 def cumulative_regret(log: DataFrame, order: Sequence[str], arm: str, means: dict[str, float]) -> DataFrame:

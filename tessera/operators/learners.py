@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,15 +74,15 @@ class TLearner:
 
 
 class XLearner:
-    """Imputed effects per arm, modelled and mixed by the propensity."""
+    """Imputed effects per arm, modelled and mixed by the propensity: ``p``, or a model's if it is None."""
 
-    def __init__(self, features, w, y, p: float | None = None, model=None):
+    def __init__(self, features, w, y, p: float | None = None, model=None, treatment_model=None):
         self.features, self.w, self.y, self.p = list(features), w, y, p
-        self.model = model or boosted_trees()
+        self.model, self.treatment_model = model or boosted_trees(), treatment_model or logistic()
 
     def fit(self, df: DataFrame) -> "XLearner":
         if self.p is None:
-            self.p = propensity(df, self.w)
+            self.treated = _fit(df, self.features, self.w, self.treatment_model)
         base = TLearner(self.features, self.w, self.y, self.model, self.model).fit(df)
         imputed = base.arms(df).withColumn(
             "_d",
@@ -94,25 +96,37 @@ class XLearner:
     def uplift(self, df: DataFrame, name: str = "uplift") -> DataFrame:
         for a, m in self.tau.items():
             df = _apply(df, self.features, m, f"_tau{a}")
-        return df.withColumn(name, self.p * F.col("_tau0") + (1 - self.p) * F.col("_tau1")).drop("_tau0", "_tau1")
+        if self.p is None:
+            df = with_propensity(df, self.features, self.treated, "_p")
+        else:
+            df = df.withColumn("_p", F.lit(self.p))
+        mixed = F.col("_p") * F.col("_tau0") + (1 - F.col("_p")) * F.col("_tau1")
+        return df.withColumn(name, mixed).drop("_tau0", "_tau1", "_p")
 
 
 class RLearner:
-    """Weighted regression of outcome residuals on treatment residuals, out-of-fold outcomes."""
+    """Weighted regression of outcome residuals on treatment residuals.
+
+    Outcomes are predicted out of fold, and so is the propensity, unless ``p`` gives it.
+    """
 
-    def __init__(self, features, w, y, id_col: str, n_fold: int = 4, p: float | None = None, model=None):
+    def __init__(self, features, w, y, id_col: str, n_fold: int = 4, p: float | None = None, model=None, treatment_model=None):
         self.features, self.w, self.y, self.id_col = list(features), w, y, id_col
-        self.n_fold, self.p, self.model = n_fold, p, model or boosted_trees()
+        self.n_fold, self.p, self.model, self.treatment_model = n_fold, p, model or boosted_trees(), treatment_model or logistic()
 
     def fit(self, df: DataFrame) -> "RLearner":
-        if self.p is None:
-            self.p = propensity(df, self.w)
         folded = cut_lineage(folds(df, self.id_col, self.n_fold, [self.w]))
         parts = []
         for k in range(self.n_fold):
             outcome = _fit(folded.where(F.col("fold") != k), self.features, self.y, self.model)
-            parts.append(_apply(folded.where(F.col("fold") == k), self.features, outcome, "_m"))
-        residual = F.col(self.w) - F.lit(self.p)
+            own = _apply(folded.where(F.col("fold") == k), self.features, outcome, "_m")
+            if self.p is None:
+                treated = _fit(folded.where(F.col("fold") != k), self.features, self.w, self.treatment_model)
+                own = with_propensity(own, self.features, treated, "_p")
+            else:
+                own = own.withColumn("_p", F.lit(self.p))
+            parts.append(own)
+        residual = F.col(self.w) - F.col("_p")
         ready = reduce(DataFrame.unionByName, parts).withColumns(
             {"_r": (F.col(self.y) - F.col("_m")) / residual, "_weight": residual * residual}
         )
@@ -123,6 +137,19 @@ class RLearner:
         return _apply(df, self.features, self.fitted, name)
 
 
+def logistic(**params) -> LogisticRegression:
+    """The default model of who is treated; any Spark ML classifier with a probability can replace it."""
+    return LogisticRegression(**({"maxIter": 50, "regParam": 1e-4} | params))
+
+
+def with_propensity(df: DataFrame, features: Sequence[str], model, name: str, trim: float = 0.02) -> DataFrame:
+    """Each row's probability of treatment, kept ``trim`` away from 0 and 1."""
+    assembled = VectorAssembler(inputCols=list(features), outputCol="_x", handleInvalid="keep").transform(df)
+    scored = model.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_q").transform(assembled)
+    p = vector_to_array("_q")[1]
+    return scored.withColumn(name, F.least(F.greatest(p, F.lit(trim)), F.lit(1 - trim))).drop("_x", "_q")
+
+
 def propensity(df: DataFrame, w: str) -> float:
     """Share of treated rows."""
     return df.agg(F.avg(w)).first()[0]

@@ -3,7 +3,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import features, matching, neighbours, ranking, uplift, uplift_tree
+from tessera.functions.stats import beta_quantile, incomplete_beta
+from tessera.operators import bandit, features, learners, matching, neighbours, ranking, uplift, uplift_tree
 from tessera.operators.uplift_tree import FEW, MANY, Limits
 from tessera.sources.files import TableRegistry
 
@@ -314,3 +315,51 @@ def test_blocks_with_other_keys_are_refused(spark):
         features.feature_table(tables, config, other)
     with pytest.raises(KeyError):
         features.feature_table(tables, [{"name": "nothing"}])
+
+
+@pytest.mark.parametrize("a, b", [(1, 1), (2.5, 7), (300, 20), (0.4, 0.6), (1, 5000), (40_000, 60_000)])
+def test_beta_quantile_inverts_the_distribution(a, b):
+    p = np.concatenate([[0.0, 1.0, 1e-6, 1 - 1e-6], np.random.default_rng(1).random(500)])
+    x = beta_quantile(a, b, p)
+    np.testing.assert_allclose(incomplete_beta(a, b, x), p, atol=1e-9)
+    assert (np.diff(x[np.argsort(p, kind="stable")]) >= 0).all() and x[0] == 0 and x[1] == 1
+    if (a, b) == (1, 1):
+        np.testing.assert_allclose(x, p, atol=1e-12)
+
+
+def test_thompson_choices_follow_the_posterior(spark):
+    post = spark.createDataFrame([("x", 3.0, 5.0), ("y", 6.0, 4.0), ("z", 1.0, 1.0)], "arm string, a double, b double")
+    ids = spark.range(20_000).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    got = bandit.thompson(ids, "id", post, "arm").toPandas()
+    rng = np.random.default_rng(2)
+    draws = np.stack([rng.beta(a, b, 400_000) for a, b in [(3, 5), (6, 4), (1, 1)]], axis=1)
+    want = np.bincount(draws.argmax(1), minlength=3) / 400_000
+    np.testing.assert_allclose(got.choice.value_counts(normalize=True)[["x", "y", "z"]], want, atol=0.015)
+    again = bandit.thompson(ids.repartition(7), "id", post, "arm").toPandas()
+    assert got.fillna(-1).set_index("id").choice.to_dict() == again.fillna(-1).set_index("id").choice.to_dict()
+    # without an arm, only its own decisions change
+    fewer = bandit.thompson(ids, "id", post.where("arm <> 'z'"), "arm").toPandas()
+    kept = got.choice != "z"
+    assert (got.choice[kept] == fewer.choice[kept]).all()
+
+
+def test_propensity_of_each_row_beats_the_constant(spark):
+    rng = np.random.default_rng(3)
+    n = 4000
+    x = rng.normal(size=n)
+    w = (rng.random(n) < 1 / (1 + np.exp(-2 * x))).astype(int)
+    effect = 1.0 + (x > 0)
+    y = 3 * x + w * effect + rng.normal(size=n) * 0.3
+    frame = pd.DataFrame({"id": range(n), "x": x, "w": w, "y": y, "effect": effect})
+    df = spark.createDataFrame(frame).cache()
+    model = learners.boosted_trees(maxIter=8)
+
+    def error(p):
+        fitted = learners.RLearner(["x"], "w", "y", "id", 3, p=p, model=model).fit(df)
+        return fitted.uplift(df).agg(F.avg(F.pow(F.col("uplift") - F.col("effect"), F.lit(2.0)))).first()[0]
+
+    assert error(None) < 0.5 * error(learners.propensity(df, "w"))
+    mixed = learners.XLearner(["x"], "w", "y", model=model).fit(df)
+    scored = learners.with_propensity(df, ["x"], mixed.treated, "p").toPandas()
+    assert np.abs(scored.p - np.clip(1 / (1 + np.exp(-2 * x)), 0.02, 0.98)).mean() < 0.05
+    assert mixed.uplift(df).columns == [*df.columns, "uplift"]
