@@ -8,7 +8,7 @@ from tessera.catalog.f_experiments import SPEND_SQL, spend
 from tessera.catalog.registry import query
 from tessera.functions.columns import bins_by_edges, quantile_edges
 from tessera.functions.hashing import POISSON1_CDF
-from tessera.operators import features, learners, sales, uplift, uplift_tree
+from tessera.operators import features, learners, sales, search, uplift, uplift_tree
 from tessera.plans.prefix import exact_quantiles
 
 
@@ -304,10 +304,17 @@ def targeting(t):
     return uplift.targets_above(scored(t), "c_custkey", "score", 5000)
 
 
-@query("up_15_search", "params string, fold bigint, score double, mean_score double")
-def search(t):
-    grid = [{"maxIter": 3, "maxDepth": 2}, {"maxIter": 3, "maxDepth": 3}]
-    return learners.search(tree_rows(t), "c_custkey", TREE_FEATURES, "w", "y", grid, 2)
+@query("up_15_search", "draw bigint, params string, fold bigint, score double, mean_score double, holdout_score double")
+def sampled_search(t):
+    space = {
+        "max_depth": search.choice(2, 3, 4),
+        "min_leaf": search.steps(30, 90, 30),
+        "min_treated": search.choice(10),
+        "min_control": search.choice(10),
+        "criterion": search.choice("delta", "ed"),
+        "n_reg": search.between(0, 20),
+    }
+    return search.search_forest(tree_rows(t), "c_custkey", TREE_FEATURES, "w", "y", space, n_iter=4, k_folds=3)
 
 
 @query(

@@ -10,7 +10,7 @@ from tessera.catalog.h_multiple import DECIDE_SQL, HELD_SQL, LLR, PAIRS_SQL, SLO
 from tessera.catalog.registry import QUERIES, query
 from tessera.functions.columns import half_open
 from tessera.functions.hashing import uniform
-from tessera.operators import bandit, forecast, joins, pricing, scoring, sequential
+from tessera.operators import bandit, forecast, joins, pricing, scoring, search, sequential
 from tessera.plans.prefix import cut_lineage
 from tessera.streaming import jobs, keyed
 
@@ -340,9 +340,10 @@ def parameter_sweep(t):
     return scoring.sweep(rows.where("NOT held"), rows.where("held"), FEATURES, "y", grid)
 
 
-@query("ml_03_hyper_parameters", "depth bigint, trees bigint, rmse double")
+@query("ml_03_hyper_parameters", "draw bigint, params string, rmse double, holdout_rmse double")
 def hyper_parameters(t):
-    return scoring.tune(price_rows(t), FEATURES, "y", [2, 3], [3])
+    space = {"maxDepth": search.steps(2, 8, 1), "numTrees": search.steps(5, 20, 5), "minInstancesPerNode": search.choice(1, 5, 20)}
+    return search.search_regression(price_rows(t), "id", FEATURES, "y", space, n_iter=5)
 
 
 def drops(t, df, name: str, order: str, edges: list[str], each_drop):

@@ -261,17 +261,33 @@ class _Level:
         return node
 
 
-def quantised(df: DataFrame, id_col: str, features: Sequence[str], w: str, y: str, edges: dict[str, list[float]], n_trees: int, seed: int) -> DataFrame:
-    """(bins, draws, w, y): each feature as the number of its thresholds below it (all, if null), and each tree's draws of the row."""
-    bin_of = lambda f: F.when(F.col(f).isNull(), len(edges[f])).otherwise(sum((F.lit(e) < F.col(f)).cast("int") for e in edges[f]) if edges[f] else F.lit(0))
+@dataclass
+class Quantised:
+    """Features as bin numbers: ``rows`` (bins, draws, w, y, ...), and the thresholds between the bins."""
+
+    rows: DataFrame
+    features: list[str]
+    edges: dict[str, list[float]]
+    n_trees: int
+
+
+def quantise(df: DataFrame, id_col: str, features: Sequence[str], w: str, y: str, n_trees: int, seed: int = 0, keep: Sequence[str] = ()) -> Quantised:
+    """Cut features at the whole table's thresholds and write them, with each tree's draws of a row, once.
+
+    A bin is the number of thresholds below the value; null lies above all. Rows without
+    treatment or outcome are left out.
+    """
+    features = list(features)
+    wide = df.select(*{id_col, w, y, *keep}, *[F.col(f).cast("double").alias(f) for f in features])
+    lists = threshold_lists(_long(wide, [], features), ["feature"]).collect()  # a row for each feature
+    edges = {f: [] for f in features} | {r["feature"]: [float(e) for e in r["edges"]] for r in lists}
+    below = lambda f: sum(((F.lit(e) < F.col(f)).cast("int") for e in edges[f]), F.lit(0))
+    bins = [F.when(F.col(f).isNull(), len(edges[f])).otherwise(below(f)).cast("smallint") for f in features]
     draws = [poisson1(uniform(F.col(id_col), seed, F.lit(i))).cast("smallint") for i in range(n_trees)]
-    known = df.where(F.col(w).isNotNull() & F.col(y).isNotNull())
-    return known.select(
-        F.array(*[bin_of(f).cast("smallint") for f in features]).alias("bins"),
-        F.array(*draws).alias("draws"),
-        F.col(w).cast("double").alias("w"),
-        F.col(y).cast("double").alias("y"),
+    known = wide.where(F.col(w).isNotNull() & F.col(y).isNotNull()).select(
+        F.array(*bins).alias("bins"), F.array(*draws).alias("draws"), F.col(w).cast("double").alias("w"), F.col(y).cast("double").alias("y"), *keep
     )
+    return Quantised(cut_lineage(known), features, edges, n_trees)
 
 
 def _histograms(rows: DataFrame, level: _Level, depth: int, slots: int, n_features: int, n_bins: int) -> np.ndarray:
@@ -330,12 +346,19 @@ def fit_forest(
     child; the other child is its parent less the smaller one. The driver holds the
     histograms of one level: trees x nodes x features x bins.
     """
+    table = quantise(df, id_col, features, w, y, n_trees, seed)
+    return grow_forest(table, table.rows, max_features, limits, seed, criterion, n_reg)
+
+
+def grow_forest(
+    table: Quantised, rows: DataFrame, max_features: int | None = None, limits: Limits = Limits(), seed: int = 0, criterion: str = "delta", n_reg: float = 0.0
+) -> Forest:
+    """:func:`fit_forest` on ``rows`` of a table that is cut already."""
     if criterion not in CRITERIA:
         raise ValueError(f"criterion must be one of {CRITERIA}")
-    features, k = list(features), max_features or len(features)
-    lists = threshold_lists(_long(df, [], features), ["feature"]).collect()  # a row for each feature
-    edges = {f: [] for f in features} | {r["feature"]: [float(e) for e in r["edges"]] for r in lists}
-    rows = cut_lineage(quantised(df.select(id_col, w, y, *[F.col(f).cast("double").alias(f) for f in features]), id_col, features, w, y, edges, n_trees, seed))
+    features, edges, n_trees = table.features, table.edges, table.n_trees
+    k = max_features or len(features)
+    rows = rows.select("bins", "draws", "w", "y")
     n_bins = max(map(len, edges.values())) + 1
     trees = [Tree() for _ in range(n_trees)]
     nodes = 2 ** (limits.max_depth + 1) - 1

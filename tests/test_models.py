@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.stats import beta_quantile, incomplete_beta
-from tessera.operators import bandit, features, learners, matching, neighbours, ranking, uplift, uplift_tree
+from tessera.operators import bandit, features, learners, matching, neighbours, ranking, search, uplift, uplift_tree
 from tessera.operators.uplift_tree import FEW, MANY, Limits
 from tessera.sources.files import TableRegistry
 
@@ -120,9 +120,9 @@ def test_forest_equals_trees_grown_row_by_row(spark, sample, criterion, n_reg):
     limits = Limits(3, 40, 10, 10)
     frame = pd.DataFrame({"id": range(len(y)), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "w": w, "y": y})
     df = spark.createDataFrame(frame).withColumn("a", F.when(~F.isnan("a"), F.col("a")))
-    lists = {r["feature"]: list(r["edges"]) for r in uplift_tree.threshold_lists(uplift_tree._long(df, [], ["a", "b", "c"]), ["feature"]).collect()}
-    edges = [lists[f] for f in "abc"]
-    drawn = uplift_tree.quantised(df, "id", ["a", "b", "c"], "w", "y", lists, 3, 0).select("draws").collect()
+    table = uplift_tree.quantise(df, "id", ["a", "b", "c"], "w", "y", 3, keep=["id"])
+    edges = [table.edges[f] for f in "abc"]
+    drawn = table.rows.orderBy("id").select("draws").collect()
     draws = np.array([r.draws for r in drawn], dtype=float)
     subset = lambda tree, node: uplift_tree._subset(["a", "b", "c"], 2, 0, tree, node)
     want = plain_forest(x, w, y, draws, edges, ["a", "b", "c"], subset, limits, criterion, n_reg)
@@ -363,3 +363,41 @@ def test_propensity_of_each_row_beats_the_constant(spark):
     scored = learners.with_propensity(df, ["x"], mixed.treated, "p").toPandas()
     assert np.abs(scored.p - np.clip(1 / (1 + np.exp(-2 * x)), 0.02, 0.98)).mean() < 0.05
     assert mixed.uplift(df).columns == [*df.columns, "uplift"]
+
+
+def test_sampled_parameters_come_from_their_distributions():
+    space = {"a": search.choice(2, 3, 5), "b": search.between(-1, 1), "c": search.log_between(1e-3, 10), "d": search.steps(10, 30, 5)}
+    draws = search.sample_parameters(space, 3000, seed=4)
+    assert draws == search.sample_parameters(space, 3000, seed=4) and draws[:5] == search.sample_parameters(space, 5, seed=4)
+    assert draws != search.sample_parameters(space, 3000, seed=5)
+    frame = pd.DataFrame(draws)
+    assert set(frame.a) == {2, 3, 5} and set(frame.d) == {10, 15, 20, 25, 30}
+    assert frame.b.between(-1, 1).all() and abs(frame.b.mean()) < 0.05
+    assert abs(np.log10(frame.c).mean() + 1) < 0.1
+    assert frame.d.value_counts().min() > 500
+
+
+def test_search_finds_the_better_forest(spark, sample):
+    x, w, y = sample
+    df = spark.createDataFrame(pd.DataFrame({"id": range(len(y)), "a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "w": w, "y": y}))
+    space = {"max_depth": search.choice(1, 3), "min_leaf": search.choice(50), "min_treated": search.choice(10), "min_control": search.choice(10)}
+    got = search.search_forest(df, "id", ["a", "b", "c"], "w", "y", space, n_iter=3, k_folds=2, n_trees=3).toPandas()
+    assert len(got) == 6 and got.draw.nunique() == 3
+    means = got.groupby("draw").score.mean()
+    np.testing.assert_allclose(got.groupby("draw").mean_score.first(), means)
+    held = got[got.holdout_score.notna()]
+    assert held.draw.unique().tolist() == [means.idxmax()]
+    effect = y[w == 1].mean() - y[w == 0].mean()
+    assert held.holdout_score.iloc[0] > effect + 0.3  # the best third profits more than all
+
+
+def test_regression_search_scores_a_hold_out(spark):
+    rng = np.random.default_rng(7)
+    x = rng.random((1500, 2))
+    y = np.sin(6 * x[:, 0]) + x[:, 1]
+    df = spark.createDataFrame(pd.DataFrame({"id": range(1500), "a": x[:, 0], "b": x[:, 1], "y": y}))
+    space = {"maxDepth": search.choice(1, 5), "numTrees": search.steps(3, 6, 1)}
+    got = search.search_regression(df, "id", ["a", "b"], "y", space, n_iter=4).toPandas()
+    best = got[got.holdout_rmse.notna()]
+    assert best.draw.tolist() == [got.rmse.idxmin()]
+    assert best.holdout_rmse.iloc[0] < y.std() / 2
