@@ -7,7 +7,7 @@ from tools.compare import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 # grow or fit many models; they run in tools/compare.py and bench.py
-SLOW = {"pr_04_ablation", "vs_06_two_stage_search", "rk_12_lambdamart", "up_15_search"}
+SLOW = {"pr_04_ablation", "vs_06_two_stage_search", "rk_12_lambdamart"}
 
 
 @pytest.fixture(scope="module")
