@@ -118,12 +118,12 @@ def _blocks(ordered: DataFrame) -> DataFrame:
         vectors = rows.column("embedding").chunk(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         one = [rows.column("label")[0].as_py(), rows.column("dim")[0].as_py(), number, place.min(axis=0), place.max(axis=0)]
         many = [rows.column("rep").to_pylist(), rows.column("copies").to_pylist(), place.tobytes(), vectors.tobytes()]
-        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([*one, *many], types, strict=True)], names)
+        kinds = [rows.schema.field("label").type, *types]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip([*one, *many], kinds, strict=True)], names)
 
     names = [*_PAIR, "block", "low", "high", "reps", "copies", "place", "vectors"]
     doubles, longs = pa.list_(pa.float64()), pa.list_(pa.int64())
-    label = {"int": pa.int32(), "bigint": pa.int64()}[ordered.schema["label"].dataType.simpleString()]
-    types = [label, pa.int32(), pa.int64(), doubles, doubles, longs, longs, pa.binary(), pa.binary()]
+    types = [pa.int32(), pa.int64(), doubles, doubles, longs, longs, pa.binary(), pa.binary()]
     schema = f"label {ordered.schema['label'].dataType.simpleString()}, dim int, block bigint, low array<double>, high array<double>, reps array<bigint>, copies array<bigint>, place binary, vectors binary"
     return ranged.mapInArrow(pack, schema)
 

@@ -10,9 +10,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tessera.llm import packing, token_links, turns
+from tessera.llm import epsilon_join, packing, token_links, turns
 from tessera.llm.queries import QUERIES
 from tessera.llm.ship import ship
 
@@ -287,3 +288,11 @@ def test_repair_of_long_and_awkward_conversations(spark, monkeypatch):
     df = spark.createDataFrame([(*r, 0, "x") for r in table], "conv_id bigint, turn bigint, role string, text string, pos int, audit string")
     assert rows(turns.report(df.repartition(5)), *REPAIRED) == repair_one_by_one(table)
     assert turns.report(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["string", "smallint", "decimal(12,2)"])
+def test_embeddings_with_labels_of_any_type(spark, kind):
+    vectors = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    columns = ["vec_id", "n_links", "component_id", "kept"]
+    other = vectors.withColumn("label", F.col("label").cast(kind))
+    assert rows(epsilon_join.near_duplicates(other), *columns) == rows(epsilon_join.near_duplicates(vectors), *columns)
