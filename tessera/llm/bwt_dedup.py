@@ -113,15 +113,25 @@ class Anchors:
         return at + base, doc[at] + first, group, kind
 
 
-def _six_bytes(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-
-
-def _from_six(blobs: list[bytes]) -> np.ndarray:
-    raw = np.frombuffer(b"".join(blobs), dtype=np.uint8).reshape(-1, 6)
-    out = np.zeros((len(raw), 8), dtype=np.uint8)
-    out[:, :6] = raw
-    return out.view("<u8").ravel()
+def _thin(values: np.ndarray, rising: bool = False) -> bytes:
+    """64-bit numbers, byte by byte of each and compressed; ``rising`` ones as differences."""
+    values = values.astype("<u8")
+    if rising:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _wide(blobs: list[bytes], rising: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all blobs in a row, and how many each has."""
+    unpack = zstandard.ZstdDecompressor()
+    out = []
+    for blob in blobs:
+        planes = np.frombuffer(unpack.decompress(blob), dtype=np.uint8).reshape(8, -1)
+        values = np.ascontiguousarray(planes.T).view("<u8").ravel()
+        out.append(np.cumsum(values, dtype=np.uint64) if rising else values)
+    sizes = np.array([len(x) for x in out], dtype=np.int64)
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64), sizes
 
 
 def _arrow(types: dict[str, str], columns: list[list]) -> pa.RecordBatch:
@@ -200,8 +210,9 @@ def _kinds(packed: DataFrame, length: int, buckets: int) -> DataFrame:
                 p = _Piece(batch, row, length)
                 group = p.anchors.group[p.first]
                 for bucket, own in _dealt(group, buckets):
-                    around = _six_bytes(p.kinds[own] >> np.uint64(16))
-                    yield _arrow(_KINDS, [[bucket], [p.number], [_six_bytes(group[own])], [around], [p.least[own].astype("<i8").tobytes()]])
+                    own = own[np.argsort(group[own], kind="stable")]
+                    columns = [_thin(group[own], rising=True), _thin(p.kinds[own] >> np.uint64(16)), _thin(p.least[own])]
+                    yield _arrow(_KINDS, [[bucket], [p.number], *[[c] for c in columns]])
 
     return packed.mapInArrow(run, _schema(_KINDS))
 
@@ -218,10 +229,10 @@ def _answers(kinds: DataFrame, buckets: int) -> DataFrame:
             return
         rows = pa.Table.from_batches(held)
         get = lambda c: rows.column(c).to_pylist()
-        group, around = _from_six(get("group")), _from_six(get("kind"))
+        (group, _), (around, _), (doc, sizes) = _wide(get("group"), rising=True), _wide(get("kind")), _wide(get("doc"))
         kind = around << np.uint64(16) | (group & np.uint64(0xFFFF))
-        doc = np.frombuffer(b"".join(get("doc")), dtype="<i8")
-        piece = np.repeat(np.array(get("piece"), dtype=np.int64), [len(x) // 8 for x in get("doc")])
+        doc = doc.view(np.int64)
+        piece = np.repeat(np.array(get("piece"), dtype=np.int64), sizes)
         by = np.lexsort((doc, kind, group))
         group, kind, doc, piece = group[by], kind[by], doc[by], piece[by]
         new_group = np.concatenate([[True], group[1:] != group[:-1]])
@@ -235,7 +246,9 @@ def _answers(kinds: DataFrame, buckets: int) -> DataFrame:
         for start, end in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             if end > start:
                 own = tell[start:end]
-                yield _arrow(_ANSWERS, [[int(piece[own[0]])], [kind[own].astype("<u8").tobytes()], [least[own].astype("<i8").tobytes()], [is_open[own].astype(np.uint8).tobytes()]])
+                own = own[np.argsort(kind[own], kind="stable")]
+                columns = [_thin(kind[own], rising=True), _thin(least[own]), is_open[own].astype(np.uint8).tobytes()]
+                yield _arrow(_ANSWERS, [[int(piece[own[0]])], *[[c] for c in columns]])
 
     return kinds.repartition(buckets // 4, "bucket").mapInArrow(run, _schema(_ANSWERS))
 
@@ -321,8 +334,8 @@ def _masks(around: DataFrame, length: int, buckets: int) -> DataFrame:
 
 def _read_answers(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     told = batch.column("answers")[row].as_py() or []
-    join = lambda c, t: np.frombuffer(b"".join(x[c] for x in told), dtype=t)
-    return join("kind", "<u8"), join("least", "<i8"), join("open", np.uint8).astype(bool)
+    kind, least = _wide([x["kind"] for x in told], rising=True)[0], _wide([x["least"] for x in told])[0]
+    return kind, least.view(np.int64), np.frombuffer(b"".join(x["open"] for x in told), dtype=np.uint8).astype(bool)
 
 
 def _cut(joined: DataFrame, length: int, kind: str) -> DataFrame:
