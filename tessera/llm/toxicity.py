@@ -10,12 +10,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.batches import pieces
+from tessera.llm.batches import PIECE_BYTES, pieces
 from tessera.plans.prefix import cut_lineage
 
 #: Rows that the classifier is fitted on, at most (expected number).
@@ -29,6 +31,8 @@ VOTERS = 16
 FEATURES = VOTERS + 6
 #: Near copies share this part of their runs of so many words.
 SIMILAR, SHINGLE = 0.8, 5
+#: Pairs that one copy of a text is sent for.
+SENT = 4096
 #: Bands of three least hashes each, by which near copies are found.
 BANDS = 8
 _FACTORS, _SHIFTS = np.random.default_rng(2).integers(1, 1 << 63, (2, 3 * BANDS), dtype=np.uint64) | np.uint64(1)
@@ -137,42 +141,95 @@ def _similar(a: str, b: str) -> bool:
     return len(a & b) >= SIMILAR * len(a | b)
 
 
-def distinct_texts(rows: DataFrame) -> DataFrame:
-    """(toxic, id, text) of labelled rows (doc_id, text, toxic) without copies of a text of the same label.
+def _packed(rows: DataFrame) -> DataFrame:
+    """(toxic, id, bands, body) of labelled rows (doc_id, text, toxic), once for each id of a label.
 
-    Texts with the same words count once. A text goes as well if a lesser one (by the hash of
-    its words) shares at least SIMILAR of the distinct shingles of both, all of them compared.
-    Which texts to compare is found by bands of least hashes: a pair at the threshold shares
-    one of eight with 99.7 %. In each band texts are compared with one of the bucket only, in
-    each with another. Texts of less than two words are no copies of each other.
+    id: a hash of a text's words, of its doc_id for texts of less than two; body: the
+    compressed text. Written once for all that needs the texts, dealt by (toxic, id).
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                signed = [_signed(t) for t in piece.column("text").to_pylist()]
-                added = [pa.array([h for h, _ in signed], pa.int64()), pa.array([b for _, b in signed], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("own", "toxic", "text")), *added], ["own", "toxic", "text", "words", "bands"])
+                texts = piece.column("text").to_pylist()
+                signed = [_signed(t) for t in texts]
+                ids = [own if h is None else h for (h, _), own in zip(signed, piece.column("own").to_pylist(), strict=True)]
+                added = [pa.array(ids, pa.int64()), pa.array([b for _, b in signed], pa.list_(pa.int64()))]
+                bodies = pa.array([None if t is None else pack.compress(t.encode()) for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([piece.column("toxic"), *added, bodies], ["toxic", "id", "bands", "body"])
+
+    signed = rows.select(F.xxhash64(F.lit("row"), "doc_id").alias("own"), "toxic", "text").mapInArrow(sign, "toxic int, id bigint, bands array<bigint>, body binary")
+    once = signed.groupBy("toxic", "id").agg(F.min("bands").alias("bands"), F.min("body").alias("body"))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return once.repartition(parts, "toxic", "id").persist(StorageLevel.DISK_ONLY)
+
+
+def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(toxic, id) of the ``pairs`` (toxic, id, lesser) that are near copies, all shingles compared.
+
+    A text that many are compared with is sent in as many copies as keep its pairs in
+    groups of SENT, so that no task gets all of them.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        read = lambda c: [unpack.decompress(x).decode() for x in c.to_pylist()]
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                same = [_similar(a, b) for a, b in zip(piece.column("text").to_pylist(), piece.column("other").to_pylist(), strict=True)]
+            for piece in pieces(batch, "body", PIECE_BYTES // 4):
+                same = [_similar(a, b) for a, b in zip(read(piece.column("body")), read(piece.column("other")), strict=True)]
                 yield piece.select(["toxic", "id"]).filter(pa.array(same, pa.bool_()))
 
-    signed = rows.select(F.xxhash64(F.lit("row"), "doc_id").alias("own"), "toxic", "text").mapInArrow(sign, "own bigint, toxic int, text string, words bigint, bands array<bigint>")
-    signed = signed.groupBy("toxic", F.coalesce("words", "own").alias("id")).agg(F.min("text").alias("text"), F.min("bands").alias("bands"))
-    texts = cut_lineage(signed)
+    wanted = pairs.groupBy("toxic", "lesser").agg(F.floor(F.count("*") / SENT).cast("int").alias("more"))
+    dealt = pairs.join(wanted, ["toxic", "lesser"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("more") + 1).cast("int")).drop("more")
+    lesser = texts.select("toxic", F.col("id").alias("lesser"), F.col("body").alias("other")).join(wanted, ["toxic", "lesser"])
+    lesser = lesser.select("toxic", "lesser", "other", F.explode(F.sequence(F.lit(0), "more")).alias("deal"))
+    others = dealt.join(lesser, ["toxic", "lesser", "deal"]).select("toxic", "id", "other")
+    both = texts.select("toxic", "id", "body").join(others, ["toxic", "id"]).select("toxic", "id", "body", "other")
+    return both.mapInArrow(verify, "toxic int, id bigint").distinct()
+
+
+def _near_copies(texts: DataFrame) -> DataFrame:
+    """(toxic, id) of the packed texts that are near copies of a lesser one, by the hash of its words, with their label.
+
+    Which texts to compare is found by bands of least hashes: a pair at the threshold shares
+    one of eight with 99.7 %. In each band texts are compared with one of the bucket only, in
+    each with another. What the first band has shown to be a copy is not compared again.
+    """
     banded = texts.select("toxic", "id", F.posexplode("bands").alias("band", "value"))
     # another order of the ids in each band, so that texts meet several of their group
     least = F.min(F.struct(F.xxhash64("band", "id").alias("by"), "id")).getField("id")
     heads = banded.groupBy("toxic", "band", "value").agg(least.alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = banded.join(heads, ["toxic", "band", "value"]).where("id != head")
-    pairs = pairs.select("toxic", F.greatest("id", "head").alias("id"), F.least("id", "head").alias("lesser")).distinct()
-    others = texts.select("toxic", F.col("id").alias("lesser"), F.col("text").alias("other"))
-    compared = pairs.join(others, ["toxic", "lesser"]).join(texts.select("toxic", "id", "text"), ["toxic", "id"]).select("toxic", "id", "text", "other")
-    gone = compared.mapInArrow(verify, "toxic int, id bigint").distinct()
-    return texts.select("toxic", "id", "text").join(gone, ["toxic", "id"], "left_anti")
+    pairs = pairs.groupBy("toxic", F.greatest("id", "head").alias("id"), F.least("id", "head").alias("lesser")).agg(F.min("band").alias("band"))
+    pairs = cut_lineage(pairs)
+    first = cut_lineage(_compared(texts, pairs.where("band = 0").drop("band")))
+    rest = _compared(texts, pairs.where("band > 0").drop("band").join(first, ["toxic", "id"], "left_anti"))
+    return first.unionByName(cut_lineage(rest))
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(toxic, id, text) of labelled rows (doc_id, text, toxic) without copies of a text of the same label.
+
+    Texts with the same words count once. A text goes as well if a lesser one (by the hash of
+    its words) shares at least SIMILAR of the distinct shingles of both, all of them compared.
+    Texts of less than two words are no copies of each other, rows that repeat a doc_id with
+    such a text count once.
+    """
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "body", PIECE_BYTES // 4):
+                yield pa.RecordBatch.from_arrays([piece.column("toxic"), piece.column("id"), pa.array(_texts(piece), pa.string())], ["toxic", "id", "text"])
+
+    texts = _packed(rows)
+    return texts.join(_near_copies(texts), ["toxic", "id"], "left_anti").mapInArrow(unpack, "toxic int, id bigint, text string")
+
+
+def _texts(piece: pa.RecordBatch) -> list[str]:
+    """The packed texts of a piece; nulls as empty texts."""
+    unpack = zstandard.ZstdDecompressor()
+    return ["" if x is None else unpack.decompress(x).decode() for x in piece.column("body").to_pylist()]
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
@@ -183,28 +240,33 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
-        rows = [0, 0]
+        # clean rows in the lower 32 bits, toxic ones above
+        seen: dict[str, int] = {}
+        rows = 0
 
         def counts() -> pa.RecordBatch:
-            columns = [list(seen), [v[0] for v in seen.values()], [v[1] for v in seen.values()]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["term", "clean", "toxic"])
+            both = np.fromiter(seen.values(), np.int64, len(seen))
+            columns = [pa.array(seen, pa.string()), pa.array(both & 0xFFFFFFFF), pa.array(both >> 32)]
+            return pa.RecordBatch.from_arrays(columns, ["term", "clean", "toxic"])
 
         for batch in batches:
-            for piece in pieces(batch, "text"):
-                for text, toxic in zip(piece.column("text").to_pylist(), piece.column("toxic").to_pylist(), strict=True):
-                    rows[toxic] += 1
-                    for term in {t for w in set(_WORD.findall((text or "").lower())) for t in _terms(w)}:
-                        seen.setdefault(term, [0, 0])[toxic] += 1
+            for piece in pieces(batch, "body", PIECE_BYTES // 4):
+                for text, toxic in zip(_texts(piece), piece.column("toxic").to_pylist(), strict=True):
+                    one = 1 << 32 if toxic else 1
+                    rows += one
+                    for term in {t for w in set(_WORD.findall(text.lower())) for t in _terms(w)}:
+                        seen[term] = seen.get(term, 0) + one
                 if len(seen) >= COUNTED:
                     yield counts()
                     seen.clear()
         seen[""] = rows
         yield counts()
 
-    rows = distinct_texts(docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id")).select("text", "toxic")
+    texts = _packed(docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id"))
+    rows = texts.join(_near_copies(texts), ["toxic", "id"], "left_anti").select("toxic", "body")
     counted = rows.mapInArrow(run, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = cut_lineage(counted)
+    texts.unpersist()
     all_rows = counted.where("term = ''").first()
     if not all_rows or not all_rows.clean or not all_rows.toxic:
         return Lexicon({})
@@ -315,6 +377,11 @@ class LabelModel:
         return parent
 
 
+def _open(docs: DataFrame) -> DataFrame:
+    """Rows whose label may be learned from; the texts of the others need not go to the labels."""
+    return docs.where(~held_out())
+
+
 def _fit(features: DataFrame, labels: DataFrame) -> DataFrame | None:
     """A function that adds ``score``; None if the labels don't hold both classes."""
     known = labels.select("doc_id", "toxic")
@@ -369,7 +436,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     table gives no rows. Extra columns are ignored.
     """
     known = cut_lineage(_usable(labels))
-    features = cut_lineage(featurize(docs, learn_lexicon(docs, known), ["doc_id"]))
+    features = cut_lineage(featurize(docs, learn_lexicon(_open(docs), known), ["doc_id"]))
     scored = _scored(features, _fit(features, known))
     return scored.select("doc_id", held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
@@ -377,7 +444,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, all columns."""
     known = cut_lineage(_usable(labels))
-    lexicon = learn_lexicon(docs, known)
+    lexicon = learn_lexicon(_open(docs), known)
     model = _fit(cut_lineage(featurize(docs, lexicon, ["doc_id"])), known)
     # the rows are featurized again, which spares a shuffle of all texts
     scored = _scored(featurize(docs, lexicon, docs.columns), model)
