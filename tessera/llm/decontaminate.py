@@ -8,6 +8,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import shielded
+
 #: Positions of a window that count. Any 13 aligned words of which two differ hold a window
 #: of one of the masks that leaves out the two, so no overlap that is verified below is missed;
 #: so do 10 to 12 words of which one differs.
@@ -146,5 +148,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no words of the benchmark, all columns; rows that share a doc_id go together."""
+    docs, restore = shielded(docs, ["doc_id", "text"])
     leaks = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    return restore(docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti"))

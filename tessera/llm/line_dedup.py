@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import shielded
 from tessera.plans.prefix import cut_lineage, join_on_keys
 
 _DOC = ["doc_id", "_sub"]
@@ -78,6 +79,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3, min_chars: int = 40) -> Dat
     lose the same lines. An empty table gives no rows. Of the columns of ``docs`` those with the
     names of the three counts are replaced, others pass through.
     """
+    docs, restore = shielded(docs, ["doc_id", "text"])
     keyed = _keyed(docs)
     gone = repeated_runs(keyed.select("doc_id", "text", "_sub"), min_lines, min_chars)
     per_doc = gone.groupBy(*_DOC).agg(F.collect_set("pos").alias("_gone"))
@@ -93,7 +95,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = 3, min_chars: int = 40) -> Dat
         "n_runs": (F.size(removed) - followed).cast("bigint"),
     }
     cut = joined.withColumns(added | {"_cut": F.when(F.col("_gone").isNotNull(), lines)}).withColumn("text", kept)
-    return cut.select(*[c for c in docs.columns if c not in added], *added)
+    return restore(cut, list(added))
 
 
 #: The same in SQL for runs of three lines or single lines of 40 characters.

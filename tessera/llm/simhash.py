@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import pieces
+from tessera.llm.columns import shielded
 from tessera.llm.components import components
 from tessera.plans.prefix import cut_lineage
 
@@ -166,7 +167,8 @@ def keep_first(docs: DataFrame, words_per_shingle: int = 3, distance: int = 3) -
     group has a row with one; else all of them stay. Of rows that repeat a doc_id, all stay
     or go together.
     """
+    docs, restore = shielded(docs, ["doc_id", "text"])
     groups = near_duplicates(docs, words_per_shingle, distance)
     gone = groups.where("component_id is not null and (doc_id is null or doc_id != component_id)")
     gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return restore(docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.columns import shielded
 from tessera.plans.prefix import cut_lineage, join_on_keys
 
 # What entities look like. Secrets and names are found by what stands before them.
@@ -177,10 +178,11 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     repeated, equal texts give equal texts. An empty table gives no rows. A column
     n_entities is replaced, other columns pass through.
     """
+    docs, restore = shielded(docs, ["text"])
     again = cut_lineage(attempts(cut_lineage(_entities(docs)), key))
     matches = F.regexp_extract_all("text", F.lit(_ANY), F.lit(0))
     has = F.col("text").rlike(_HINT)
-    rows = docs.drop("n_entities").withColumn("_match", F.when(F.coalesce(has, F.lit(False)), matches).otherwise(F.array().cast("array<string>")))
+    rows = docs.withColumn("_match", F.when(F.coalesce(has, F.lit(False)), matches).otherwise(F.array().cast("array<string>")))
     changed = again.limit(1).count() > 0
     if changed:
         # the few entities that need another attempt, by the text that holds them
@@ -200,4 +202,4 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     rebuilt = F.concat(F.get(gaps, F.lit(0)), F.array_join(after, ""))
     rows = rows.withColumn("_new", new)
     out = rows.withColumn("text", F.when(F.size("_match") > 0, rebuilt).otherwise(F.col("text"))).withColumn("n_entities", F.size("_match").cast("bigint"))
-    return out.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
+    return restore(out, ["n_entities"])

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.batches import PIECE_BYTES, pieces
+from tessera.llm.columns import shielded
 from tessera.plans.prefix import cut_lineage
 
 #: Rows that the classifier is fitted on, at most (expected number).
@@ -443,9 +444,10 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text scores below 0.5, all columns."""
+    docs, restore = shielded(docs, ["doc_id", "text"])
     known = cut_lineage(_usable(labels))
     lexicon = learn_lexicon(_open(docs), known)
     model = _fit(cut_lineage(featurize(docs, lexicon, ["doc_id"])), known)
     # the rows are featurized again, which spares a shuffle of all texts
     scored = _scored(featurize(docs, lexicon, docs.columns), model)
-    return scored.where("_score < 0.5").select(*docs.columns)
+    return restore(scored.where("_score < 0.5"))
