@@ -142,95 +142,116 @@ def _similar(a: str, b: str) -> bool:
     return len(a & b) >= SIMILAR * len(a | b)
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """(toxic, id, bands, body) of labelled rows (doc_id, text, toxic), once for each id of a label.
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, text); rows that repeat a doc_id with its text have its key."""
+    return docs.select("doc_id", F.xxhash64(F.lit("row"), "doc_id", "text").alias("key"), "text")
 
-    id: a hash of a text's words, of its doc_id for texts of less than two; body: the
-    compressed text. Written once for all that needs the texts, dealt by (toxic, id).
+
+def _packed(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(key, toxic, body) of the texts of ``docs`` that ``known`` (doc_id, toxic) holds a label of, compressed.
+
+    Texts move once, packed, and lie dealt by key for all that needs them; which keys have a
+    label is found beforehand, without texts.
     """
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                texts = piece.column("text").to_pylist()
-                signed = [_signed(t) for t in texts]
-                ids = [own if h is None else h for (h, _), own in zip(signed, piece.column("own").to_pylist(), strict=True)]
+                bodies = pa.array([packer.compress((t or "").encode()) for t in piece.column("text").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([piece.column("key"), bodies], ["key", "body"])
+
+    keyed = _keyed(docs)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = keyed.select("doc_id", "key").join(known, "doc_id").groupBy("key").agg(F.max("toxic").alias("toxic"))
+    bodies = keyed.select("key", "text").mapInArrow(pack, "key bigint, body binary").repartition(parts, "key")
+    labelled = bodies.join(wanted.repartition(parts, "key"), "key")
+    once = labelled.groupBy("key").agg(F.max("toxic").alias("toxic"), F.min("body").alias("body"))
+    return once.persist(StorageLevel.DISK_ONLY)
+
+
+def _different(texts: DataFrame) -> DataFrame:
+    """(toxic, key, bands) of the packed texts, the one with the least key of those with the same words and label.
+
+    Texts of less than two words are no copies of each other and have no bands.
+    """
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "body", PIECE_BYTES // 4):
+                signed = [_signed(t) for t in _texts(piece)]
+                ids = [own if h is None else h for (h, _), own in zip(signed, piece.column("key").to_pylist(), strict=True)]
                 added = [pa.array(ids, pa.int64()), pa.array([b for _, b in signed], pa.list_(pa.int64()))]
-                bodies = pa.array([None if t is None else pack.compress(t.encode()) for t in texts], pa.binary())
-                yield pa.RecordBatch.from_arrays([piece.column("toxic"), *added, bodies], ["toxic", "id", "bands", "body"])
+                yield pa.RecordBatch.from_arrays([piece.column("toxic"), piece.column("key"), *added], ["toxic", "key", "id", "bands"])
 
-    signed = rows.select(F.xxhash64(F.lit("row"), "doc_id").alias("own"), "toxic", "text").mapInArrow(sign, "toxic int, id bigint, bands array<bigint>, body binary")
-    once = signed.groupBy("toxic", "id").agg(F.min("bands").alias("bands"), F.min("body").alias("body"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return once.repartition(parts, "toxic", "id").persist(StorageLevel.DISK_ONLY)
+    signed = texts.mapInArrow(sign, "toxic int, key bigint, id bigint, bands array<bigint>")
+    return cut_lineage(signed.groupBy("toxic", "id").agg(F.min("key").alias("key"), F.min("bands").alias("bands")).drop("id"))
 
 
 def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(toxic, id) of the ``pairs`` (toxic, id, lesser) that are near copies, all shingles compared.
+    """(key) of the ``pairs`` (key, lesser) that are near copies, all shingles compared.
 
     A text that many are compared with is sent in as many copies as keep its pairs in
     groups of SENT, so that no task gets all of them.
     """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        read = lambda c: [unpack.decompress(x).decode() for x in c.to_pylist()]
         for batch in batches:
             for piece in pieces(batch, "body", PIECE_BYTES // 4):
-                same = [_similar(a, b) for a, b in zip(read(piece.column("body")), read(piece.column("other")), strict=True)]
-                yield piece.select(["toxic", "id"]).filter(pa.array(same, pa.bool_()))
+                same = [_similar(a, b) for a, b in zip(_texts(piece), _texts(piece, "other"), strict=True)]
+                yield piece.select(["key"]).filter(pa.array(same, pa.bool_()))
 
-    wanted = pairs.groupBy("toxic", "lesser").agg(F.floor(F.count("*") / SENT).cast("int").alias("more"))
-    dealt = pairs.join(wanted, ["toxic", "lesser"]).withColumn("deal", F.pmod(F.xxhash64("id"), F.col("more") + 1).cast("int")).drop("more")
-    lesser = texts.select("toxic", F.col("id").alias("lesser"), F.col("body").alias("other")).join(wanted, ["toxic", "lesser"])
-    lesser = lesser.select("toxic", "lesser", "other", F.explode(F.sequence(F.lit(0), "more")).alias("deal"))
-    others = dealt.join(lesser, ["toxic", "lesser", "deal"]).select("toxic", "id", "other")
-    both = texts.select("toxic", "id", "body").join(others, ["toxic", "id"]).select("toxic", "id", "body", "other")
-    return both.mapInArrow(verify, "toxic int, id bigint").distinct()
+    wanted = pairs.groupBy("lesser").agg(F.floor(F.count("*") / SENT).cast("int").alias("more"))
+    dealt = pairs.join(wanted, "lesser").withColumn("deal", F.pmod(F.xxhash64("key"), F.col("more") + 1).cast("int")).drop("more")
+    lesser = texts.select(F.col("key").alias("lesser"), F.col("body").alias("other")).join(wanted, "lesser")
+    lesser = lesser.select("lesser", "other", F.explode(F.sequence(F.lit(0), "more")).alias("deal"))
+    others = dealt.join(lesser, ["lesser", "deal"]).select("key", "other")
+    both = texts.select("key", "body").join(others, "key")
+    return both.mapInArrow(verify, "key bigint").distinct()
 
 
-def _near_copies(texts: DataFrame) -> DataFrame:
-    """(toxic, id) of the packed texts that are near copies of a lesser one, by the hash of its words, with their label.
+def _singled(texts: DataFrame) -> DataFrame:
+    """(key) of the packed texts without those with the words of, or nearly those of, a lesser one with their label.
 
     Which texts to compare is found by bands of least hashes: a pair at the threshold shares
     one of eight with 99.7 %. In each band texts are compared with one of the bucket only, in
     each with another. What the first band has shown to be a copy is not compared again.
     """
-    banded = texts.select("toxic", "id", F.posexplode("bands").alias("band", "value"))
-    # another order of the ids in each band, so that texts meet several of their group
-    least = F.min(F.struct(F.xxhash64("band", "id").alias("by"), "id")).getField("id")
+    different = _different(texts)
+    banded = different.select("toxic", "key", F.posexplode("bands").alias("band", "value"))
+    # another order of the keys in each band, so that texts meet several of their group
+    least = F.min(F.struct(F.xxhash64("band", "key").alias("by"), "key")).getField("key")
     heads = banded.groupBy("toxic", "band", "value").agg(least.alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = banded.join(heads, ["toxic", "band", "value"]).where("id != head")
-    pairs = pairs.groupBy("toxic", F.greatest("id", "head").alias("id"), F.least("id", "head").alias("lesser")).agg(F.min("band").alias("band"))
+    pairs = banded.join(heads, ["toxic", "band", "value"]).where("key != head")
+    pairs = pairs.groupBy(F.greatest("key", "head").alias("key"), F.least("key", "head").alias("lesser")).agg(F.min("band").alias("band"))
     pairs = cut_lineage(pairs)
     first = cut_lineage(_compared(texts, pairs.where("band = 0").drop("band")))
-    rest = _compared(texts, pairs.where("band > 0").drop("band").join(first, ["toxic", "id"], "left_anti"))
-    return first.unionByName(cut_lineage(rest))
+    rest = cut_lineage(_compared(texts, pairs.where("band > 0").drop("band").join(first, "key", "left_anti")))
+    return different.select("key").join(first.unionByName(rest), "key", "left_anti")
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
-    """(toxic, id, text) of labelled rows (doc_id, text, toxic) without copies of a text of the same label.
+    """(toxic, key, text) of labelled rows (doc_id, text, toxic) without copies of a text of the same label.
 
-    Texts with the same words count once. A text goes as well if a lesser one (by the hash of
-    its words) shares at least SIMILAR of the distinct shingles of both, all of them compared.
-    Texts of less than two words are no copies of each other, rows that repeat a doc_id with
-    such a text count once.
+    Texts with the same words count once. A text goes as well if a lesser one (by a hash of
+    doc_id and text) shares at least SIMILAR of the distinct shingles of both, all of them
+    compared. Texts of less than two words are no copies of each other, rows that repeat a
+    doc_id with its text count once. Null texts count as empty ones.
     """
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "body", PIECE_BYTES // 4):
-                yield pa.RecordBatch.from_arrays([piece.column("toxic"), piece.column("id"), pa.array(_texts(piece), pa.string())], ["toxic", "id", "text"])
+                yield pa.RecordBatch.from_arrays([piece.column("toxic"), piece.column("key"), pa.array(_texts(piece), pa.string())], ["toxic", "key", "text"])
 
-    texts = _packed(rows)
-    return texts.join(_near_copies(texts), ["toxic", "id"], "left_anti").mapInArrow(unpack, "toxic int, id bigint, text string")
+    texts = _packed(rows, rows.groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    return texts.join(_singled(texts), "key", "left_semi").mapInArrow(unpack, "toxic int, key bigint, text string")
 
 
-def _texts(piece: pa.RecordBatch) -> list[str]:
-    """The packed texts of a piece; nulls as empty texts."""
+def _texts(piece: pa.RecordBatch, column: str = "body") -> list[str]:
+    """The packed texts of a piece."""
     unpack = zstandard.ZstdDecompressor()
-    return ["" if x is None else unpack.decompress(x).decode() for x in piece.column("body").to_pylist()]
+    return [unpack.decompress(x).decode() for x in piece.column(column).to_pylist()]
 
 
 def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
@@ -263,8 +284,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
         seen[""] = rows
         yield counts()
 
-    texts = _packed(docs.select("doc_id", "text").join(labels.select("doc_id", "toxic"), "doc_id"))
-    rows = texts.join(_near_copies(texts), ["toxic", "id"], "left_anti").select("toxic", "body")
+    texts = _packed(docs, labels.select("doc_id", "toxic"))
+    rows = texts.join(_singled(texts), "key", "left_semi").select("toxic", "body")
     counted = rows.mapInArrow(run, "term string, clean bigint, toxic bigint").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     counted = cut_lineage(counted)
     texts.unpersist()
