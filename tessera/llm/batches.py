@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,23 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         yield batch.slice(start)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over batches, after which memory that it has freed goes back to the system.
+
+    A Python worker lives on through later jobs of other kinds, and what its allocators keep
+    would add to theirs.
+    """
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of the GNU C library
+            trim(0)
+
+    return tidied
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... for each of the given runs, one after the other."""
     lengths = lengths.astype(np.int64)

@@ -13,7 +13,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame
 
-from tessera.llm.batches import ALL_SPACES, LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spell, spelled_out
+from tessera.llm.batches import ALL_SPACES, LETTERS, NUMBERS, SPACES, cut, offsets, pieces, ragged, spell, spelled_out, tidy
 
 #: Pre-tokens outside the vocabulary whose merges a task remembers.
 REMEMBERED = 200_000
@@ -200,6 +200,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     # made once, of a fixed file of about 1 MB; a worker keeps it, and what it remembers, between tasks
     shared = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared.value
         for batch in batches:
@@ -216,6 +217,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded binary): the bytes that the ids of each row stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(Decoder(read_ranks(ranks_path)))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = shared.value
         for batch in batches:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.batches import pieces
+from tessera.llm.batches import pieces, tidy
 from tessera.llm.columns import shielded
 from tessera.llm.components import components
 from tessera.plans.prefix import cut_lineage
@@ -51,6 +51,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int = 3) -> DataFrame:
     texts without a word: zero.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "text"):

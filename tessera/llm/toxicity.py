@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.batches import PIECE_BYTES, pieces
+from tessera.llm.batches import PIECE_BYTES, pieces, tidy
 from tessera.llm.columns import shielded
 from tessera.plans.prefix import cut_lineage
 
@@ -154,6 +154,7 @@ def _packed(docs: DataFrame, known: DataFrame) -> DataFrame:
     label is found beforehand, without texts.
     """
 
+    @tidy
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
@@ -176,6 +177,7 @@ def _different(texts: DataFrame) -> DataFrame:
     Texts of less than two words are no copies of each other and have no bands.
     """
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "body", PIECE_BYTES // 4):
@@ -195,6 +197,7 @@ def _compared(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     groups of SENT, so that no task gets all of them.
     """
 
+    @tidy
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "body", PIECE_BYTES // 4):
@@ -239,6 +242,7 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
     doc_id with its text count once. Null texts count as empty ones.
     """
 
+    @tidy
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "body", PIECE_BYTES // 4):
@@ -261,6 +265,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     copies with one label only one counts.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # clean rows in the lower 32 bits, toxic ones above
         seen: dict[str, int] = {}
@@ -308,6 +313,7 @@ def featurize(docs: DataFrame, lexicon: Lexicon, keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     kept = docs.select(*keep, F.col("text").alias("_text"))
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "_text"):
