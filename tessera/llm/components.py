@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.plans.prefix import cut_lineage
 
+#: Edges that a task starts from; a few edges in many partitions would cost tasks and shuffle files in every round.
+TASK_EDGES = 1 << 17
+
 
 def _joined_to_least(edges: DataFrame) -> DataFrame:
-    """(u, v, least): each edge with the least of u and all its neighbours in ``edges``."""
+    """(u, v, least): each edge with the least of u and all its neighbours in ``edges``.
+
+    The join stays a sort-merge join: a broadcast in each round, small as it is beside the
+    edges, would be built and kept on the driver until it is collected.
+    """
     least = edges.groupBy("u").agg(F.min("v").alias("least")).select(F.col("u").alias("_u"), F.least("u", "least").alias("least"))
-    return edges.join(least, F.col("u") == F.col("_u")).drop("_u")
+    return edges.join(least.hint("merge"), F.col("u") == F.col("_u")).drop("_u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,7 +50,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = cut_lineage(edges)
     before = _print(edges)
     while before[0]:
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        packed = edges.coalesce(ceil(before[0] / TASK_EDGES))
+        edges = cut_lineage(_small_star(_large_star(packed)))
         now = _print(edges)
         if now == before:
             break

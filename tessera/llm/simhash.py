@@ -84,13 +84,13 @@ def _pairs(members: DataFrame, keys: list[str], distance: int) -> DataFrame:
     a = members.select(*keys, F.col("fp").alias("u"), F.col("root").alias("_ru"))
     b = members.select(*keys, F.col("fp").alias("v"), F.col("root").alias("_rv"))
     near = (F.col("u") < F.col("v")) & (F.col("_ru") != F.col("_rv")) & (_distance(F.col("u"), F.col("v")) <= distance)
-    return a.join(b, keys).where(near).select("u", "v").distinct()
+    return a.join(b.hint("merge"), keys).where(near).select("u", "v").distinct()
 
 
 def _buckets(variants: DataFrame, keys: list[str]) -> DataFrame:
     """Members of the buckets of two and more, with their number and the least of them."""
     sizes = variants.groupBy(*keys).agg(F.count("*").alias("size"), F.min("fp").alias("least")).where("size > 1")
-    return variants.join(sizes, keys)
+    return variants.join(sizes.hint("merge"), keys)
 
 
 def _other_half(slot: str, slot2: str, width: int) -> Column:
@@ -124,12 +124,12 @@ def linked_fingerprints(fps: DataFrame, distance: int = 3, crowd: int = 64) -> D
     stars = members.where(F.col("fp") != F.col("least")).where(_distance(F.col("fp"), F.col("least")) <= distance)
     first = cut_lineage(components(stars.select(F.col("fp").alias("u"), F.col("least").alias("v"))))
     rooted = cut_lineage(
-        members.join(first, F.col("fp") == F.col("node"), "left").select(
+        members.join(first.hint("merge"), F.col("fp") == F.col("node"), "left").select(
             "slot", "value", "fp", "size", F.coalesce("root", "fp").alias("root")
         )
     )
     open_keys = rooted.groupBy("slot", "value").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).where("_a < _b")
-    rooted = rooted.join(open_keys.select("slot", "value"), ["slot", "value"])
+    rooted = rooted.join(open_keys.select("slot", "value").hint("merge"), ["slot", "value"])
 
     few = _pairs(rooted.where(F.col("size") <= crowd), ["slot", "value"], distance)
     # quarters of 16 bits: where one of two halves differs by at most a bit, the other by
@@ -155,10 +155,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, distance: int =
     fps = cut_lineage(fingerprints(docs, words_per_shingle))
     roots = linked_fingerprints(fps, distance)
     own = fps.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    rooted = own.join(roots, "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    rooted = own.join(roots.hint("merge"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
     rooted = cut_lineage(rooted)
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return fps.join(rooted.join(named, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    classes = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
+    return fps.join(classes.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, words_per_shingle: int = 3, distance: int = 3) -> DataFrame:
@@ -172,4 +173,4 @@ def keep_first(docs: DataFrame, words_per_shingle: int = 3, distance: int = 3) -
     groups = near_duplicates(docs, words_per_shingle, distance)
     gone = groups.where("component_id is not null and (doc_id is null or doc_id != component_id)")
     gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return restore(docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))
+    return restore(docs.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti"))
