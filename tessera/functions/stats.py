@@ -121,19 +121,30 @@ def incomplete_beta(a, b, x, rest=None):
     return np.where(swap, 1 - part, part)
 
 
-def beta_quantile(a: float, b: float, p: np.ndarray, grid: int = 2048) -> np.ndarray:
+def beta_table(a: float, b: float, grid: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """Points in [0, 1] and the distribution function of Beta(``a``, ``b``) there."""
+    # more points where the mass lies, and down to the ends for shapes below 1
+    spread = np.sqrt(a * b / (a + b + 1)) / (a + b)
+    points = np.concatenate([np.linspace(0, 1, grid), a / (a + b) + spread * np.linspace(-9, 9, grid)])
+    x = np.unique(np.clip(points, 0, 1))
+    return x, incomplete_beta(a, b, x)
+
+
+def beta_bracket(table: tuple[np.ndarray, np.ndarray], p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Neighbouring points of a table of the distribution function that enclose the quantile of each ``p``."""
+    x, reached = table
+    at = np.clip(np.searchsorted(reached, p, side="right"), 1, len(x) - 1)
+    return x[at - 1], x[at]
+
+
+def beta_quantile(a: float, b: float, p: np.ndarray, grid: int = 2048, table: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """Where the distribution function of Beta(``a``, ``b``) reaches each of ``p``.
 
     A table of the function brackets each root; Newton's steps that stay inside the bracket,
     and halvings where they don't, end it.
     """
     p = np.asarray(p, dtype=float)
-    # more points where the mass lies, and down to the ends for shapes below 1
-    spread = np.sqrt(a * b / (a + b + 1)) / (a + b)
-    points = np.concatenate([np.linspace(0, 1, grid), a / (a + b) + spread * np.linspace(-9, 9, grid)])
-    x = np.unique(np.clip(points, 0, 1))
-    at = np.clip(np.searchsorted(incomplete_beta(a, b, x), p, side="right"), 1, len(x) - 1)
-    low, high = x[at - 1], x[at]
+    low, high = beta_bracket(table or beta_table(a, b, grid), p)
     root, log_beta = (low + high) / 2, _log_beta(np.float64(a), np.float64(b))
     for _ in range(60):
         off = incomplete_beta(a, b, root) - p

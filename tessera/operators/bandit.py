@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tessera.functions.columns import epoch_micros
 from tessera.functions.hashing import md5_mod, text_key, uniform
-from tessera.functions.stats import beta_quantile
+from tessera.functions.stats import beta_bracket, beta_quantile, beta_table
 from tessera.operators.joins import enrich, week_keys
 from tessera.operators.series import previous
 from tessera.plans.prefix import prefix
@@ -62,17 +62,29 @@ def thompson(decisions: DataFrame, id_col: str, post: DataFrame, arm: str, seed:
 
     A draw is the posterior's quantile at a hashed uniform of (id, arm), so an arm's draws do
     not depend on which other arms there are. The first arm in name order wins a tie. A
-    null id is drawn for like any other.
+    null id is drawn for like any other. A table of each posterior encloses every draw; draws
+    are worked out only where the best arm's enclosure does not lie above all others.
     """
     rows = post.select(arm, "a", "b").orderBy(arm).collect()  # the arms
     arms, shapes = [str(r[arm]) for r in rows], [(r["a"], r["b"]) for r in rows]
 
     @F.pandas_udf(T.StringType())
-    def choose(uniforms: pd.Series) -> pd.Series:
-        u = np.stack(uniforms) if len(uniforms) else np.zeros((0, len(arms)))
-        draws = np.stack([beta_quantile(a, b, u[:, i]) for i, (a, b) in enumerate(shapes)], axis=1)
-        return pd.Series([arms[i] for i in np.argmax(draws, axis=1)], dtype=object)
-
+    def choose(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tables = [beta_table(a, b) for a, b in shapes]
+        for uniforms in batches:
+            u = np.stack(uniforms) if len(uniforms) else np.zeros((0, len(arms)))
+            ends = [beta_bracket(table, u[:, i]) for i, table in enumerate(tables)]
+            low, high = (np.stack([e[side] for e in ends], axis=1) for side in (0, 1))
+            best = np.argmax(low, axis=1)
+            others = high.copy()
+            np.put_along_axis(others, best[:, None], -np.inf, axis=1)
+            close = np.flatnonzero(~(low.max(axis=1) > others.max(axis=1)))
+            if len(close):
+                draws = [beta_quantile(a, b, u[close, i], table=tables[i]) for i, (a, b) in enumerate(shapes)]
+                best[close] = np.argmax(np.stack(draws, axis=1), axis=1)
+            yield pd.Series([arms[i] for i in best], dtype=object)
+
+    decisions = decisions.repartition(int(decisions.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     return decisions.withColumn("choice", choose(F.array(*[uniform(key, F.lit(name), seed) for name in arms])))
 

@@ -18,6 +18,18 @@ def parts(spark):
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_thompson_spreads_rows_and_chooses_by_the_draws(spark):
+    ids = spark.range(0, 400, 1, 1)
+    shapes = {"a": (30.0, 20.0), "b": (31.0, 20.0), "c": (500.0, 350.0)}
+    post = spark.createDataFrame([(k, *v) for k, v in shapes.items()], "arm string, a double, b double")
+    chosen = bandit.thompson(ids, "id", post, "arm")
+    assert chosen.select("id", "choice").rdd.getNumPartitions() == parts(spark)
+    got = chosen.toPandas().set_index("id").choice.sort_index()
+    u = ids.select("id", *[uniform(F.col("id").cast("string"), F.lit(arm), 0).alias(arm) for arm in shapes]).toPandas().set_index("id").sort_index()
+    draws = np.stack([beta_quantile(*shape, u[arm].to_numpy()) for arm, shape in shapes.items()], axis=1)
+    assert list(got) == [list(shapes)[i] for i in draws.argmax(axis=1)]
+
+
 def test_component_rounds_broadcast_nothing(spark, monkeypatch):
     seen = []
     import tessera.llm.components as module
