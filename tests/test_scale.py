@@ -30,6 +30,19 @@ def test_thompson_spreads_rows_and_chooses_by_the_draws(spark):
     assert list(got) == [list(shapes)[i] for i in draws.argmax(axis=1)]
 
 
+def test_neighbours_travel_in_single_precision_to_few_groups(spark, monkeypatch):
+    v = np.random.default_rng(5).normal(size=(600, 6)).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<float>")
+    kinds, groups = [], []
+    search = neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda *a: (kinds.append(a[1].schema["v"].dataType.simpleString()), groups.append(len(a[2])), search(*a))[-1])
+    got = neighbours.nearest(df, df, 4, "id", "id", "v", skip_self=True, fitted=100).toPandas()
+    exact = np.sqrt(((v[:, None].astype(float) - v[None]) ** 2).sum(2)) + np.diag(np.full(600, np.inf))
+    want = [list(np.lexsort((np.arange(600), np.round(row, neighbours.DIGITS)))[:4]) for row in exact]
+    assert got.sort_values(["query_id", "rank"]).groupby("query_id").id.apply(list).tolist() == want
+    assert set(kinds) == {"array<float>"} and max(groups) < parts(spark)
+
+
 def test_component_rounds_broadcast_nothing(spark, monkeypatch):
     seen = []
     import tessera.llm.components as module
