@@ -43,6 +43,24 @@ def test_neighbours_travel_in_single_precision_to_few_groups(spark, monkeypatch)
     assert set(kinds) == {"array<float>"} and max(groups) < parts(spark)
 
 
+def test_hashed_neighbours_form_no_pairs_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "PRODUCT", 500)
+    v = np.random.default_rng(6).normal(size=(120, 5))
+    v[50:60] = v[:10]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame([*rows, rows[3]], "id bigint, v array<double>")
+    found = neighbours.hashed_neighbours(df, "id", "v", 4, 0.8, 3, 2.0)
+    assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString().split("FlatMapGroups")[0]
+    lsh = neighbours.BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=0.8, numHashTables=3, seed=0)
+    table = df.select("id", neighbours.array_to_vector("v").alias("v"))
+    model = lsh.fit(table)
+    pairs = model.approxSimilarityJoin(table, table, 2.0, "dist").where("datasetA.id <> datasetB.id").toPandas()
+    want = pd.DataFrame({"q": pairs.datasetA.map(lambda r: r["id"]), "id": pairs.datasetB.map(lambda r: r["id"]), "dist": pairs.dist})
+    want = want.sort_values(["q", "dist", "id"]).groupby("q").head(4)
+    got = found.toPandas().sort_values(["query_id", "rank"])
+    assert got[["query_id", "id", "dist"]].to_numpy().tolist() == want.to_numpy().tolist()
+
+
 def test_component_rounds_broadcast_nothing(spark, monkeypatch):
     seen = []
     import tessera.llm.components as module
