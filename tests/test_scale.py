@@ -30,6 +30,29 @@ def test_thompson_spreads_rows_and_chooses_by_the_draws(spark):
     assert list(got) == [list(shapes)[i] for i in draws.argmax(axis=1)]
 
 
+@pytest.mark.parametrize("additive", [False, True])
+def test_assignment_spreads_users_of_one_file(spark, additive):
+    users = spark.range(0, 200, 1, 1).withColumnRenamed("id", "user")
+    held = slots.slot_table(spark, {f"e{i}": range(i, 50, 3) for i in range(9)})
+    made = slots.assign(users, "user", held, 50, "17", "31", additive)
+    assert made.select("user").rdd.getNumPartitions() >= parts(spark)
+    digest = lambda text: int(hashlib.md5(text.encode()).hexdigest(), 16)
+    salted = lambda text, salt, n: (digest(text) + int(salt)) % n if additive else digest(text + salt) % n
+    want = {
+        (u, salted(str(u), "17", 50), f"e{i}", "pilot" if salted(f"{u}e{i}", "31", 2) == 1 else "control")
+        for u in range(200)
+        for i in range(9)
+        if salted(str(u), "17", 50) in range(i, 50, 3)
+    }
+    assert {tuple(r) for r in made.select("user", "slot", "experiment_id", "group").collect()} == want
+
+
+@pytest.mark.parametrize("n", [2, 4, 8, 16, 32, 7])
+def test_md5_modulo_of_all_digits(spark, n):
+    rows = spark.range(60).select(F.col("id").cast("string").alias("t"), md5_mod(F.col("id").cast("string"), n).alias("m")).collect()
+    assert [r.m for r in rows] == [int(hashlib.md5(r.t.encode()).hexdigest(), 16) % n for r in rows]
+
+
 def test_neighbours_travel_in_single_precision_to_few_groups(spark, monkeypatch):
     v = np.random.default_rng(5).normal(size=(600, 6)).astype(np.float32)
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<float>")
