@@ -12,6 +12,7 @@ from tessera.functions.hashing import md5_mod, uniform
 from tessera.functions.stats import beta_quantile
 from tessera.llm.components import components
 from tessera.operators import bandit, neighbours, pricing, slots
+from tessera.plans.runs import map_runs, numbers
 
 
 def parts(spark):
@@ -53,6 +54,23 @@ def test_md5_modulo_of_all_digits(spark, n):
     assert [r.m for r in rows] == [int(hashlib.md5(r.t.encode()).hexdigest(), 16) % n for r in rows]
 
 
+def test_runs_are_whole_groups_across_batches(spark):
+    rows = [(k, float(i)) for k in (None, 1, 2, 3) for i in range(11)]
+    df = spark.createDataFrame(rows, "k bigint, v double").repartition(3)
+
+    def sums(table: pa.Table, starts: np.ndarray) -> pa.Table:
+        total = np.add.reduceat(numbers(table, "v"), starts)
+        return pa.table([table.column("k").take(pa.array(starts)), pa.array(total)], ["k", "s"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        got = map_runs(df, "k", sums, "k bigint, s double", ["v"]).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r.k or 0, r.s) for r in got) == [(k, 55.0) for k in range(4)]
+
+
 def test_neighbours_travel_in_single_precision_to_few_groups(spark, monkeypatch):
     v = np.random.default_rng(5).normal(size=(600, 6)).astype(np.float32)
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<float>")
