@@ -1,6 +1,7 @@
 """The places where callers bring their own functions."""
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.catalog.c_joins import campaign_tables
@@ -13,6 +14,7 @@ from tessera.functions import vectors
 from tessera.functions.columns import half_open
 from tessera.operators import bootstrap, features, matching, neighbours, sales, sequential
 from tessera.plans.resample import interval
+from tessera.plans.runs import map_runs, numbers
 from tessera.sources.pages import page_links
 
 
@@ -117,14 +119,23 @@ def user_block(t):
 def grouped_map(t):
     """A caller's function per item over its monthly series (as long as the calendar)."""
 
-    def trend(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf["day"] - pdf["day"].mean()
-        slope = float((x * pdf["price"]).sum() / (x * x).sum()) if len(pdf) > 1 else None
-        return pd.DataFrame({"sku": [pdf["sku"].iloc[0]], "n": [len(pdf)], "slope": [slope]})
+    def trend(day: np.ndarray, price: np.ndarray) -> tuple[int, float | None]:
+        known = day[~np.isnan(day)]
+        x = day - (known.sum() / len(known) if len(known) else np.nan)
+        with np.errstate(invalid="ignore"):
+            slope = np.nansum(x * price) / np.nansum(x * x) if len(day) > 1 else np.nan
+        return len(day), None if np.isnan(slope) else float(slope)
+
+    def trends(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        days, prices = numbers(rows, "day"), numbers(rows, "price")
+        ends = np.append(starts[1:], rows.num_rows)
+        found = [trend(days[s:e], prices[s:e]) for s, e in zip(starts, ends)]
+        n, slope = pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.float64())
+        return pa.table([rows.column("sku").take(pa.array(starts)), n, slope], ["sku", "n", "slope"])
 
     day = F.datediff("month", F.lit("1995-01-01").cast("date")).cast("double")
     rows = monthly_prices(t).select("sku", day.alias("day"), "price")
-    return rows.groupBy("sku").applyInPandas(trend, "sku bigint, n bigint, slope double")
+    return map_runs(rows, "sku", trends, "sku bigint, n bigint, slope double", ["day"])
 
 
 @query(
