@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tessera.functions.columns import iso_year, row_max
 from tessera.operators.joins import join_weekly
 from tessera.operators.series import days_since_previous, lag_block, rolling
-from tessera.plans.prefix import exact_quantiles, join_on_keys
 
 
 def price_summary(df: DataFrame, keys: Sequence[str], paid: str, discount: str) -> DataFrame:
@@ -41,11 +40,13 @@ def competitiveness(
 
 
 def gap_stats(df: DataFrame, key: str, date: str) -> DataFrame:
-    """Largest and median number of days between the distinct days of a key."""
+    """Largest and median number of days between the distinct days of a key.
+
+    A key has at most one gap per day of the calendar, so its gaps are aggregated as they are.
+    """
     days = df.select(key, F.to_date(date).alias("_d")).distinct()
     gaps = days_since_previous(days, key, "_d", "_gap")
-    top = gaps.groupBy(key).agg(F.max("_gap").alias("max_gap"))
-    return join_on_keys(top, exact_quantiles(gaps, [key], "_gap", {"median_gap": 0.5}), [key], "left")
+    return gaps.groupBy(key).agg(F.max("_gap").alias("max_gap"), F.percentile("_gap", F.lit(0.5)).alias("median_gap"))
 
 
 def seasonal_profile(df: DataFrame, key: str, date: str, value: str) -> DataFrame:

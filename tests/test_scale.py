@@ -102,6 +102,13 @@ def test_hashed_neighbours_form_no_pairs_of_rows(spark, monkeypatch):
     assert got[["query_id", "id", "dist"]].to_numpy().tolist() == want.to_numpy().tolist()
 
 
+def test_gaps_of_days_need_no_ranges(spark):
+    days = [("a", "2024-01-01"), ("a", "2024-01-04"), ("a", "2024-01-05"), ("a", "2024-01-05"), ("b", "2024-01-01"), (None, "2024-01-02"), (None, "2024-01-04")]
+    made = pricing.gap_stats(spark.createDataFrame(days, "k string, d string"), "k", "d")
+    assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.max_gap, r.median_gap) for r in made.collect()} == {("a", 3, 2.0), ("b", None, None), (None, 2, 2.0)}
+
+
 def test_component_rounds_broadcast_nothing(spark, monkeypatch):
     seen = []
     import tessera.llm.components as module
