@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import md5_mod, uniform
 from tessera.functions.stats import beta_quantile
 from tessera.llm.components import components
-from tessera.operators import bandit, neighbours, pricing, slots
+from tessera.operators import bandit, matching, neighbours, pricing, slots
 from tessera.plans.runs import map_runs, numbers
 
 
@@ -125,3 +125,55 @@ def test_component_rounds_broadcast_nothing(spark, monkeypatch):
     got = {tuple(r) for r in components(edges).collect()}
     assert got == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
     assert not any("BroadcastHashJoin" in plan for plan, _ in seen)
+
+
+TEXTS = [(1, "b a a c zz"), (1, "c c q"), (2, ""), (3, None), (None, "a zz a"), (4, "q " * 9), (5, "a b")]
+
+
+def worded(spark, n_first):
+    counts = [("a", 9), ("b", 2), ("c", 5)] if n_first else [("a", 2), ("b", 9), ("c", 1)]
+    return spark.createDataFrame(counts, "token string, n bigint")
+
+
+def texts_of(key):
+    return [text.split() for k, text in TEXTS if k == key and text]
+
+
+@pytest.mark.parametrize("frequent", [1, 2, 1 << 16])
+@pytest.mark.parametrize("n_first", [False, True])
+def test_id_sequences_move_no_row_per_word(spark, monkeypatch, frequent, n_first):
+    monkeypatch.setattr(matching, "FREQUENT", frequent)
+    monkeypatch.setattr(matching, "HELD", 4)
+    df = spark.createDataFrame(TEXTS, "id int, text string").coalesce(1)
+    made = matching.id_sequences(df, "id", matching.token_ids(worded(spark, n_first)), pad_to=3)
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    codes, got = {"a": 2, "b": 3, "c": 4}, {r.id: list(r.ids) for r in made.collect()}
+    assert set(got) == {k for k, _ in TEXTS}
+    for key, ids in got.items():
+        want = [c for _, c in sorted((i, codes.get(w, matching.OOV)) for words in texts_of(key) for i, w in enumerate(words))]
+        assert ids == want + [matching.PAD] * (3 - len(want))
+
+
+@pytest.mark.parametrize("frequent", [1, 2, 1 << 16])
+def test_text_vectors_move_no_row_per_word(spark, monkeypatch, frequent):
+    monkeypatch.setattr(matching, "FREQUENT", frequent)
+    vectors = matching.token_vectors(worded(spark, True), None, 4)
+    made = matching.text_vectors(spark.createDataFrame(TEXTS, "id int, text string").coalesce(1), "id", vectors, 4)
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    v, unknown = {r.token: np.array(r.v) for r in vectors.collect()}, np.array(matching.unknown_vector(4))
+    got = {r.id: r.vector for r in made.collect()}
+    assert set(got) == {k for k, _ in TEXTS}
+    for key, vector in got.items():
+        each = [v.get(w, unknown) for words in texts_of(key) for w in words]
+        np.testing.assert_allclose(vector, np.mean(each, axis=0) if each else unknown * 0, atol=1e-12)
+
+
+@pytest.mark.parametrize("frequent", [1, 1 << 16])
+def test_blocks_of_vectors_keep_the_order(spark, monkeypatch, frequent):
+    monkeypatch.setattr(matching, "FREQUENT", frequent)
+    vectors, unknown = matching.token_vectors(worded(spark, True), None, 4), matching.unknown_vector(4)
+    made = matching.vector_blocks(spark.createDataFrame(TEXTS[4:], "id int, text string"), "id", vectors, unknown, size=2)
+    v = {r.token: list(r.v) for r in vectors.collect()}
+    got = {(r.id, r.block): [list(x) for x in r.vectors] for r in made.collect()}
+    words = {key: texts_of(key)[0] for key, _ in TEXTS[4:]}
+    assert got == {(k, i // 2): [v.get(w, unknown) for w in l[i : i + 2]] for k, l in words.items() for i in range(0, len(l), 2)}
