@@ -177,3 +177,13 @@ def test_blocks_of_vectors_keep_the_order(spark, monkeypatch, frequent):
     got = {(r.id, r.block): [list(x) for x in r.vectors] for r in made.collect()}
     words = {key: texts_of(key)[0] for key, _ in TEXTS[4:]}
     assert got == {(k, i // 2): [v.get(w, unknown) for w in l[i : i + 2]] for k, l in words.items() for i in range(0, len(l), 2)}
+
+
+def test_token_matches_need_no_frames(spark):
+    vectors, unknown = matching.token_vectors(worded(spark, True), None, 4), matching.unknown_vector(4)
+    df = spark.createDataFrame([(1, "a b zz")], "l int, text string")
+    left = matching.vector_blocks(df, "l", vectors, unknown)
+    right = matching.vector_blocks(df.withColumnRenamed("l", "r"), "r", vectors, unknown)
+    made = matching.kernel_features(spark.createDataFrame([(1, 1)], "l int, r int"), "l", "r", left, right)
+    assert "MapInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+    assert len(made.first().kernels) == 21
