@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions.hashing import md5_mod, uniform
 from tessera.functions.stats import beta_quantile
 from tessera.llm.components import components
-from tessera.operators import bandit, matching, neighbours, pricing, slots
+from tessera.operators import bandit, forecast, matching, neighbours, pricing, slots
 from tessera.plans.runs import map_runs, numbers
 
 
@@ -187,3 +187,19 @@ def test_token_matches_need_no_frames(spark):
     made = matching.kernel_features(spark.createDataFrame([(1, 1)], "l int, r int"), "l", "r", left, right)
     assert "MapInPandas" not in made._jdf.queryExecution().executedPlan().toString()
     assert len(made.first().kernels) == 21
+
+
+def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(forecast, "ROWS", 20)
+    counts, keep = [], forecast.cut_lineage
+
+    def cut(df):
+        out = keep(df)
+        counts.append([len(part) for part in out.rdd.glom().collect()])
+        return out
+
+    monkeypatch.setattr(forecast, "cut_lineage", cut)
+    df = spark.range(0, 400, 1, 1).select("id", (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 * 2.0).alias("y"), (F.col("id") % 5 == 0).alias("held"))
+    forecast.fit_with_early_stop(df, ["x"], "y", "held", maxIter=2)
+    forecast.fold_models(df, "id", ["x"], "y", 2, maxIter=1)
+    assert len(counts) == 2 and all(sum(n) == 400 and max(n) <= 30 for n in counts)
