@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import uniform
-from tessera.operators.forecast import assemble, rmse
+from tessera.operators.forecast import assemble, rmse, spread
 from tessera.operators.series import folds
 from tessera.operators.uplift import uplift_at_k
 from tessera.operators.uplift_tree import Limits, grow_forest, quantise
@@ -125,7 +125,7 @@ def search_regression(
     """
     u = uniform(F.col(id_col), "search", seed)
     part = F.when(u < test_share, "test").when(u < test_share + valid_share, "valid").otherwise("train")
-    rows = cut_lineage(assemble(df.withColumn("_part", part), features).select("_x", y, "_part"))
+    rows = spread(assemble(df.withColumn("_part", part), features).select("_x", y, "_part"))
     fit = lambda params, among: RandomForestRegressor(featuresCol="_x", labelCol=y, seed=seed, **params).fit(rows.where(F.col("_part").isin(among)))
     error = lambda model, where: rmse(model.transform(rows.where(F.col("_part") == where)), y)
     draws = sample_parameters(space, n_iter, seed)
