@@ -84,6 +84,45 @@ def test_neighbours_travel_in_single_precision_to_few_groups(spark, monkeypatch)
     assert set(kinds) == {"array<float>"} and max(groups) < parts(spark)
 
 
+@pytest.mark.parametrize("shift", [0.0, 1e4])
+@pytest.mark.parametrize("fitted", [100, 1000])
+def test_nearest_and_farthest_come_from_one_comparison(spark, monkeypatch, shift, fitted):
+    monkeypatch.setattr(neighbours, "PRODUCT", 2000)
+    monkeypatch.setattr(neighbours, "TRIED", 16)
+    rng = np.random.default_rng(8)
+    v = shift + np.concatenate([rng.normal(size=(300, 5)), rng.normal(size=(200, 5)) * 1e-6 + 3, np.ones((40, 5))])
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<double>")
+    compared, search = [], neighbours._search
+    monkeypatch.setattr(neighbours, "_search", lambda *a: (compared.append(a[4]), search(*a))[-1])
+    got = neighbours.nearest_sides(df, df, [(False, 4), (True, 3)], "id", "id", "v", skip_self=True, block=60, fitted=fitted).toPandas()
+    dist = np.round(np.sqrt(((v[:, None] - v[None]) ** 2).sum(2)), neighbours.DIGITS)
+    for far, k in ((False, 4), (True, 3)):
+        signed = (-dist if far else dist) + np.diag(np.full(len(v), np.inf))
+        want = [list(np.lexsort((np.arange(len(v)), row))[:k]) for row in signed]
+        some = got[got.far == far].sort_values(["query_id", "rank"])
+        ids = some.groupby("query_id").id.apply(list).tolist()
+        if not shift:
+            assert ids == want
+        # the last digits differ where vectors are far from the origin
+        for i, (mine, best) in enumerate(zip(ids, want)):
+            np.testing.assert_allclose(dist[i, mine], dist[i, best], atol=1e-8)
+            assert len(set(mine)) == k and i not in mine
+    assert compared in ([], [[(False, 4)], [(True, 3)], [(False, 4), (True, 3)]])
+
+
+def test_true_neighbours_are_found_once(spark, tmp_path):
+    from tessera.catalog import QUERIES
+
+    v = np.random.default_rng(9).normal(size=(80, 4))
+    rows = [(i, x.tolist(), i % 3) for i, x in enumerate(v)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    made = QUERIES["vs_04_recall"](spark, str(tmp_path))
+    assert "MapInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+    dist = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2)) + np.diag(np.full(80, np.inf))
+    want = {i: sum(j % 3 == i % 3 for j in np.argsort(row)[:10]) / 10 for i, row in enumerate(dist)}
+    assert {r.query_id: r.recall for r in made.collect()} == want
+
+
 def test_hashed_neighbours_form_no_pairs_of_rows(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "PRODUCT", 500)
     v = np.random.default_rng(6).normal(size=(120, 5))
