@@ -141,6 +141,38 @@ def test_hashed_neighbours_form_no_pairs_of_rows(spark, monkeypatch):
     assert got[["query_id", "id", "dist"]].to_numpy().tolist() == want.to_numpy().tolist()
 
 
+@pytest.mark.parametrize("size", [16, 1600])
+def test_blocks_of_a_bucket_look_no_further_than_the_first(spark, monkeypatch, size):
+    monkeypatch.setattr(neighbours, "HASHED", size)
+    v = np.random.default_rng(7).normal(size=(150, 5))
+    v[140:] = v[:10]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id bigint, v array<double>")
+    seen, cut = [], neighbours.cut_lineage
+    monkeypatch.setattr(neighbours, "cut_lineage", lambda df: (seen.append(cut(df)), seen[-1])[-1])
+    got = neighbours.hashed_neighbours(df, "id", "v", 3, 1.5, 3, 2.5).toPandas().sort_values(["query_id", "rank"])
+    (edges,) = [df.toPandas() for df in seen if "edge" in df.columns]
+    assert len(edges) == 150 and (edges.edge < 2.5).any()
+    h = np.stack(edges.sort_values("id").h)
+    met = (h[:, None] == h[None]).any(2) & ~np.eye(150, dtype=bool)
+    dist = np.sqrt(((v[:, None] - v[None]) ** 2).sum(2))
+    near = np.where(met & (dist < 2.5), dist, np.inf)
+    want = [(i, j) for i, row in enumerate(near) for j in np.lexsort((np.arange(150), np.round(row, 12)))[:3] if np.isfinite(row[j])]
+    assert list(zip(got.query_id, got.id)) == want
+
+
+@pytest.mark.parametrize("gathered", [1, 8, 512])
+def test_rows_that_share_an_earlier_bucket_are_not_compared(monkeypatch, gathered):
+    monkeypatch.setattr(neighbours, "GATHERED", gathered)
+    rng = np.random.default_rng(3)
+    ha, hb = rng.integers(0, 3, (40, 2)), rng.integers(0, 3, (60, 2))
+    apart = (ha[:, None] != hb[None]).all(2)
+    compared = np.zeros((40, 60), dtype=int)
+    for rows, cols in neighbours._strangers(ha, hb):
+        compared[np.ix_(np.arange(40)[rows], np.arange(60)[cols])] += 1
+    assert compared.max() == 1 and compared[apart].all()
+    assert gathered > 1 or (compared == apart).all()
+
+
 def test_gaps_of_days_need_no_ranges(spark):
     days = [("a", "2024-01-01"), ("a", "2024-01-04"), ("a", "2024-01-05"), ("a", "2024-01-05"), ("b", "2024-01-01"), (None, "2024-01-02"), (None, "2024-01-04")]
     made = pricing.gap_stats(spark.createDataFrame(days, "k string, d string"), "k", "d")
