@@ -274,3 +274,27 @@ def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
     forecast.fit_with_early_stop(df, ["x"], "y", "held", maxIter=2)
     forecast.fold_models(df, "id", ["x"], "y", 2, maxIter=1)
     assert len(counts) == 4 and all(sum(n) == 400 and max(n) <= 30 for n in counts[1::2])
+
+
+def test_folds_of_many_rows_leave_no_copies(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(forecast, "ROWS", 20)
+    seen, keep = [], forecast.written
+
+    def written(df, *split):
+        seen.append((df.columns, keep(df, *split)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(forecast, "written", written)
+    monkeypatch.setattr(forecast, "cut_lineage", lambda df: pytest.fail("rows are kept as a checkpoint"))
+    monkeypatch.setattr("tessera.plans.prefix.use_checkpoint_dir", lambda spark: str(tmp_path))
+    fitted, fit = [], forecast._fit_folds
+    monkeypatch.setattr(forecast, "_fit_folds", lambda folded, *a: (fitted.append([tuple(r) for r in folded.select("y", "fold").collect()]), fit(folded, *a))[-1])
+    df = spark.range(0, 400, 1, 3).select("id", (F.col("id") % 7).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    made = forecast.ablation(df, "id", ["x"], "y", {"all": lambda d: d, "some": lambda d: d.where("x > 0")}, 3, maxIter=1)
+    assert [(r.variant, r.rows) for r in made.collect()] == [("all", 400), ("some", 342)]
+    assert [columns for columns, _ in seen] == [["id", "x", "y"], ["y", "x", "_row"], ["y", "x", "_row"]]
+    assert not list(tmp_path.iterdir())
+    for ids, rows in zip((range(400), [i for i in range(400) if i % 7]), fitted):
+        # the folds that the rows had when they were dealt as a table of few rows
+        order = sorted(ids, key=lambda i: hashlib.md5(f"{i}_0".encode()).hexdigest())
+        assert dict(rows) == {float(i): at % 3 for at, i in enumerate(order)}
