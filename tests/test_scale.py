@@ -48,6 +48,16 @@ def test_assignment_spreads_users_of_one_file(spark, additive):
     assert {tuple(r) for r in made.select("user", "slot", "experiment_id", "group").collect()} == want
 
 
+def test_assignment_deals_users_evenly_and_counts_no_characters(spark):
+    held = slots.slot_table(spark, {f"e{i}": range(50) for i in range(9)})
+    made = slots.assign(spark.range(0, 2000, 1, 1).withColumnRenamed("id", "user"), "user", held, 50, "17", "31", True)
+    rows = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(rows) == 2000 * 9 and max(rows) < 1.3 * sum(rows) / parts(spark)
+    # a substring of text walks over its characters, one of bytes does not
+    plan = made.select("group")._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring(cast(md5(" in plan and "substring(md5(cast(concat" not in plan
+
+
 @pytest.mark.parametrize("n", [2, 4, 8, 16, 32, 7])
 def test_md5_modulo_of_all_digits(spark, n):
     rows = spark.range(60).select(F.col("id").cast("string").alias("t"), md5_mod(F.col("id").cast("string"), n).alias("m")).collect()
