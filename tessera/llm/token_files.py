@@ -263,7 +263,8 @@ class Code:
         high = np.bincount(word, weights=(placed >> 32).astype(np.float64), minlength=size)
         low = np.bincount(word + 1, weights=(placed & 0xFFFFFFFF).astype(np.float64), minlength=size + 1)
         words = high[:size] + low[:size]
-        return words.astype(">u4").view(np.uint8)[: int(ends[-1])], ends, at
+        # a first bit makes a sum negative; what a float of that kind becomes without a sign depends on the machine
+        return words.astype(np.int64).astype(">u4").view(np.uint8)[: int(ends[-1])], ends, at
 
     def decode(self, data: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """The ids of all runs in a row: ``counts`` ids from each bit offset of ``starts`` on.
